@@ -117,3 +117,39 @@ def sellers_rt(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("phone"),
         F.col("n_name").alias("address"),
     )
+
+
+# Dead-letter kinds planted on 'error' events, by event_id % 5 (fixed):
+# 0 not JSON, 1 price "x", 2 client_id missing, 3 quantity 2.5,
+# 4 timestamp "bad".
+DEFECTS = ("not_json", "bad_price", "missing_field", "bad_quantity", "bad_timestamp")
+
+
+def purchase_messages(rt: DataFrame) -> DataFrame:
+    """Real-time rows in message form (time field named ``timestamp``)."""
+    return rt.select("purchase_id", "client_id", "product_id", "quantity", "price",
+                     F.col("ts").alias("timestamp"))
+
+
+def defective_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 'error' event as a broken purchase message: columns
+    purchase_id (the key), kind (0-4) and value (the message text)."""
+    from ..operators.decode import encode_json
+    ev = table(spark, sf_dir, "events").where(F.col("event_type") == "error")
+    base = ev.select(
+        F.col("event_id").cast("string").alias("purchase_id"),
+        F.col("user_id").cast("string").alias("client_id"),
+        F.get_json_object("props", "$.k").alias("product_id"),
+        (F.lit(1) + F.col("event_id") % 5).cast("int").alias("quantity"),
+        F.col("value").alias("price"),
+        _utc("ts").alias("timestamp"),
+        (F.col("event_id") % 5).cast("int").alias("kind"),
+    )
+    js = encode_json(base.drop("kind"))
+    kind = F.col("kind")
+    value = (F.when(kind == 0, F.concat(F.lit("error event "), F.col("purchase_id")))
+              .when(kind == 1, F.regexp_replace(js, r'"price":[^,}]*', '"price":"x"'))
+              .when(kind == 2, F.regexp_replace(js, r'"client_id":"[^"]*",', ""))
+              .when(kind == 3, F.regexp_replace(js, r'"quantity":[0-9]+', '"quantity":2.5'))
+              .otherwise(F.regexp_replace(js, r'"timestamp":"[^"]*"', '"timestamp":"bad"')))
+    return base.select("purchase_id", "kind", value.alias("value"))

@@ -28,11 +28,14 @@ def duck(sf_dir: str):
     return con
 
 
+DIGITS = None if os.environ.get("ORACLE_EXACT") else 6
+
+
 def _norm(v):
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 6)
+        return None if math.isnan(v) else (v if DIGITS is None else round(v, DIGITS))
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 6)
+        return float(v) if DIGITS is None else round(float(v), DIGITS)
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None) if v.tzinfo is None else v.astimezone(dt.timezone.utc).replace(tzinfo=None)
     if isinstance(v, (list, tuple)):
