@@ -40,7 +40,6 @@ def realtime(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-_STAMP = re.compile(r"_(\d{8}_\d{6})(?:\.csv)?/?$")
 
 
 def report_dirs(spark: SparkSession, base: str, name: str) -> list[tuple[str, str]]:
@@ -51,12 +50,12 @@ def report_dirs(spark: SparkSession, base: str, name: str) -> list[tuple[str, st
     pattern = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{name}_*")
     fs = pattern.getFileSystem(conf)
     found = fs.globStatus(pattern) or []
+    exact = re.compile(rf"^{re.escape(name)}_(\d{{8}}_\d{{6}})(?:\.csv)?$")
     out = []
     for st in found:
-        p = st.getPath().toString()
-        m = _STAMP.search(p)
-        if st.isDirectory() and m and p.rsplit("/", 1)[-1].startswith(f"{name}_"):
-            out.append((m.group(1), p))
+        m = exact.match(st.getPath().getName())
+        if st.isDirectory() and m:
+            out.append((m.group(1), st.getPath().toString()))
     return sorted(out)
 
 

@@ -1,0 +1,86 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from basketry.operators.decode import split_valid, valid_rows
+from basketry.sinks.topics import as_messages, publish_raw
+from basketry.sources.topics import stream_topic
+from basketry.streaming.ingest import ingest_purchases, read_dead_letters, read_realtime
+from basketry.streaming.upsert import read_upserted, upsert
+from basketry.streaming.windows import start_windowed_revenue, windowed_revenue
+
+NOW = {"availableNow": True}
+MSG = '{"purchase_id":"%s","client_id":"c","product_id":"p","quantity":%d,"price":%s,"timestamp":"%s"}'
+
+
+def _send(spark, path, values, at="2024-03-01 00:00:00"):
+    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "k string, value string")
+    publish_raw(as_messages(df, "purchases", key="k", value=F.col("value"), at=at), path)
+
+
+def _ingest(spark, base, dedup=None, run="r"):
+    q = ingest_purchases(stream_topic(spark, "purchases", path=f"{base}/topic", max_files_per_trigger=1),
+                         f"{base}/{run}/table", f"{base}/{run}/dead", f"{base}/{run}/ck", trigger=NOW,
+                         dedup_delay=dedup)
+    q.awaitTermination()
+    return read_realtime(spark, f"{base}/{run}/table")
+
+
+def test_ingest_restart_and_dead_letters(spark, tmp):
+    _send(spark, f"{tmp}/topic", [MSG % ("a", 1, "2.5", "2024-03-01T10:00:00Z"), "garbage",
+                                  MSG % ("b", 2, '"x"', "2024-03-01T11:00:00Z")])
+    assert _ingest(spark, tmp).count() == 1
+    assert _ingest(spark, tmp).count() == 1  # restart on the same checkpoint: nothing re-read
+    _send(spark, f"{tmp}/topic", [MSG % ("c", 3, "1", "2024-03-02T00:00:00Z")])
+    t = _ingest(spark, tmp)
+    assert sorted(r.purchase_id for r in t.collect()) == ["a", "c"]
+    dead = {r.reason for r in read_dead_letters(spark, f"{tmp}/r/dead").collect()}
+    assert dead == {"not_json", "bad_price"}
+    day = read_realtime(spark, f"{tmp}/r/table", with_day=True).where(F.col("dt") == dt.date(2024, 3, 2))
+    assert [r.purchase_id for r in day.collect()] == ["c"]  # pruned by the day directory
+
+
+def test_dedup_drops_resent_ids_across_restart(spark, tmp):
+    same = MSG % ("a", 1, "1", "2024-03-01T10:00:00Z")
+    _send(spark, f"{tmp}/topic", [same, same, MSG % ("b", 1, "1", "2024-03-01T10:05:00Z")])
+    assert _ingest(spark, tmp, dedup="1 day").count() == 2
+    _send(spark, f"{tmp}/topic", [same])  # resent after a restart
+    assert _ingest(spark, tmp, dedup="1 day").count() == 2
+    _send(spark, f"{tmp}/topic", [same])
+    assert _ingest(spark, tmp, run="plain").count() == 5  # without dedup every copy is stored
+
+
+def test_windows_close_after_watermark(spark, tmp):
+    _send(spark, f"{tmp}/topic", [MSG % ("a", 1, "10", "2024-03-01T10:10:00Z"),
+                                  MSG % ("b", 2, "5", "2024-03-01T10:50:00Z"),
+                                  MSG % ("c", 1, "1", "2024-03-01T12:30:00Z")])
+    valid = valid_rows(split_valid(stream_topic(spark, "purchases", path=f"{tmp}/topic")))
+    q = start_windowed_revenue(windowed_revenue(valid, "1 hour", "1 hour"), f"{tmp}/out", f"{tmp}/ck", NOW)
+    q.awaitTermination()
+    out = [tuple(r) for r in spark.read.parquet(f"{tmp}/out").collect()]
+    # watermark = 12:30 - 1h = 11:30: the 10:00 window is closed, 12:00 is still open
+    assert out == [(dt.datetime(2024, 3, 1, 10), dt.datetime(2024, 3, 1, 11), 20.0, 3, 2)]
+
+
+def _product(pid, name, price):
+    return '{"product_id":"%s","name":"%s","category":"c","price":%s,"seller_id":"s"}' % (pid, name, price)
+
+
+def test_upsert_newest_wins(spark, tmp):
+    topic = f"{tmp}/topic"
+    _send(spark, topic, [_product("p1", "v2", 2), _product("p2", "only", 1)], at="2024-03-02 00:00:00")
+    _send(spark, topic, [_product("p1", "v1", 1)], at="2024-03-01 00:00:00")  # older, arrives later
+    _send(spark, topic, [_product("p3", "new", 3), _product("p3", "newer", 4)], at="2024-03-03 00:00:00")
+
+    def run():
+        q = upsert(stream_topic(spark, "products", path=topic, max_files_per_trigger=1), "products",
+                   f"{tmp}/table", f"{tmp}/ck", buckets=4, trigger=NOW)
+        q.awaitTermination()
+        return {r.product_id: (r.name, r.price) for r in read_upserted(spark, f"{tmp}/table", "products").collect()}
+
+    got = run()
+    assert got["p1"] == ("v2", 2.0) and got["p2"] == ("only", 1.0)
+    assert got["p3"][0] in ("new", "newer") and len(got) == 3  # same time: later offset wins
+    _send(spark, topic, [_product("p2", "changed", 9)], at="2024-03-04 00:00:00")
+    got = run()
+    assert got["p2"] == ("changed", 9.0) and got["p1"] == ("v2", 2.0) and len(got) == 3
