@@ -1,0 +1,45 @@
+"""Attaching a dimension to a result that is usually small.
+
+A left join of a small result (say the top 10 products) to a large
+dimension (every product) would, as a sort-merge join, shuffle the whole
+dimension to name a handful of rows: a broadcast hash join cannot build
+the preserved (left) side of a left outer join, and the planner's size
+estimate for a filtered aggregate is the size of its input, so it will
+not broadcast it either.
+
+``attach_dimension`` checks the real size instead: it materialises the
+result with a reliable checkpoint (in the shared ``spark.checkpoint.dir``,
+so a lost executor does not lose it), counts it, and when it holds at most
+``max_rows`` rows semi-joins the dimension against the broadcast keys. The
+dimension is then read once, filtered inside the scan tasks and never
+shuffled; the final left join meets only the matching rows. Above the bound
+it is the plain left join (sort-merge, AQE skew splitting).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..session import checkpoint_root
+
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable, eager checkpoint: cuts the lineage and survives executor loss."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def attach_dimension(result: DataFrame, dim: DataFrame, key: str, cols: list[str],
+                     max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``result LEFT JOIN dim[key, *cols] USING (key)``, shuffling the
+    dimension only when the result is larger than ``max_rows``."""
+    dim = dim.select(key, *cols)
+    small = materialize(result)
+    if small.count() > max_rows:
+        return small.join(dim, key, "left")
+    keys = small.select(key).where(F.col(key).isNotNull())
+    matching = dim.join(F.broadcast(keys), key, "left_semi")
+    return small.join(matching, key, "left")

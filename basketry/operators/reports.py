@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import amount, exact_cents_avg, money, or_default, to_day
+from .joins import attach_dimension
 from .ranking import top_n, top_n_with_ties
 
 
@@ -79,11 +80,13 @@ def top_selling_products(purchases: DataFrame, products: DataFrame,
 
     The rank filter runs before the join, so only the ranked rows meet the
     dimension (same result as ranking after the join when products are
-    unique)."""
+    unique), and the dimension is filtered by the ranked ids instead of
+    being shuffled (see ``joins.attach_dimension``). The ranked rows are
+    computed when this function is called."""
     totals = purchases.groupBy("product_id").agg(
         F.sum("quantity").cast("long").alias("total_sales"))
     ranked = top_n_with_ties(totals, "total_sales", limit)
-    return (with_product(ranked, products, "name")
+    return (attach_dimension(ranked, products, "product_id", ["name"])
             .select("product_id", or_default("name", "Unknown").alias("name"),
                     "total_sales", "rank")
             .orderBy("rank", "product_id"))

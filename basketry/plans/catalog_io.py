@@ -46,13 +46,13 @@ def _run_ingest(spark, d, name, dedup_delay=None):
     base = shared_dir(spark, name)
     topic, table, dead, ck = (f"{base}/{x}" for x in ("topic", "table", "dead", "checkpoint"))
     _publish_purchase_events(spark, d, topic, copies=2 if dedup_delay else 1)
-    q = ingest_purchases(stream_topic(spark, TOPIC, path=topic, max_files_per_trigger=1),
+    q = ingest_purchases(stream_topic(spark, TOPIC, path=topic),
                          table, dead, ck, trigger=AVAILABLE_NOW, dedup_delay=dedup_delay)
     q.awaitTermination()
     if dedup_delay:
         # Restart on the same checkpoint after every event is sent once more.
         _publish_purchase_events(spark, d, topic, copies=1, with_defects=False)
-        q = ingest_purchases(stream_topic(spark, TOPIC, path=topic, max_files_per_trigger=1),
+        q = ingest_purchases(stream_topic(spark, TOPIC, path=topic),
                              table, dead, ck, trigger=AVAILABLE_NOW, dedup_delay=dedup_delay)
         q.awaitTermination()
     return table, dead
@@ -229,19 +229,22 @@ HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM purchase
 
 
 def _run_upsert(spark, entity, current, key):
-    """An older version of every row at T_OLD, the current one at T_NEW;
-    files are consumed one per micro-batch, so versions merge across
-    batches and with the stored table."""
+    """An older version of every row at T_OLD, the current one at T_NEW.
+    The first run sees only the old versions; the second merges the
+    current ones with the stored table."""
     base = shared_dir(spark, f"upsert-{entity}")
     topic, table, ck = f"{base}/topic", f"{base}/table", f"{base}/checkpoint"
     old = current.withColumn("name", F.concat(F.col("name"), F.lit(" (old)")))
     if "price" in current.columns:
         old = old.withColumn("price", F.col("price") + 1)
+    def run():
+        upsert(stream_topic(spark, entity, path=topic), entity, table, ck, buckets=4,
+               trigger=AVAILABLE_NOW).awaitTermination()
+
     publish_json(old, entity, path=topic, key=key, at=T_OLD)
+    run()
     publish_json(current, entity, path=topic, key=key, at=T_NEW)
-    q = upsert(stream_topic(spark, entity, path=topic, max_files_per_trigger=1), entity, table, ck,
-               buckets=4, trigger=AVAILABLE_NOW)
-    q.awaitTermination()
+    run()
     return read_upserted(spark, table, entity)
 
 

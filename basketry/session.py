@@ -15,7 +15,12 @@ from pyspark.sql import SparkSession
 
 # Settings every session needs for stable results: UTC days and hours, and
 # adaptive execution (coalescing, skew-join splitting, runtime broadcast).
+# Streaming state (dedup keys, open windows) lives in RocksDB: off the JVM
+# heap, with incremental changelog checkpoints to the shared folder.
 BASE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -40,9 +40,9 @@ def publish_json(df: DataFrame, topic: str, servers: str | None = None, path: st
             w = w.option(o, v)
         w.save()
         return
-    as_messages(df, topic, key, at=at).write.mode("append").json(path)
+    as_messages(df, topic, key, at=at).write.mode("append").parquet(path)
 
 
 def publish_raw(records: DataFrame, path: str) -> None:
     """Append ready-made topic records (stand-in only)."""
-    records.write.mode("append").json(path)
+    records.write.mode("append").parquet(path)

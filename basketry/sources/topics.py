@@ -1,6 +1,7 @@
 """Topic sources (S5, S6): Kafka when a bootstrap address is given, else a
 file stand-in with the same columns (key, value, topic, partition, offset,
-timestamp) stored as JSON lines, one directory per topic.
+timestamp) stored as Parquet, one directory per topic (the message value
+stays JSON text, exactly as Kafka delivers it).
 
 The stand-in lets the same decode/ingest code run where no broker exists;
 ``sinks.topics.publish_json`` writes it.
@@ -31,7 +32,7 @@ def read_topic(spark: SparkSession, topic: str, servers: str | None = None, path
     """Bounded read of a topic from ``starting`` to now."""
     if servers:
         return _kafka(spark.read, servers, topic, starting, options)
-    return spark.read.schema(TOPIC_RECORD).json(path)
+    return spark.read.schema(TOPIC_RECORD).parquet(path)
 
 
 def stream_topic(spark: SparkSession, topic: str, servers: str | None = None, path: str | None = None,
@@ -45,4 +46,4 @@ def stream_topic(spark: SparkSession, topic: str, servers: str | None = None, pa
     r = spark.readStream.schema(TOPIC_RECORD)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.json(path)
+    return r.parquet(path)
