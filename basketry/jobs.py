@@ -25,14 +25,15 @@ def stage_purchases(raw: DataFrame, load_date=None) -> DataFrame:
     return with_load_date(decode_purchases(raw), load_date)
 
 
-def stage_etl(spark: SparkSession, jdbc_url: str, jdbc_props: dict, products_table: str,
-              products_path: str, topic: str, stage_base: str, servers: str | None = None,
+def stage_etl(spark: SparkSession, products_table: str, products_path: str, topic: str,
+              stage_base: str, jdbc_url: str | None = None, jdbc_props: dict | None = None,
+              masters: dict[str, DataFrame] | None = None, servers: str | None = None,
               topic_path: str | None = None, load_date=None, prefix: str = "stage_") -> dict[str, str]:
-    """Load clients and sellers (JDBC), products (table or files) and
-    purchases (topic, earliest to now) into stage tables, each fully
-    replaced. Returns {entity: path}."""
+    """Load clients and sellers (JDBC, or ready ``masters`` frames),
+    products (table or files) and purchases (topic, earliest to now) into
+    stage tables, each fully replaced. Returns {entity: path}."""
     out = {}
-    frames = dict(read_masters(spark, jdbc_url, jdbc_props))
+    frames = dict(masters if masters is not None else read_masters(spark, jdbc_url, jdbc_props))
     frames["products"] = read_table_or_files(spark, products_table, products_path)
     for name, df in frames.items():
         out[name] = f"{stage_base}/{prefix}{name}"

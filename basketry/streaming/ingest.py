@@ -88,6 +88,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def ensure_realtime(spark: SparkSession, name: str, table_path: str) -> DataFrame:
+    """K5: register the real-time table in the catalog if it is absent
+    (partitioned by batch and day over ``table_path``) and pick up the
+    partitions written since; returns the table."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in RT_TABLE.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+              f"PARTITIONED BY (batch_id, dt) LOCATION '{table_path}'")
+    if _exists(spark, table_path):
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return spark.table(name)
+
+
 def read_realtime(spark: SparkSession, table_path: str, with_day: bool = False) -> DataFrame:
     """The real-time table; empty (with its schema) before the first
     batch. ``with_day`` keeps ``dt`` so callers can prune by day."""
