@@ -11,11 +11,24 @@ def plan(df) -> str:
 
 
 def test_rank_filter_uses_window_group_limit(spark, sf_small):
-    df = reports.top_selling_products(fx.purchases(spark, sf_small), fx.products(spark, sf_small))
+    from pyspark.sql import functions as F
+    from basketry.operators.ranking import top_n_with_ties
+    totals = fx.purchases(spark, sf_small).groupBy("product_id").agg(F.sum("quantity").alias("total_sales"))
+    df = top_n_with_ties(totals, "total_sales", 10)
     df.collect()
     assert "WindowGroupLimit" in plan(df)
 
 
+def test_top_products_filters_dimension_without_shuffling_it(spark, sf_small):
+    df = reports.top_selling_products(fx.purchases(spark, sf_small), fx.products(spark, sf_small))
+    df.collect()
+    text = plan(df)
+    assert "BroadcastHashJoin" in text and "LeftSemi" in text
+    # the products scan feeds the semi join directly: no exchange above it
+    semi = text[text.index("LeftSemi"):]
+    assert "Exchange hashpartitioning" not in semi.split("BroadcastExchange")[0]
+
+
 def test_top_n_is_take_ordered(spark, sf_small):
     df = reports.top_clients(fx.purchases(spark, sf_small))
     df.collect()
