@@ -49,21 +49,29 @@ def get_seller(sellers: DataFrame, seller_id: str) -> DataFrame:
 
 
 def list_purchases(rt: DataFrame, client_id: str | None = None, product_id: str | None = None,
-                   start=None, end=None, ts: str = "ts") -> DataFrame:
+                   start=None, end=None, ts: str = "ts", day_col: str = "dt") -> DataFrame:
     """Purchases filtered by client, product and an inclusive time range,
     newest first, time rendered as ``yyyy-MM-ddTHH:mm:ssZ``.
 
     ``start``/``end`` are timestamps or ISO text; a bare date means midnight
-    (as the reference compares the text against the timestamp column)."""
+    (as the reference compares the text against the timestamp column).
+    When the table carries its day partition column ``day_col`` (the
+    ingested real-time table's ``dt``), the implied day bounds are added so
+    whole day directories are pruned."""
     df = rt
     if _given(client_id):
         df = df.where(F.col("client_id") == F.lit(client_id))
     if _given(product_id):
         df = df.where(F.col("product_id") == F.lit(product_id))
+    days = day_col in df.columns
     if _given(start):
         df = df.where(F.col(ts) >= F.lit(start).cast("timestamp"))
+        if days:
+            df = df.where(F.col(day_col) >= F.to_date(F.lit(start).cast("timestamp")))
     if _given(end):
         df = df.where(F.col(ts) <= F.lit(end).cast("timestamp"))
+        if days:
+            df = df.where(F.col(day_col) <= F.to_date(F.lit(end).cast("timestamp")))
     return (df.orderBy(F.desc(ts), F.asc("purchase_id"))
               .select(*PURCHASE_COLUMNS, iso_seconds(ts).alias("timestamp")))
 

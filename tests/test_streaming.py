@@ -84,3 +84,15 @@ def test_upsert_newest_wins(spark, tmp):
     _send(spark, topic, [_product("p2", "changed", 9)], at="2024-03-04 00:00:00")
     got = run()
     assert got["p2"] == ("changed", 9.0) and got["p1"] == ("v2", 2.0) and len(got) == 3
+
+
+def test_purchase_list_prunes_day_directories(spark, tmp):
+    from basketry.operators.realtime import list_purchases
+    _send(spark, f"{tmp}/topic", [MSG % ("a", 1, "1", "2024-03-01T10:00:00Z"),
+                                  MSG % ("b", 1, "1", "2024-03-05T10:00:00Z")])
+    _ingest(spark, tmp)
+    df = list_purchases(read_realtime(spark, f"{tmp}/r/table", with_day=True), start="2024-03-04",
+                        end="2024-03-06")
+    assert [r.purchase_id for r in df.collect()] == ["b"]
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in text
