@@ -33,13 +33,24 @@ T_OLD = "2024-02-01 00:00:00"
 T_NEW = "2024-02-02 00:00:00"
 
 
+def _partitions(spark):
+    """Topic partitions: one per core of the cluster, as a topic is sized
+    for its consumers (the reference's topics have 3)."""
+    return spark.sparkContext.defaultParallelism
+
+
+def _publish(spark, df, topic, path, key, at=None):
+    publish_json(df, topic, path=path, key=key, at=at, partitions=_partitions(spark))
+
+
 def _publish_purchase_events(spark, d, path, copies=1, with_defects=True):
     msgs = fx.purchase_messages(fx.purchases_rt(spark, d))
     for _ in range(copies):
-        publish_json(msgs, TOPIC, path=path, key="purchase_id")
+        _publish(spark, msgs, TOPIC, path, "purchase_id")
     if with_defects:
+        n = _partitions(spark)
         bad = fx.defective_events(spark, d)
-        publish_raw(as_messages(bad, TOPIC, key="purchase_id", value=F.col("value")), path)
+        publish_raw(as_messages(bad, TOPIC, key="purchase_id", partitions=n, value=F.col("value")), path, n)
 
 
 def _run_ingest(spark, d, name, dedup_delay=None):
@@ -115,7 +126,7 @@ def q_stage_products(spark, d):
 def q_stage_purchases(spark, d):
     """Purchases -> JSON messages on the topic -> decode -> stage."""
     topic = f"{shared_dir(spark, 'stage-topic')}/topic"
-    publish_json(fx.purchases(spark, d), TOPIC, path=topic, key="purchase_id")
+    _publish(spark, fx.purchases(spark, d), TOPIC, topic, "purchase_id")
     path = f"{shared_dir(spark, 'stage')}/stage_purchases"
     write_stage(jobs.stage_purchases(read_topic(spark, TOPIC, path=topic), P.LOAD_DATE), path)
     return stage(spark, "purchases", path=path)
@@ -241,9 +252,9 @@ def _run_upsert(spark, entity, current, key):
         upsert(stream_topic(spark, entity, path=topic), entity, table, ck, buckets=4,
                trigger=AVAILABLE_NOW).awaitTermination()
 
-    publish_json(old, entity, path=topic, key=key, at=T_OLD)
+    _publish(spark, old, entity, topic, key, at=T_OLD)
     run()
-    publish_json(current, entity, path=topic, key=key, at=T_NEW)
+    _publish(spark, current, entity, topic, key, at=T_NEW)
     run()
     return read_upserted(spark, table, entity)
 
