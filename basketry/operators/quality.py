@@ -22,22 +22,30 @@ class Rules:
     unique: list[str] = field(default_factory=list)
     max_length: dict[str, int] = field(default_factory=dict)
     value_range: dict[str, tuple[float, float]] = field(default_factory=dict)
+    # column -> regular expression every non-NULL value must match
+    pattern: dict[str, str] = field(default_factory=dict)
+    # column -> Spark type every non-NULL value must convert to (try_cast)
+    castable: dict[str, str] = field(default_factory=dict)
     # column -> (parent DataFrame, parent key column)
     foreign_keys: dict[str, tuple[DataFrame, str]] = field(default_factory=dict)
 
 
 # Fixed values from the master-table definitions: NOT NULL columns, keys,
-# VARCHAR lengths and the DECIMAL(3,2) range of the seller rating.
+# VARCHAR lengths and the DECIMAL(3,2) range of the seller rating; plus the
+# documented input checks: an e-mail has one @ and a dot after it.
+EMAIL_PATTERN = "^[^@ ]+@[^@ ]+[.][^@ ]+$"
 CLIENT_RULES = dict(
     not_null=["client_id", "first_name", "last_name", "email", "registration_date", "status"],
     unique=["client_id", "email"],
     max_length={"first_name": 100, "last_name": 100, "email": 150, "phone": 20, "status": 20},
+    pattern={"email": EMAIL_PATTERN},
 )
 SELLER_RULES = dict(
     not_null=["seller_id", "name", "joined_date"],
     unique=["seller_id"],
     max_length={"name": 150, "contact_email": 150, "contact_phone": 20},
     value_range={"rating": (-9.99, 9.99)},
+    pattern={"contact_email": EMAIL_PATTERN},
 )
 PRODUCT_RULES = dict(not_null=["product_id"], unique=["product_id"])
 
@@ -49,6 +57,9 @@ def _row_rules(df: DataFrame, table: str, r: Rules) -> DataFrame | None:
     checks += [("not_null", c, F.col(c).isNull()) for c in r.not_null]
     checks += [("max_length", c, F.length(c) > n) for c, n in r.max_length.items()]
     checks += [("range", c, (F.col(c) < lo) | (F.col(c) > hi)) for c, (lo, hi) in r.value_range.items()]
+    checks += [("pattern", c, F.col(c).isNotNull() & ~F.col(c).rlike(rx)) for c, rx in r.pattern.items()]
+    checks += [("type", c, F.col(c).isNotNull() & F.col(c).try_cast(t).isNull())
+               for c, t in r.castable.items()]
     if not checks:
         return None
     one = df.agg(*[F.count_if(cond).alias(f"_v{i}") for i, (_, _, cond) in enumerate(checks)])

@@ -296,6 +296,7 @@ def q_constraint_report(spark, d):
     purchase_rules = quality.Rules(
         not_null=["purchase_id", "client_id", "product_id", "quantity", "price", "timestamp"],
         value_range={"quantity": (0, 2147483647)},
+        castable={"purchase_id": "bigint", "client_id": "bigint"},
         foreign_keys={"client_id": (clients, "client_id"), "product_id": (products, "product_id")})
     return quality.constraint_reports([
         (clients, "clients", quality.CLIENT_RULES), (sellers, "sellers", quality.SELLER_RULES),
@@ -317,6 +318,16 @@ def _rng(t, cols):
             for c, (lo, hi) in cols.items()]
 
 
+def _pat(t, cols):
+    return [f"SELECT '{t}', 'pattern', '{c}', COUNT(*) FILTER (WHERE {c} IS NOT NULL "
+            f"AND NOT regexp_matches({c}, '{rx}')) FROM {t}" for c, rx in cols.items()]
+
+
+def _typ(t, cols):
+    return [f"SELECT '{t}', 'type', '{c}', COUNT(*) FILTER (WHERE {c} IS NOT NULL "
+            f"AND TRY_CAST({c} AS {ty.upper()}) IS NULL) FROM {t}" for c, ty in cols.items()]
+
+
 def _uniq(t, cols):
     return [f"SELECT '{t}', 'unique', '{c}', (SELECT COUNT(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL "
             f"GROUP BY {c} HAVING COUNT(*) > 1)) FROM (SELECT 1)" for c in cols]
@@ -329,7 +340,8 @@ def _fk(t, c, parent, pk):
 
 def _rules_sql(t, r):
     r = quality.Rules(**r) if isinstance(r, dict) else r
-    return _nn(t, r.not_null) + _len(t, r.max_length) + _rng(t, r.value_range) + _uniq(t, r.unique)
+    return (_nn(t, r.not_null) + _len(t, r.max_length) + _rng(t, r.value_range) + _pat(t, r.pattern)
+            + _typ(t, r.castable) + _uniq(t, r.unique))
 
 
 oracle("constraint_report", "clients sellers products purchases", "\nUNION ALL\n".join(
@@ -337,7 +349,8 @@ oracle("constraint_report", "clients sellers products purchases", "\nUNION ALL\n
     + _rules_sql("products", quality.PRODUCT_RULES)
     + _rules_sql("purchases", dict(
         not_null=["purchase_id", "client_id", "product_id", "quantity", "price", "timestamp"],
-        value_range={"quantity": (0, 2147483647)}))
+        value_range={"quantity": (0, 2147483647)},
+        castable={"purchase_id": "bigint", "client_id": "bigint"}))
     + _fk("purchases", "client_id", "clients", "client_id")
     + _fk("purchases", "product_id", "products", "product_id")))
 

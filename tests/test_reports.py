@@ -64,3 +64,19 @@ def test_top_n_exact_and_tie_break(spark):
     df = spark.createDataFrame([("b", 1), ("a", 1), ("c", 2)], "k string, v long")
     assert [r.k for r in ranking.top_n(df, "v", "k", 2).collect()] == ["c", "a"]
     assert sorted(r.k for r in ranking.top_n_with_ties(df, "v", 2).collect()) == ["a", "b", "c"]
+
+
+def test_constraint_report_rules(spark):
+    from basketry.operators import quality
+    clients = spark.createDataFrame(
+        [("1", "a", "b", "x@y.com", None), ("1", None, "b", "bad-email", "123456789012345678901"),
+         ("2", "c", "d", "x@y.com", None)],
+        "client_id string, first_name string, last_name string, email string, phone string")
+    parent = spark.createDataFrame([("1",)], "client_id string")
+    rules = quality.Rules(not_null=["first_name"], unique=["client_id", "email"], max_length={"phone": 20},
+                          pattern={"email": quality.EMAIL_PATTERN}, castable={"client_id": "int"},
+                          foreign_keys={"client_id": (parent, "client_id")})
+    got = {(r.rule, r.column): r.violations for r in quality.constraint_report(clients, "c", rules).collect()}
+    assert got == {("not_null", "first_name"): 1, ("max_length", "phone"): 1, ("pattern", "email"): 1,
+                   ("type", "client_id"): 0, ("unique", "client_id"): 1, ("unique", "email"): 1,
+                   ("foreign_key", "client_id"): 1}
