@@ -57,6 +57,8 @@ def _writer(table_path: str, dead_path: str):
             valid = (batch.where(F.col("reason").isNull()).select(*RT_COLUMNS)
                      .withColumn("dt", F.to_date("ts")))
             w = valid.sortWithinPartitions("dt", "ts").write.mode("overwrite").partitionBy("dt")
+            if BLOOM_COLUMNS:  # sized to the distinct values seen, not the 1 MB default
+                w = w.option("parquet.bloom.filter.adaptive.enabled", "true")
             for c in BLOOM_COLUMNS:
                 w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
             w.parquet(f"{table_path}/batch_id={batch_id}")
