@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .operators import reports
 from .operators.decode import decode_purchases
-from .operators.stage import with_load_date
+from .operators.stage import latest_products, with_load_date
 from .sinks.reports import write_report
 from .sinks.stage import write_stage
 from .sources.files import read_table_or_files
@@ -28,13 +28,16 @@ def stage_purchases(raw: DataFrame, load_date=None) -> DataFrame:
 def stage_etl(spark: SparkSession, products_table: str, products_path: str, topic: str,
               stage_base: str, jdbc_url: str | None = None, jdbc_props: dict | None = None,
               masters: dict[str, DataFrame] | None = None, servers: str | None = None,
-              topic_path: str | None = None, load_date=None, prefix: str = "stage_") -> dict[str, str]:
+              topic_path: str | None = None, load_date=None, prefix: str = "stage_",
+              dedup_products: bool = False) -> dict[str, str]:
     """Load clients and sellers (JDBC, or ready ``masters`` frames),
-    products (table or files) and purchases (topic, earliest to now) into
-    stage tables, each fully replaced. Returns {entity: path}."""
+    products (table or files; with ``dedup_products`` the newest row per
+    product) and purchases (topic, earliest to now) into stage tables, each
+    fully replaced. Returns {entity: path}."""
     out = {}
     frames = dict(masters if masters is not None else read_masters(spark, jdbc_url, jdbc_props))
-    frames["products"] = read_table_or_files(spark, products_table, products_path)
+    products = read_table_or_files(spark, products_table, products_path)
+    frames["products"] = latest_products(products) if dedup_products else products
     for name, df in frames.items():
         out[name] = f"{stage_base}/{prefix}{name}"
         write_stage(with_load_date(df, load_date), out[name], f"{prefix}{name}")

@@ -47,9 +47,17 @@ def _typed(ts_name: str) -> list[Column]:
     ]
 
 
-def decode_purchases(raw: DataFrame, value: str = "value", ts_name: str = "timestamp") -> DataFrame:
-    """Every message becomes one typed row; unparsable parts are NULL."""
-    return parsed(raw, value).select(*_typed(ts_name))
+def decode_purchases(raw: DataFrame, value: str = "value", ts_name: str = "timestamp",
+                     drop_malformed: bool = False) -> DataFrame:
+    """Every message becomes one typed row; unparsable parts are NULL.
+    A message that is not a JSON object becomes an all-NULL row, as in the
+    reference, unless ``drop_malformed`` (then use ``split_valid`` and
+    ``dead_letters`` to keep them aside)."""
+    p = parsed(raw, value)
+    if drop_malformed:
+        p = p.withColumn("reason", reject_reason()).where(
+            F.col("reason").isNull() | (F.col("reason") != F.lit(NOT_JSON)))
+    return p.select(*_typed(ts_name))
 
 
 def reject_reason() -> Column:

@@ -16,6 +16,18 @@ def with_load_date(df: DataFrame, date: _dt.date | str | None = None) -> DataFra
     return df.withColumn("load_date", d)
 
 
+def latest_products(products: DataFrame, key: str = "product_id", updated: str = "updated_at") -> DataFrame:
+    """One row per product: the one with the newest ``updated_at`` (ISO text
+    or timestamp; unparsable times rank lowest), so duplicate product files
+    cannot fan out the joins of the reports. ``max`` of a struct led by the
+    time is a partial aggregate: a product listed a million times costs one
+    row per task before the shuffle."""
+    rest = [c for c in products.columns if c != key]
+    t = F.try_to_timestamp(F.col(updated).cast("string"))
+    return (products.groupBy(key).agg(F.max(F.struct(t.alias("__t"), *rest)).alias("__m"))
+            .select(key, *[F.col(f"__m.{c}").alias(c) for c in rest]))
+
+
 def stage_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """A10: one row per table: (table, rows). Each count is its own global
     aggregate (partial counts per task, one tiny merge)."""

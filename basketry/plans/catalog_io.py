@@ -17,7 +17,7 @@ from ..session import shared_dir
 from ..sinks.reports import write_report
 from ..sinks.stage import write_stage
 from ..sinks.topics import as_messages, publish_json, publish_raw
-from ..sources.files import read_latest_report, read_table_or_files, stage
+from ..sources.files import read_latest_report, read_products, read_table_or_files, stage
 from ..sources.topics import read_topic, stream_topic
 from ..streaming.ingest import ingest_purchases, read_dead_letters, read_realtime
 from ..streaming.upsert import read_upserted, upsert
@@ -122,6 +122,21 @@ def q_stage_products(spark, d):
     return _stage_round_trip(spark, "products", src)
 
 
+@query("stage_products_latest")
+def q_stage_products_latest(spark, d):
+    """Two generations of product files under one glob (an older listing of
+    every product, then the current one): the stage keeps the newest row
+    per product."""
+    files = shared_dir(spark, "product-files")
+    current = fx.products(spark, d)
+    older = (current.withColumn("name", F.concat(F.col("name"), F.lit(" (old)")))
+             .withColumn("updated_at", F.lit("2023-12-31T23:00:00+02:00")))
+    older.write.mode("overwrite").parquet(f"{files}/generation=1")
+    current.write.mode("overwrite").parquet(f"{files}/generation=2")
+    src = read_products(spark, f"{files}/generation=*")
+    return _stage_round_trip(spark, "products", stage_ops.latest_products(src))
+
+
 @query("stage_purchases")
 def q_stage_purchases(spark, d):
     """Purchases -> JSON messages on the topic -> decode -> stage."""
@@ -136,6 +151,7 @@ _LD = f"DATE '{P.LOAD_DATE}' AS load_date"
 oracle("stage_clients", "clients", f"SELECT *, {_LD} FROM clients")
 oracle("stage_sellers", "sellers", f"SELECT *, {_LD} FROM sellers")
 oracle("stage_products", "products", f"SELECT *, {_LD} FROM products")
+oracle("stage_products_latest", "products", f"SELECT *, {_LD} FROM products")
 oracle("stage_purchases", "purchases", f"SELECT *, {_LD} FROM purchases")
 
 

@@ -69,3 +69,9 @@ def test_encode_decode_round_trip(spark, sf_small):
 def test_bytes_value(spark):
     raw = spark.createDataFrame([(bytearray(OK % ("a", "1", "2025-01-01T00:00:00Z"), "utf-8"),)], "value binary")
     assert D.decode_purchases(raw).where(F.col("purchase_id") == "a").count() == 1
+
+
+def test_batch_drop_malformed(spark):
+    raw = _raw(spark, ["garbage", OK % ("a", '"x"', "2025-04-06T12:00:00Z")])
+    out = D.decode_purchases(raw, drop_malformed=True).collect()
+    assert [(r.purchase_id, r.price) for r in out] == [("a", None)]  # other defects stay as NULLs

@@ -80,3 +80,16 @@ def test_constraint_report_rules(spark):
     assert got == {("not_null", "first_name"): 1, ("max_length", "phone"): 1, ("pattern", "email"): 1,
                    ("type", "client_id"): 0, ("unique", "client_id"): 1, ("unique", "email"): 1,
                    ("foreign_key", "client_id"): 1}
+
+
+def test_latest_products_keeps_newest(spark):
+    from basketry.operators.stage import latest_products
+    from basketry.schemas import PRODUCT
+    pr = spark.createDataFrame([
+        ("p1", "old", "x", 1.0, 1, "2024-01-01T00:00:00+00:00"),
+        ("p1", "new", "y", 2.0, 1, "2024-02-01T00:00:00Z"),
+        ("p1", "bad", "z", 3.0, 1, "not a time"),
+        ("p2", "only", "x", 1.0, 1, None)], PRODUCT)
+    got = {r.product_id: (r.name, r.category) for r in latest_products(pr).collect()}
+    assert got == {"p1": ("new", "y"), "p2": ("only", "x")}
+    assert latest_products(pr).columns == pr.columns
