@@ -2,6 +2,10 @@
 query: shuffles, broadcasts, join strategies, ranking operators, scans.
 
 Usage: python tests/plan_report.py [sf_dir]   -> markdown table on stdout
+With PLAN_NO_BROADCAST=1 size-based broadcasts are off (static and
+adaptive thresholds -1), which gives the plans Spark picks when the
+dimension tables are beyond the threshold, as at 100 TB; explicit
+broadcasts of counted results stay.
 """
 
 from __future__ import annotations
@@ -30,6 +34,9 @@ def main(argv):
     from basketry.session import build_session
     spark = build_session("local[8]", shuffle_partitions=16)
     spark.sparkContext.setLogLevel("ERROR")
+    if os.environ.get("PLAN_NO_BROADCAST"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     print("| query | " + " | ".join(SHORT) + " |")
     print("| --- |" + " --- |" * len(SHORT))
     for name, fn in E.queries().items():
