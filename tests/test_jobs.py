@@ -37,3 +37,19 @@ def test_ensure_realtime_registers_table(spark, tmp, sf_small):
     t = ensure_realtime(spark, "t_purchases_rt", f"{tmp}/table")
     assert t.count() == fx.purchases_rt(spark, sf_small).count()
     spark.sql("DROP TABLE t_purchases_rt")
+
+
+def test_command_line_reports_and_ingest(spark, tmp, sf_small):
+    from basketry.__main__ import main
+    from basketry.sinks.stage import write_stage
+    from basketry.streaming.ingest import read_realtime
+    write_stage(fx.purchases(spark, sf_small), f"{tmp}/stage/stage_purchases")
+    write_stage(fx.products(spark, sf_small), f"{tmp}/stage/stage_products")
+    out = main(["reports", "--stage-base", f"{tmp}/stage", "--reports-base", f"{tmp}/reports"], spark=spark)
+    assert set(out) == {"revenue_by_category", "top_clients", "avg_check_by_day", "top_selling_products"}
+    assert read_latest_report(spark, f"{tmp}/reports", "top_clients").count() == 10
+    publish_json(fx.purchase_messages(fx.purchases_rt(spark, sf_small)), "purchases", path=f"{tmp}/topic",
+                 key="purchase_id")
+    main(["ingest", "--topic-path", f"{tmp}/topic", "--table", f"{tmp}/rt", "--dead", f"{tmp}/dead",
+          "--checkpoint", f"{tmp}/ck", "--trigger", "available-now", "--dedup-delay", "1 day"], spark=spark)
+    assert read_realtime(spark, f"{tmp}/rt").count() == fx.purchases_rt(spark, sf_small).count()
