@@ -96,3 +96,15 @@ def test_purchase_list_prunes_day_directories(spark, tmp):
     assert [r.purchase_id for r in df.collect()] == ["b"]
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in text
+
+
+def test_ingest_sizes_files_by_rows(spark, tmp):
+    import glob
+    msgs = [MSG % (str(i), 1, "1", "2024-03-%02dT%02d:00:00Z" % (1 + i % 3, i % 24)) for i in range(60)]
+    _send(spark, f"{tmp}/topic", msgs)
+    q = ingest_purchases(stream_topic(spark, "purchases", path=f"{tmp}/topic"), f"{tmp}/t", f"{tmp}/d",
+                         f"{tmp}/ck", trigger=NOW, rows_per_file=25)
+    q.awaitTermination()
+    assert read_realtime(spark, f"{tmp}/t").count() == 60
+    files = glob.glob(f"{tmp.replace('file:', '')}/t/batch_id=0/dt=*/*.parquet")
+    assert 3 <= len(files) <= 5  # 3 range parts over 3 days, not one file per task and day
