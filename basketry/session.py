@@ -26,6 +26,9 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # delete reliable checkpoints (dimension attach, upsert merges) once
+    # nothing references them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
