@@ -211,6 +211,22 @@ def q_ingest_purchases_stream(spark, d):
 oracle("ingest_purchases_stream", "purchases_rt", _RT)
 
 
+@query("rt_client_statistics_ingested")
+def q_rt_client_statistics_ingested(spark, d):
+    """Client statistics over the real-time table the stream wrote (the
+    client filter meets the table's bloom filters)."""
+    from ..operators.realtime import rt_client_statistics
+    table, _ = _run_ingest(spark, d, "ingest-stats")
+    return rt_client_statistics(read_realtime(spark, table), P.STAT_CLIENT, cents=True)
+
+
+oracle("rt_client_statistics_ingested", "purchases_rt", f"""
+SELECT client_id, COUNT(*) AS total_purchases, CAST(SUM(quantity) AS BIGINT) AS total_quantity,
+       ROUND(SUM(quantity * price), 2) AS total_spent,
+       CAST(SUM(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / COUNT(price) AS avg_price
+FROM purchases_rt WHERE client_id = '{P.STAT_CLIENT}' GROUP BY client_id""")
+
+
 @query("dead_letters")
 def q_dead_letters(spark, d):
     _, dead = _run_ingest(spark, d, "dead-letters")
