@@ -16,13 +16,25 @@ def top_n(df: DataFrame, by: str, tie_key: str, n: int) -> DataFrame:
 
 
 def with_dense_rank(df: DataFrame, by: str, name: str = "rank") -> DataFrame:
-    """Global dense rank, largest ``by`` first (W1). Use together with a
-    ``rank <= n`` filter: Spark then inserts a partial WindowGroupLimit before
-    the single-partition exchange, so each task ships only its top rank
-    groups instead of every row."""
+    """Global dense rank, largest ``by`` first (W1). The window has no
+    partition key, so every row goes to one task; for ``rank <= n`` use
+    ``top_n_with_ties``, which is distributed."""
     return df.withColumn(name, F.dense_rank().over(Window.orderBy(F.desc(by))).cast("long"))
 
 
 def top_n_with_ties(df: DataFrame, by: str, n: int, name: str = "rank") -> DataFrame:
-    """All rows whose dense rank is <= n; ties may give more than n rows."""
-    return with_dense_rank(df, by, name).where(F.col(name) <= n)
+    """All rows whose dense rank by ``by`` (largest first, NULL last) is <= n;
+    ties may give more than n rows (O5).
+
+    Same result as ``with_dense_rank(...) <= n`` without its single-partition
+    window: when many rows share the top values, that window would still
+    send them all to one task. Here the n largest distinct values are found
+    with a distinct + top-n (at most n rows leave each task), numbered in a
+    window over those n rows, and broadcast (a proven bound of n rows) into
+    a join that keeps every row holding one of them, in parallel."""
+    values = df.select(by).distinct()
+    top = values.orderBy(F.desc_nulls_last(by)).limit(n)
+    ranked = top.select(F.col(by).alias("__v"),
+                        F.row_number().over(Window.orderBy(F.desc_nulls_last(by))).cast("long").alias(name))
+    return (df.join(F.broadcast(ranked), df[by].eqNullSafe(ranked["__v"]))
+              .drop("__v"))

@@ -10,13 +10,16 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_rank_filter_uses_window_group_limit(spark, sf_small):
+def test_rank_with_ties_has_no_full_single_partition_window(spark, sf_small):
     from pyspark.sql import functions as F
-    from basketry.operators.ranking import top_n_with_ties
+    from basketry.operators.ranking import top_n_with_ties, with_dense_rank
     totals = fx.purchases(spark, sf_small).groupBy("product_id").agg(F.sum("quantity").alias("total_sales"))
     df = top_n_with_ties(totals, "total_sales", 10)
-    df.collect()
-    assert "WindowGroupLimit" in plan(df)
+    expected = with_dense_rank(totals, "total_sales").where("rank <= 10")
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, expected.select(*df.columns).collect()))
+    text = plan(df)
+    # the only window is over the top-n distinct values; rows meet them in a broadcast join
+    assert "TakeOrderedAndProject" in text and "BroadcastHashJoin" in text
 
 
 def test_top_products_filters_dimension_without_shuffling_it(spark, sf_small):

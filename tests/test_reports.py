@@ -60,6 +60,14 @@ def test_top_selling_products_keeps_ties(spark):
     assert out == [("p1", "one", 5, 1), ("p2", "Unknown", 5, 1), ("p3", "three", 3, 2)]
 
 
+def test_top_n_with_ties_all_tied_and_nulls(spark):
+    df = spark.createDataFrame([(f"k{i}", 7) for i in range(50)] + [("a", 9), ("n", None)], "k string, v long")
+    out = ranking.top_n_with_ties(df, "v", 2).collect()
+    assert len(out) == 51 and {r.rank for r in out if r.k != "a"} == {2}
+    out3 = {r.k: r.rank for r in ranking.top_n_with_ties(df, "v", 3).collect()}
+    assert out3["n"] == 3 and len(out3) == 52  # NULL ranks last, as in dense_rank desc
+
+
 def test_top_n_exact_and_tie_break(spark):
     df = spark.createDataFrame([("b", 1), ("a", 1), ("c", 2)], "k string, v long")
     assert [r.k for r in ranking.top_n(df, "v", "k", 2).collect()] == ["c", "a"]
