@@ -39,7 +39,10 @@ def main(argv):
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     print("| query | " + " | ".join(SHORT) + " |")
     print("| --- |" + " --- |" * len(SHORT))
+    only = [q for q in os.environ.get("PLAN_QUERIES", "").split(",") if q]
     for name, fn in E.queries().items():
+        if only and name not in only:
+            continue
         df = fn(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
