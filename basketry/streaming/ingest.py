@@ -68,7 +68,7 @@ def _writer(table_path: str, dead_path: str, rows_per_file: int = ROWS_PER_FILE)
                                         F.count_if(F.col("reason").isNotNull())).first()
             valid = (batch.where(F.col("reason").isNull()).select(*RT_COLUMNS)
                      .withColumn("dt", F.to_date("ts"))
-                     .repartitionByRange(_parts(n_valid, rows_per_file), "dt", "ts"))
+                     .repartitionByRange(_parts(n_valid, rows_per_file), "dt", "ts", "purchase_id"))
             w = valid.sortWithinPartitions("dt", "ts").write.mode("overwrite").partitionBy("dt")
             if BLOOM_COLUMNS:  # sized to the distinct values seen, not the 1 MB default
                 w = w.option("parquet.bloom.filter.adaptive.enabled", "true")

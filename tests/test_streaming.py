@@ -108,3 +108,13 @@ def test_ingest_sizes_files_by_rows(spark, tmp):
     assert read_realtime(spark, f"{tmp}/t").count() == 60
     files = glob.glob(f"{tmp.replace('file:', '')}/t/batch_id=0/dt=*/*.parquet")
     assert 3 <= len(files) <= 5  # 3 range parts over 3 days, not one file per task and day
+
+
+def test_ingest_splits_rows_sharing_one_timestamp(spark, tmp):
+    import glob
+    _send(spark, f"{tmp}/topic", [MSG % (str(i), 1, "1", "2024-03-01T10:00:00Z") for i in range(60)])
+    q = ingest_purchases(stream_topic(spark, "purchases", path=f"{tmp}/topic"), f"{tmp}/t", f"{tmp}/d",
+                         f"{tmp}/ck", trigger=NOW, rows_per_file=20)
+    q.awaitTermination()
+    files = glob.glob(f"{tmp.replace('file:', '')}/t/batch_id=0/dt=*/*.parquet")
+    assert read_realtime(spark, f"{tmp}/t").count() == 60 and len(files) == 3  # not one task for the hot time
