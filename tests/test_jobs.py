@@ -53,3 +53,18 @@ def test_command_line_reports_and_ingest(spark, tmp, sf_small):
     main(["ingest", "--topic-path", f"{tmp}/topic", "--table", f"{tmp}/rt", "--dead", f"{tmp}/dead",
           "--checkpoint", f"{tmp}/ck", "--trigger", "available-now", "--dedup-delay", "1 day"], spark=spark)
     assert read_realtime(spark, f"{tmp}/rt").count() == fx.purchases_rt(spark, sf_small).count()
+
+
+def test_stage_etl_dedups_products(spark, tmp, sf_small):
+    pr = fx.products(spark, sf_small)
+    old = pr.withColumn("name", F.lit("stale")).withColumn("updated_at", F.lit("2020-01-01T00:00:00Z"))
+    old.write.parquet(f"{tmp}/files/g1")
+    pr.write.parquet(f"{tmp}/files/g2")
+    publish_json(fx.purchases(spark, sf_small), "purchases", path=f"{tmp}/topic", key="purchase_id")
+    masters = {"clients": fx.clients(spark, sf_small), "sellers": fx.sellers(spark, sf_small)}
+    out = jobs.stage_etl(spark, "no_products_table", f"{tmp}/files/g*", "purchases", f"{tmp}/stage",
+                         masters=masters, topic_path=f"{tmp}/topic", prefix="d_stage_", dedup_products=True)
+    staged = spark.read.parquet(out["products"])
+    assert staged.count() == pr.count() and staged.where(F.col("name") == "stale").count() == 0
+    for t in out:
+        spark.sql(f"DROP TABLE d_stage_{t}")
