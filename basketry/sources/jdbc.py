@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 HASH_SQL = {
     "postgresql": "abs(hashtext(CAST({col} AS text)))",
     "mysql": "CRC32(CAST({col} AS CHAR))",
-    "derby": "ABS(MOD(LENGTH({col}) * 31 + ASCII(SUBSTR({col}, 1, 1)), 2147483647))",
 }
 
 
