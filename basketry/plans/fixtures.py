@@ -4,7 +4,8 @@ Each adapter is a DataFrame derived from whole tables, so its work grows with
 the data. The DuckDB oracle uses the same definitions as CTEs (see
 ``basketry.plans.oracle``). All ids become strings; ``l_extendedprice`` is the
 unit price so amounts stay on whole cents. The products adapter leaves out
-every tenth part so the unmatched (``N/A`` / ``Unknown``) path is exercised.
+the parts of one delisted brand, so the unmatched (``N/A`` / ``Unknown``)
+path is exercised on whole tables.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 PRODUCT_UPDATED_AT = "2024-01-01T00:00:00+00:00"
 MASTER_TIME = "2020-01-01 00:00:00"
 EMAIL_DOMAIN = "@example.com"
+DELISTED_BRAND = "Brand#25"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,7 +48,7 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").where(F.col("p_partkey") % 10 != 0).select(
+    return table(spark, sf_dir, "part").where(F.col("p_brand") != DELISTED_BRAND).select(
         F.col("p_partkey").cast("string").alias("product_id"),
         F.col("p_name").alias("name"),
         F.col("p_type").alias("category"),
