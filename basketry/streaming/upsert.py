@@ -3,31 +3,42 @@ X3 sellers): "add and update" messages, newest wins.
 
 Messages carry no event time, so recency is the topic order
 (broker timestamp, partition, offset). The table is hash-bucketed on the
-key (``bucket=<b>`` directories). Per micro-batch:
+key and versioned, so no micro-batch overwrites files a reader may use::
+
+    <table>/version=<v>/bucket=<b>/part-*.parquet   rows of bucket b as of v
+    <table>/_commits/<v>.<stream>.<batch>            commit marker of v
+
+Per micro-batch:
 
 1. decode, keep the newest message per key (``max`` of a struct whose
    leading fields are the recency columns: a partial aggregate, so a key
    sent a million times costs one row per task, not one task);
-2. read only the buckets the batch touches (partition pruning; the touched
-   bucket ids are at most ``buckets`` integers);
-3. merge current and new rows, newest per key again;
-4. checkpoint the merge (cuts the lineage to the files about to be
-   replaced), then overwrite just those buckets (dynamic partition
-   overwrite).
-
-A replayed batch merges the same messages again and yields the same rows,
-so the result is idempotent.
+2. read only the buckets the batch touches, each at its newest committed
+   version (the touched bucket ids are at most ``buckets`` integers);
+3. merge current and new rows, newest per key again, checkpoint the merge;
+4. write the touched buckets to a new ``version=<v>`` directory, then
+   create the commit marker: a single file create, atomic on HDFS and
+   object stores. Readers see version ``v`` only once its marker exists.
+
+A crash before the marker leaves an uncommitted directory that readers
+ignore and the replayed batch rewrites; a batch replayed after its marker
+was written (crash before the stream's own commit) finds its marker and
+does nothing. One writer per table. Superseded bucket directories are
+deleted once ``retain`` newer committed versions of that bucket exist, so
+a reader that listed the table up to ``retain - 1`` batches ago still finds
+its files, and the listing stays at about ``buckets * retain`` directories.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import PRODUCT_RT, SELLER_RT
-from .ingest import _exists
 
 RECENCY = ("_ts", "_partition", "_offset")
 ENTITIES = {
@@ -59,8 +70,99 @@ def decode_records(records: DataFrame, schema: T.StructType, key: str) -> DataFr
             .select("m.*", *RECENCY).where(F.col(key).isNotNull()))
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _list(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p)]
+
+
+def _commits(spark: SparkSession, table_path: str) -> list[tuple[int, str, int]]:
+    """(version, stream token, batch id) of every committed version."""
+    out = []
+    for name in _list(spark, f"{table_path}/_commits"):
+        v, token, batch = name.split(".")
+        out.append((int(v), token, int(batch)))
+    return out
+
+
+def _layout(spark: SparkSession, table_path: str) -> dict[int, list[int]]:
+    """bucket -> committed versions holding it, newest first."""
+    committed = {v for v, _, _ in _commits(spark, table_path)}
+    held: dict[int, list[int]] = {}
+    for vdir in _list(spark, table_path):
+        if not vdir.startswith("version="):
+            continue
+        v = int(vdir.split("=", 1)[1])
+        if v not in committed:
+            continue
+        for bdir in _list(spark, f"{table_path}/{vdir}"):
+            if bdir.startswith("bucket="):
+                held.setdefault(int(bdir.split("=", 1)[1]), []).append(v)
+    return {b: sorted(vs, reverse=True) for b, vs in held.items()}
+
+
+def _snapshot_paths(spark: SparkSession, table_path: str, buckets=None) -> list[str]:
+    """Directory of each bucket at its newest committed version."""
+    return [f"{table_path}/version={vs[0]}/bucket={b}"
+            for b, vs in sorted(_layout(spark, table_path).items())
+            if buckets is None or b in buckets]
+
+
+def _read_snapshot(spark: SparkSession, table_path: str, stored: T.StructType, buckets=None):
+    paths = _snapshot_paths(spark, table_path, buckets)
+    if not paths:
+        return None
+    schema = T.StructType(stored.fields + [T.StructField("version", T.LongType())])
+    return spark.read.schema(schema).option("basePath", table_path).parquet(*paths)
+
+
+def _vacuum(spark: SparkSession, table_path: str, current: int, retain: int) -> None:
+    """Delete bucket directories with ``retain`` newer committed versions,
+    version directories left without buckets (and their markers) outside the
+    newest ``retain`` versions, and uncommitted directories of earlier
+    attempts."""
+    commits = _commits(spark, table_path)
+    committed = {v for v, _, _ in commits}
+    newest = set(sorted(committed, reverse=True)[:retain])
+    for b, vs in _layout(spark, table_path).items():
+        for v in vs[retain:]:
+            fs, p = _fs(spark, f"{table_path}/version={v}/bucket={b}")
+            fs.delete(p, True)
+    for vdir in _list(spark, table_path):
+        if not vdir.startswith("version="):
+            continue
+        v = int(vdir.split("=", 1)[1])
+        stale = v not in committed and v < current
+        empty = v in committed and v not in newest and not any(
+            d.startswith("bucket=") for d in _list(spark, f"{table_path}/{vdir}"))
+        if stale or empty:
+            fs, p = _fs(spark, f"{table_path}/{vdir}")
+            fs.delete(p, True)
+    for v, token, batch in commits:
+        if v not in newest and not _list(spark, f"{table_path}/version={v}"):
+            fs, p = _fs(spark, f"{table_path}/_commits/{v}.{token}.{batch}")
+            fs.delete(p, False)
+
+
+def stream_token(checkpoint: str) -> str:
+    """Stable id of a stream: the same checkpoint gives the same token."""
+    return hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+
+
 def merge_batch(spark: SparkSession, batch: DataFrame, table_path: str, key: str,
-                schema: T.StructType, buckets: int) -> None:
+                schema: T.StructType, buckets: int, token: str = "batch", batch_id: int = 0,
+                retain: int = 2) -> None:
+    commits = _commits(spark, table_path)
+    if any(t == token and b == batch_id for _, t, b in commits):
+        return  # replay of a batch whose version is already committed
+    version = max((v for v, _, _ in commits), default=-1) + 1
     newest = latest_per_key(batch, key).withColumn(
         "bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
     newest = newest.checkpoint(eager=True)
@@ -70,23 +172,27 @@ def merge_batch(spark: SparkSession, batch: DataFrame, table_path: str, key: str
     stored = _stored_schema(schema)
     cols = [f.name for f in stored.fields]
     merged = newest.select(*cols)
-    if _exists(spark, table_path):
-        current = (spark.read.schema(stored).parquet(table_path)
-                   .where(F.col("bucket").isin(touched)).select(*cols))
-        merged = latest_per_key(current.unionByName(merged).drop("bucket"), key).withColumn(
+    current = _read_snapshot(spark, table_path, stored, set(touched))
+    if current is not None:
+        merged = latest_per_key(current.select(*cols).unionByName(merged).drop("bucket"), key).withColumn(
             "bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).select(*cols)
         merged = merged.checkpoint(eager=True)
-    (merged.repartition("bucket").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(table_path))
+    (merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket")
+     .parquet(f"{table_path}/version={version}"))
+    fs, p = _fs(spark, f"{table_path}/_commits/{version}.{token}.{batch_id}")
+    fs.create(p, True).close()
+    _vacuum(spark, table_path, version, retain)
 
 
 def upsert(stream: DataFrame, entity: str, table_path: str, checkpoint: str,
-           buckets: int = 16, trigger: dict | None = None) -> StreamingQuery:
+           buckets: int = 16, trigger: dict | None = None, retain: int = 2) -> StreamingQuery:
     """Start the upsert stream for ``entity`` ("products" or "sellers")."""
     key, schema = ENTITIES[entity]
+    token = stream_token(checkpoint)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(batch.sparkSession, batch, table_path, key, schema, buckets)
+        merge_batch(batch.sparkSession, batch, table_path, key, schema, buckets, token, batch_id,
+                    retain)
 
     return (decode_records(stream, schema, key).writeStream.foreachBatch(write_batch)
             .option("checkpointLocation", checkpoint)
@@ -97,6 +203,7 @@ def read_upserted(spark: SparkSession, table_path: str, entity: str) -> DataFram
     """Current rows of an upserted table (payload columns only)."""
     key, schema = ENTITIES[entity]
     cols = [f.name for f in schema.fields]
-    if not _exists(spark, table_path):
+    df = _read_snapshot(spark, table_path, _stored_schema(schema))
+    if df is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(_stored_schema(schema)).parquet(table_path).select(*cols)
+    return df.select(*cols)

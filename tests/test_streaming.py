@@ -86,6 +86,50 @@ def test_upsert_newest_wins(spark, tmp):
     assert got["p2"] == ("changed", 9.0) and got["p1"] == ("v2", 2.0) and len(got) == 3
 
 
+def _product_batch(spark, rows, at):
+    df = spark.createDataFrame(rows, "product_id string, name string, price double")
+    return df.select("product_id", "name", F.lit("c").alias("category"), "price",
+                     F.lit(None).cast("string").alias("description"), F.lit("s").alias("seller_id"),
+                     F.to_timestamp(F.lit(at)).alias("_ts"), F.lit(0).alias("_partition"),
+                     F.monotonically_increasing_id().alias("_offset"))
+
+
+def test_upsert_versions_are_crash_safe(spark, tmp):
+    import os
+    from basketry.schemas import PRODUCT_RT
+    from basketry.streaming.upsert import merge_batch
+    table = f"{tmp}/table"
+
+    def merge(rows, at, batch_id, token="t1"):
+        merge_batch(spark, _product_batch(spark, rows, at), table, "product_id", PRODUCT_RT, 4,
+                    token, batch_id, retain=2)
+
+    def current():
+        return {r.product_id: r.name for r in read_upserted(spark, table, "products").collect()}
+
+    merge([("p1", "a", 1.0), ("p2", "b", 2.0)], "2024-03-01 00:00:00", 0)
+    # replay of a committed batch (crash after the marker, before the stream's commit): no-op
+    merge([("p1", "replayed", 1.0)], "2024-03-09 00:00:00", 0)
+    assert current() == {"p1": "a", "p2": "b"}
+    # an attempt that crashed before its marker leaves a directory readers ignore
+    _product_batch(spark, [("p1", "torn", 1.0)], "2024-03-09 00:00:00").withColumn(
+        "bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{table}/version=1")
+    assert current() == {"p1": "a", "p2": "b"}
+    # the replayed attempt takes the same version, replaces it, and commits
+    merge([("p1", "a2", 1.5)], "2024-03-02 00:00:00", 1)
+    assert current() == {"p1": "a2", "p2": "b"}
+    for i in range(2, 6):  # later batches; superseded buckets are vacuumed
+        merge([("p1", f"a{i + 1}", 1.0)], f"2024-03-0{i + 1} 00:00:00", i)
+    assert current() == {"p1": "a6", "p2": "b"}
+    local = table.removeprefix("file:")
+    versions = [d for d in os.listdir(local) if d.startswith("version=")]
+    markers = [m for m in os.listdir(f"{local}/_commits") if not m.startswith(".")]
+    assert len(versions) <= 3 and len(markers) == len(versions)
+    # a second stream (new checkpoint, batch ids from 0 again) still commits new versions
+    merge([("p3", "c", 3.0)], "2024-03-08 00:00:00", 0, token="t2")
+    assert current() == {"p1": "a6", "p2": "b", "p3": "c"}
+
+
 def test_purchase_list_prunes_day_directories(spark, tmp):
     from basketry.operators.realtime import list_purchases
     _send(spark, f"{tmp}/topic", [MSG % ("a", 1, "1", "2024-03-01T10:00:00Z"),
