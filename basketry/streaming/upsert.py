@@ -16,7 +16,9 @@ Per micro-batch:
 2. read only the buckets the batch touches, each at its newest committed
    version (the touched bucket ids are at most ``buckets`` integers);
 3. merge current and new rows, newest per key again, checkpoint the merge;
-4. write the touched buckets to a new ``version=<v>`` directory, then
+4. write the touched buckets to a new ``version=<v>`` directory, range
+   partitioned on (bucket, key) into files of about ``rows_per_file`` rows
+   (each file covers one key range, so key lookups skip files), then
    create the commit marker: a single file create, atomic on HDFS and
    object stores. Readers see version ``v`` only once its marker exists.
 
@@ -32,6 +34,7 @@ its files, and the listing stays at about ``buckets * retain`` directories.
 from __future__ import annotations
 
 import hashlib
+import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +44,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..schemas import PRODUCT_RT, SELLER_RT
 
 RECENCY = ("_ts", "_partition", "_offset")
+ROWS_PER_FILE = 1_000_000
 ENTITIES = {
     "products": ("product_id", PRODUCT_RT),
     "sellers": ("seller_id", SELLER_RT),
@@ -158,7 +162,7 @@ def stream_token(checkpoint: str) -> str:
 
 def merge_batch(spark: SparkSession, batch: DataFrame, table_path: str, key: str,
                 schema: T.StructType, buckets: int, token: str = "batch", batch_id: int = 0,
-                retain: int = 2) -> None:
+                retain: int = 2, rows_per_file: int = ROWS_PER_FILE) -> None:
     commits = _commits(spark, table_path)
     if any(t == token and b == batch_id for _, t, b in commits):
         return  # replay of a batch whose version is already committed
@@ -177,22 +181,24 @@ def merge_batch(spark: SparkSession, batch: DataFrame, table_path: str, key: str
         merged = latest_per_key(current.select(*cols).unionByName(merged).drop("bucket"), key).withColumn(
             "bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).select(*cols)
         merged = merged.checkpoint(eager=True)
-    (merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket")
-     .parquet(f"{table_path}/version={version}"))
+    files = len(touched) * max(1, math.ceil(merged.count() / (len(touched) * rows_per_file)))
+    (merged.repartitionByRange(files, "bucket", key).sortWithinPartitions("bucket", key)
+     .write.mode("overwrite").partitionBy("bucket").parquet(f"{table_path}/version={version}"))
     fs, p = _fs(spark, f"{table_path}/_commits/{version}.{token}.{batch_id}")
     fs.create(p, True).close()
     _vacuum(spark, table_path, version, retain)
 
 
 def upsert(stream: DataFrame, entity: str, table_path: str, checkpoint: str,
-           buckets: int = 16, trigger: dict | None = None, retain: int = 2) -> StreamingQuery:
+           buckets: int = 16, trigger: dict | None = None, retain: int = 2,
+           rows_per_file: int = ROWS_PER_FILE) -> StreamingQuery:
     """Start the upsert stream for ``entity`` ("products" or "sellers")."""
     key, schema = ENTITIES[entity]
     token = stream_token(checkpoint)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         merge_batch(batch.sparkSession, batch, table_path, key, schema, buckets, token, batch_id,
-                    retain)
+                    retain, rows_per_file)
 
     return (decode_records(stream, schema, key).writeStream.foreachBatch(write_batch)
             .option("checkpointLocation", checkpoint)

@@ -128,6 +128,12 @@ def test_upsert_versions_are_crash_safe(spark, tmp):
     # a second stream (new checkpoint, batch ids from 0 again) still commits new versions
     merge([("p3", "c", 3.0)], "2024-03-08 00:00:00", 0, token="t2")
     assert current() == {"p1": "a6", "p2": "b", "p3": "c"}
+    # files are sized by rows: one row per file here, each bucket split by key range
+    merge_batch(spark, _product_batch(spark, [(f"q{i}", "n", 1.0) for i in range(8)], "2024-03-09 00:00:00"),
+                table, "product_id", PRODUCT_RT, 4, "t3", 0, retain=2, rows_per_file=1)
+    newest = max(int(d.split("=")[1]) for d in os.listdir(local) if d.startswith("version="))
+    files = [f for _, _, fs in os.walk(f"{local}/version={newest}") for f in fs if f.endswith(".parquet")]
+    assert len(files) >= 8 and len(current()) == 11
 
 
 def test_purchase_list_prunes_day_directories(spark, tmp):
