@@ -116,18 +116,30 @@ def ensure_realtime(spark: SparkSession, name: str, table_path: str) -> DataFram
     return spark.table(name)
 
 
+def committed_batches(spark: SparkSession, path: str) -> list[str]:
+    """``batch_id=`` directories whose write job has committed (Spark's
+    ``_SUCCESS`` marker is created last), found with one glob."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id=*/_SUCCESS")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(str(st.getPath().getParent().toString()) for st in (found or []))
+
+
 def read_realtime(spark: SparkSession, table_path: str, with_day: bool = False) -> DataFrame:
-    """The real-time table; empty (with its schema) before the first
+    """The real-time table, committed batches only (a batch being
+    written is not seen half-done); empty (with its schema) before the first
     batch. ``with_day`` keeps ``dt`` so callers can prune by day."""
-    if not _exists(spark, table_path):
+    batches = committed_batches(spark, table_path)
+    if not batches:
         df = spark.createDataFrame([], RT_TABLE)
     else:
-        df = spark.read.schema(RT_TABLE).option("basePath", table_path).parquet(table_path)
+        df = spark.read.schema(RT_TABLE).option("basePath", table_path).parquet(*batches)
     return df.select(*RT_COLUMNS, *(["dt"] if with_day else []))
 
 
 def read_dead_letters(spark: SparkSession, dead_path: str) -> DataFrame:
-    if not _exists(spark, dead_path):
+    batches = committed_batches(spark, dead_path)
+    if not batches:
         return spark.createDataFrame([], DEAD_TABLE).select(*DEAD_COLUMNS)
-    return (spark.read.schema(DEAD_TABLE).option("basePath", dead_path).parquet(dead_path)
+    return (spark.read.schema(DEAD_TABLE).option("basePath", dead_path).parquet(*batches)
             .select(*DEAD_COLUMNS))

@@ -136,6 +136,21 @@ def test_upsert_versions_are_crash_safe(spark, tmp):
     assert len(files) >= 8 and len(current()) == 11
 
 
+def test_realtime_reads_committed_batches_only(spark, tmp):
+    import os
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    _send(spark, f"{tmp}/topic", [MSG % ("a", 1, "2.5", "2024-03-01T10:00:00Z")])
+    assert [r.purchase_id for r in _ingest(spark, tmp).collect()] == ["a"]
+    # files of a batch whose job has not committed (no _SUCCESS yet)
+    torn = f"{tmp}/r/table/batch_id=99/dt=2024-03-01".removeprefix("file:")
+    os.makedirs(torn)
+    pq.write_table(pa.table({"purchase_id": ["torn"], "client_id": ["c"], "product_id": ["p"],
+                             "quantity": pa.array([1], pa.int32()), "price": [1.0],
+                             "ts": pa.array([0], pa.timestamp("us", tz="UTC"))}), f"{torn}/part-0.parquet")
+    assert [r.purchase_id for r in read_realtime(spark, f"{tmp}/r/table").collect()] == ["a"]
+
+
 def test_purchase_list_prunes_day_directories(spark, tmp):
     from basketry.operators.realtime import list_purchases
     _send(spark, f"{tmp}/topic", [MSG % ("a", 1, "1", "2024-03-01T10:00:00Z"),
