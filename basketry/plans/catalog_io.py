@@ -19,7 +19,7 @@ from ..sinks.stage import write_stage
 from ..sinks.topics import as_messages, publish_json, publish_raw
 from ..sources.files import read_latest_report, read_products, read_table_or_files, stage
 from ..sources.topics import read_topic, stream_topic
-from ..streaming.ingest import ingest_purchases, read_dead_letters, read_realtime
+from ..streaming.ingest import compact_realtime, ingest_purchases, read_dead_letters, read_realtime
 from ..streaming.upsert import read_upserted, upsert
 from ..streaming.windows import start_windowed_revenue, windowed_revenue
 from . import fixtures as fx
@@ -211,6 +211,23 @@ def q_ingest_purchases_stream(spark, d):
 oracle("ingest_purchases_stream", "purchases_rt", _RT)
 
 
+@query("ingest_compacted")
+def q_ingest_compacted(spark, d):
+    """Ingest in several micro-batches (a few topic files each), compact
+    all but the newest batch, read back compaction plus newer batches."""
+    base = shared_dir(spark, "compact")
+    topic, table, dead, ck = (f"{base}/{x}" for x in ("topic", "table", "dead", "checkpoint"))
+    _publish_purchase_events(spark, d, topic)
+    q = ingest_purchases(stream_topic(spark, TOPIC, path=topic, max_files_per_trigger=_partitions(spark) // 2 or 1),
+                         table, dead, ck, trigger=AVAILABLE_NOW)
+    q.awaitTermination()
+    compact_realtime(spark, table)
+    return read_realtime(spark, table)
+
+
+oracle("ingest_compacted", "purchases_rt", _RT)
+
+
 @query("rt_client_statistics_ingested")
 def q_rt_client_statistics_ingested(spark, d):
     """Client statistics over the real-time table the stream wrote (the

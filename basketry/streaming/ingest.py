@@ -37,6 +37,7 @@ SOURCE_COLUMNS = ("key", "partition", "offset")
 DEAD_COLUMNS = (*SOURCE_COLUMNS, "value", "reason")
 BLOOM_COLUMNS = ("client_id", "product_id")
 ROWS_PER_FILE = 1_000_000
+COMPACTED = "_compacted"  # hidden from directory reads of the table (leading "_")
 
 RT_TABLE = T.StructType(PURCHASE_RT.fields + [T.StructField("batch_id", T.LongType()),
                                              T.StructField("dt", T.DateType())])
@@ -60,6 +61,18 @@ def _parts(rows: int, rows_per_file: int) -> int:
     return max(1, math.ceil(rows / rows_per_file))
 
 
+def _write_rows(rows: DataFrame, path: str, n: int, rows_per_file: int) -> None:
+    """Real-time rows (with ``dt``) range partitioned on (day, time) into
+    files of about ``rows_per_file`` rows, sorted by time, with bloom filters."""
+    w = (rows.repartitionByRange(_parts(n, rows_per_file), "dt", "ts", "purchase_id")
+         .sortWithinPartitions("dt", "ts").write.mode("overwrite").partitionBy("dt"))
+    if BLOOM_COLUMNS:  # sized to the distinct values seen, not the 1 MB default
+        w = w.option("parquet.bloom.filter.adaptive.enabled", "true")
+    for c in BLOOM_COLUMNS:
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    w.parquet(path)
+
+
 def _writer(table_path: str, dead_path: str, rows_per_file: int = ROWS_PER_FILE):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -67,14 +80,8 @@ def _writer(table_path: str, dead_path: str, rows_per_file: int = ROWS_PER_FILE)
             n_valid, n_dead = batch.agg(F.count_if(F.col("reason").isNull()),
                                         F.count_if(F.col("reason").isNotNull())).first()
             valid = (batch.where(F.col("reason").isNull()).select(*RT_COLUMNS)
-                     .withColumn("dt", F.to_date("ts"))
-                     .repartitionByRange(_parts(n_valid, rows_per_file), "dt", "ts", "purchase_id"))
-            w = valid.sortWithinPartitions("dt", "ts").write.mode("overwrite").partitionBy("dt")
-            if BLOOM_COLUMNS:  # sized to the distinct values seen, not the 1 MB default
-                w = w.option("parquet.bloom.filter.adaptive.enabled", "true")
-            for c in BLOOM_COLUMNS:
-                w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
-            w.parquet(f"{table_path}/batch_id={batch_id}")
+                     .withColumn("dt", F.to_date("ts")))
+            _write_rows(valid, f"{table_path}/batch_id={batch_id}", n_valid, rows_per_file)
             (batch.where(F.col("reason").isNotNull()).select(*DEAD_COLUMNS)
              .repartition(_parts(n_dead, rows_per_file))
              .write.mode("overwrite").parquet(f"{dead_path}/batch_id={batch_id}"))
@@ -116,27 +123,99 @@ def ensure_realtime(spark: SparkSession, name: str, table_path: str) -> DataFram
     return spark.table(name)
 
 
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return sorted(str(st.getPath().getParent().toString()) for st in (found or []))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _number(path: str) -> int:
+    return int(path.rstrip("/").rsplit("=", 1)[1])
+
+
 def committed_batches(spark: SparkSession, path: str) -> list[str]:
     """``batch_id=`` directories whose write job has committed (Spark's
     ``_SUCCESS`` marker is created last), found with one glob."""
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id=*/_SUCCESS")
-    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
-    return sorted(str(st.getPath().getParent().toString()) for st in (found or []))
+    return _glob(spark, f"{path}/batch_id=*/_SUCCESS")
+
+
+def _compactions(spark: SparkSession, table_path: str) -> list[str]:
+    """Finished compactions, oldest first."""
+    return sorted(_glob(spark, f"{table_path}/{COMPACTED}/upto=*/_SUCCESS"), key=_number)
+
+
+def _snapshot(spark: SparkSession, table_path: str):
+    """(newest finished compaction or None, committed batches after it)."""
+    done = _compactions(spark, table_path)
+    base = done[-1] if done else None
+    upto = _number(base) if base else -1
+    batches = [b for b in committed_batches(spark, table_path) if _number(b) > upto]
+    return base, sorted(batches, key=_number)
+
+
+def _read_parts(spark: SparkSession, table_path: str, base: str | None, batches: list[str]) -> DataFrame:
+    cols = [*RT_COLUMNS, "dt"]
+    parts = []
+    if base:
+        parts.append(spark.read.schema(RT_TABLE).option("basePath", base).parquet(base).select(*cols))
+    if batches:
+        parts.append(spark.read.schema(RT_TABLE).option("basePath", table_path).parquet(*batches)
+                     .select(*cols))
+    if not parts:
+        return spark.createDataFrame([], RT_TABLE).select(*cols)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def read_realtime(spark: SparkSession, table_path: str, with_day: bool = False) -> DataFrame:
-    """The real-time table, committed batches only (a batch being
-    written is not seen half-done); empty (with its schema) before the first
-    batch. ``with_day`` keeps ``dt`` so callers can prune by day."""
-    batches = committed_batches(spark, table_path)
-    if not batches:
-        df = spark.createDataFrame([], RT_TABLE)
-    else:
-        df = spark.read.schema(RT_TABLE).option("basePath", table_path).parquet(*batches)
+    """The real-time table: the newest finished compaction plus the
+    committed batches after it (a batch being written is not seen half-done);
+    empty (with its schema) before the first batch. ``with_day`` keeps ``dt``
+    so callers can prune by day."""
+    df = _read_parts(spark, table_path, *_snapshot(spark, table_path))
     return df.select(*RT_COLUMNS, *(["dt"] if with_day else []))
 
 
+def compact_realtime(spark: SparkSession, table_path: str,
+                     rows_per_file: int = ROWS_PER_FILE) -> int | None:
+    """Rewrite the small per-batch directories into files of about
+    ``rows_per_file`` rows under ``_compacted/upto=<n>``; returns ``n`` or
+    None when there is nothing to do.
+
+    Takes the newest finished compaction and every committed batch after it
+    except the newest (the one batch a restarted stream may replay). The new
+    compaction becomes visible when its job commits (``_SUCCESS``); readers
+    then skip batches up to ``n``. Inputs of the previous round (batches and
+    compactions it covered) are deleted now, one round late, so a reader that
+    listed the table before the previous compaction still finds its files.
+    Run it from the scheduler, at most one at a time, alongside the stream."""
+    base, batches = _snapshot(spark, table_path)
+    todo = batches[:-1]
+    if not todo:
+        return None
+    upto = _number(todo[-1])
+    rows = _read_parts(spark, table_path, base, todo).persist()
+    try:
+        _write_rows(rows, f"{table_path}/{COMPACTED}/upto={upto}", rows.count(), rows_per_file)
+    finally:
+        rows.unpersist()
+    if base:
+        prev = _number(base)
+        for b in committed_batches(spark, table_path):
+            if _number(b) <= prev:
+                _delete(spark, b)
+        for c in _compactions(spark, table_path):
+            if _number(c) < prev:
+                _delete(spark, c)
+    return upto
+
+
 def read_dead_letters(spark: SparkSession, dead_path: str) -> DataFrame:
     batches = committed_batches(spark, dead_path)
     if not batches:

@@ -151,6 +151,34 @@ def test_realtime_reads_committed_batches_only(spark, tmp):
     assert [r.purchase_id for r in read_realtime(spark, f"{tmp}/r/table").collect()] == ["a"]
 
 
+def test_compaction_keeps_every_row_once(spark, tmp):
+    import os
+    from basketry.streaming.ingest import compact_realtime
+    table = f"{tmp}/r/table"
+    local = table.removeprefix("file:")
+
+    def ids():
+        return sorted(r.purchase_id for r in read_realtime(spark, table).collect())
+
+    for i in range(3):  # one micro-batch per send
+        _send(spark, f"{tmp}/topic", [MSG % (f"a{i}", 1, "1", f"2024-03-0{i + 1}T10:00:00Z")])
+    _ingest(spark, tmp)
+    assert compact_realtime(spark, table) == 1  # batches 0 and 1; the newest (2) stays
+    assert ids() == ["a0", "a1", "a2"]
+    assert sorted(os.listdir(f"{local}/_compacted")) == ["upto=1"]
+    for i in range(3, 5):
+        _send(spark, f"{tmp}/topic", [MSG % (f"a{i}", 1, "1", f"2024-03-0{i + 1}T10:00:00Z")])
+    _ingest(spark, tmp)
+    assert compact_realtime(spark, table) == 3  # upto=1 + batches 2, 3
+    assert ids() == ["a0", "a1", "a2", "a3", "a4"]
+    # inputs of the previous round (batches 0, 1) are gone; 2 and 3 wait one more round
+    assert sorted(d for d in os.listdir(local) if d.startswith("batch_id=")) == [
+        "batch_id=2", "batch_id=3", "batch_id=4"]
+    assert compact_realtime(spark, table) is None  # only the newest batch is left
+    df = read_realtime(spark, table, with_day=True).where(F.col("dt") == dt.date(2024, 3, 5))
+    assert [r.purchase_id for r in df.collect()] == ["a4"]
+
+
 def test_purchase_list_prunes_day_directories(spark, tmp):
     from basketry.operators.realtime import list_purchases
     _send(spark, f"{tmp}/topic", [MSG % ("a", 1, "1", "2024-03-01T10:00:00Z"),
