@@ -6,6 +6,7 @@
     $S reports --stage-base s3a://lake/stage --reports-base s3a://lake/reports
     $S ingest --topic purchases --servers broker:9092 --table s3a://rt/purchases \
         --dead s3a://rt/purchases_dead --checkpoint s3a://rt/_checkpoints/purchases --dedup-delay '1 day'
+    $S compact --table s3a://rt/purchases
 
 (``python -m basketry ...`` works the same where the package is installed.)
 
@@ -58,6 +59,9 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--checkpoint", required=True)
     i.add_argument("--dedup-delay")
     i.add_argument("--trigger", default="1 second", help="processing-time interval, or 'available-now'")
+    c = sub.add_parser("compact", help="merge the real-time table's small batch directories")
+    c.add_argument("--table", required=True)
+    c.add_argument("--rows-per-file", type=int, default=1_000_000)
     return ap
 
 
@@ -78,6 +82,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         purchases = stage(spark, "purchases", path=f"{base}/stage_purchases")
         products = stage(spark, "products", path=f"{base}/stage_products")
         return jobs.report_job(purchases, products, args.reports_base, args.top_clients, args.top_products)
+    if args.cmd == "compact":
+        from basketry.streaming.ingest import compact_realtime
+        return {"upto": compact_realtime(spark, args.table, args.rows_per_file)}
     from basketry.sources.topics import stream_topic
     from basketry.streaming.ingest import ingest_purchases
     trigger = ({"availableNow": True} if args.trigger == "available-now"

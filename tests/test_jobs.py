@@ -53,6 +53,8 @@ def test_command_line_reports_and_ingest(spark, tmp, sf_small):
     main(["ingest", "--topic-path", f"{tmp}/topic", "--table", f"{tmp}/rt", "--dead", f"{tmp}/dead",
           "--checkpoint", f"{tmp}/ck", "--trigger", "available-now", "--dedup-delay", "1 day"], spark=spark)
     assert read_realtime(spark, f"{tmp}/rt").count() == fx.purchases_rt(spark, sf_small).count()
+    assert "upto" in main(["compact", "--table", f"{tmp}/rt"], spark=spark)
+    assert read_realtime(spark, f"{tmp}/rt").count() == fx.purchases_rt(spark, sf_small).count()
 
 
 def test_stage_etl_dedups_products(spark, tmp, sf_small):
