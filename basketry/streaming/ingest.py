@@ -36,6 +36,9 @@ RT_COLUMNS = [f.name for f in PURCHASE_RT.fields]
 SOURCE_COLUMNS = ("key", "partition", "offset")
 DEAD_COLUMNS = (*SOURCE_COLUMNS, "value", "reason")
 BLOOM_COLUMNS = ("client_id", "product_id")
+# readers find committed batch and compaction directories by this marker,
+# so it is forced on for these writes whatever the cluster's default
+MARK_SUCCESS = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "true"}
 ROWS_PER_FILE = 1_000_000
 COMPACTED = "_compacted"  # hidden from directory reads of the table (leading "_")
 
@@ -65,7 +68,8 @@ def _write_rows(rows: DataFrame, path: str, n: int, rows_per_file: int) -> None:
     """Real-time rows (with ``dt``) range partitioned on (day, time) into
     files of about ``rows_per_file`` rows, sorted by time, with bloom filters."""
     w = (rows.repartitionByRange(_parts(n, rows_per_file), "dt", "ts", "purchase_id")
-         .sortWithinPartitions("dt", "ts").write.mode("overwrite").partitionBy("dt"))
+         .sortWithinPartitions("dt", "ts").write.mode("overwrite").options(**MARK_SUCCESS)
+         .partitionBy("dt"))
     if BLOOM_COLUMNS:  # sized to the distinct values seen, not the 1 MB default
         w = w.option("parquet.bloom.filter.adaptive.enabled", "true")
     for c in BLOOM_COLUMNS:
@@ -84,7 +88,7 @@ def _writer(table_path: str, dead_path: str, rows_per_file: int = ROWS_PER_FILE)
             _write_rows(valid, f"{table_path}/batch_id={batch_id}", n_valid, rows_per_file)
             (batch.where(F.col("reason").isNotNull()).select(*DEAD_COLUMNS)
              .repartition(_parts(n_dead, rows_per_file))
-             .write.mode("overwrite").parquet(f"{dead_path}/batch_id={batch_id}"))
+             .write.mode("overwrite").options(**MARK_SUCCESS).parquet(f"{dead_path}/batch_id={batch_id}"))
         finally:
             batch.unpersist()
     return write_batch
