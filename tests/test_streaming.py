@@ -177,6 +177,9 @@ def test_compaction_keeps_every_row_once(spark, tmp):
     assert compact_realtime(spark, table) is None  # only the newest batch is left
     df = read_realtime(spark, table, with_day=True).where(F.col("dt") == dt.date(2024, 3, 5))
     assert [r.purchase_id for r in df.collect()] == ["a4"]
+    # the day filter prunes directories in both the compaction and the batches
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert text.count("PartitionFilters: [isnotnull(dt") == 2
 
 
 def test_purchase_list_prunes_day_directories(spark, tmp):
