@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from ..session import shared_dir
@@ -28,7 +29,7 @@ def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null counts as empty."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
-    col = col.fill_null("").cast(pa.large_binary())
+    col = col.cast(pa.large_binary()).fill_null(b"")
     off = np.frombuffer(col.buffers()[1], dtype=np.int64)[col.offset:col.offset + len(col) + 1]
     raw = col.buffers()[2]
     data = np.frombuffer(raw, dtype=np.uint8)[off[0]:off[-1]] if raw is not None and len(col) else \
@@ -43,7 +44,7 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str,
         if not batch.num_rows:
             continue
         col = batch.column(batch.schema.get_field_index(column))
-        size = np.asarray(pa.compute.binary_length(col).fill_null(0)).astype(np.int64)
+        size = np.asarray(pc.binary_length(col).fill_null(0)).astype(np.int64)
         cut = np.flatnonzero(np.diff((np.cumsum(size) - size) // limit)) + 1
         for a, b in zip([0, *cut.tolist()], [*cut.tolist(), batch.num_rows]):
             yield batch.slice(a, b - a)

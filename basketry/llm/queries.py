@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash, urlfilter
+from . import bpe, simhash, suffixindex, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -81,3 +81,16 @@ fits AS (
     ON ends_with('.' || p.host, '.' || r.r_host) AND starts_with(p.path, r.r_path))
 SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM fits WHERE k = 1""" % (
     ", ".join(str(r) for r in URL_RULES), urlfilter._UPPER, urlfilter._LOWER)
+
+
+# --------------------------------------------------- 6 repeated passages
+REPEAT_BYTES = 400
+
+
+@query
+def op6_suffix_index(spark, sf_dir):
+    """What stays of every document without its repeated strings."""
+    found = suffixindex.repeated(table(spark, sf_dir, "documents"), length=REPEAT_BYTES)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
