@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash, suffixindex, urlfilter
+from . import bpe, linededup, simhash, suffixindex, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -94,3 +94,15 @@ def op6_suffix_index(spark, sf_dir):
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return found.select(F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
                         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# ----------------------------------------------------- 9 line de-duplication
+LINE_EDITS, LINE_BYTES = 2, 40
+
+
+@query
+def op9_line_dedup(spark, sf_dir):
+    """Every document without its repeated lines."""
+    docs = table(spark, sf_dir, "documents")
+    found = linededup.dedup_lines(docs, threshold=LINE_EDITS, min_bytes=LINE_BYTES)
+    return found.select("doc_id", "lines_found.*", F.sha2("text", 256).alias("kept_sha256"), "text")
