@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, linededup, simhash, suffixindex, toxicity, urlfilter
+from . import bpe, linededup, omh, simhash, suffixindex, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -95,6 +95,19 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM fits
     ", ".join(str(r) for r in URL_RULES), urlfilter._UPPER, urlfilter._LOWER)
 
 
+# ---------------------------------------------------- 5 fingerprints
+@query
+def op5_order_minhash(spark, sf_dir):
+    """Fingerprints of every document and of its edited text."""
+    found = omh.fingerprint_pairs(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"), omh.as_text("signature").alias("fingerprint"),
+        omh.as_text("edited_signature").alias("edited_fingerprint"),
+        omh.likeness("signature", "edited_signature").alias("near_edited"),
+        omh.likeness("signature", "next_signature").alias("near_next"))
+
+
 # --------------------------------------------------- 6 repeated passages
 REPEAT_BYTES = 400
 
