@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, linededup, omh, simhash, suffixindex, toxicity, urlfilter
+from . import bpe, langid, linededup, omh, simhash, suffixindex, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -131,3 +131,15 @@ def op9_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = linededup.dedup_lines(docs, threshold=LINE_EDITS, min_bytes=LINE_BYTES)
     return found.select("doc_id", "lines_found.*", F.sha2("text", 256).alias("kept_sha256"), "text")
+
+
+# ------------------------------------------------------------ 10 language
+@query
+def op10_language_id(spark, sf_dir):
+    """The language of every document and of every page."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    model = langid.fit(docs)
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    none = F.lit(None).cast("long")
+    return langid.identify_documents(docs, model).select("doc_id", none.alias("page_id"), "language.*").union(
+        langid.identify_pages(pages, model).select(none, "page_id", "language.*"))
