@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, linededup, omh, simhash, suffixindex, toxicity, urlfilter
+from . import ann, bpe, langid, linededup, omh, simhash, suffixindex, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -121,6 +121,17 @@ def op6_suffix_index(spark, sf_dir):
                         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+# --------------------------------------------------- 8 nearest vectors
+QUERY_STEP, NEAREST = 100, 10
+
+
+@query
+def op8_learned_partitions(spark, sf_dir):
+    """The nearest rows of every hundredth vector."""
+    found = ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % QUERY_STEP == 0, k=NEAREST)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 # ----------------------------------------------------- 9 line de-duplication
 LINE_EDITS, LINE_BYTES = 2, 40
 
