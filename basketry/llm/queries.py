@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, langid, linededup, omh, simhash, suffixindex, toxicity, urlfilter
+from . import ann, bpe, langid, linededup, mixing, omh, simhash, suffixindex, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -121,6 +121,17 @@ def op6_suffix_index(spark, sf_dir):
                         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+# ------------------------------------------------------------- 7 mixing
+@query
+def op7_mixing(spark, sf_dir):
+    """Domain posteriors, rate and copies of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = mixing.fit(docs, table(spark, sf_dir, "labels"), mixing.label_domain(), mixing.DOMAINS)
+    found = mixing.mixed(docs, model, mixing.TARGETS, budget=mixing.BUDGET)
+    shares = [F.col("mix.posterior")[i].alias(f"p_{d}") for i, d in enumerate(mixing.DOMAINS)]
+    return found.select("doc_id", "mix.tokens", *shares, "mix.rate", "mix.copies")
+
+
 # --------------------------------------------------- 8 nearest vectors
 QUERY_STEP, NEAREST = 100, 10
 
