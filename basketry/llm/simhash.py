@@ -110,8 +110,8 @@ def hex16(fp: Column | str) -> Column:
 
 # ------------------------------------------------------------- linking
 def _cells(fps: DataFrame, bits: int) -> DataFrame:
-    """(cell, fp): a fingerprint's own grid cell in every part, and the cells
-    one step up."""
+    """(cell, up, fp): a fingerprint's own grid cell in every part, and the
+    cells one step up."""
     parts = bits // 2 + 1
     edges = [round(32 * p / parts) for p in range(parts + 1)]  # in 2-bit segments
     fp = F.col("fp")
@@ -120,17 +120,27 @@ def _cells(fps: DataFrame, bits: int) -> DataFrame:
     one = fp.bitwiseXOR(next_bit).bitwiseAND(odd)
     both = F.shiftleft(fp.bitwiseAND(next_bit).bitwiseAND(odd), 1)
     pairs = one.bitwiseOR(both)  # the popcount of each 2-bit segment, in its place
-    each = []
-    for p in range(parts):
-        lo, width = 2 * edges[p], 2 * (edges[p + 1] - edges[p])
-        mask = (1 << width) - 1
-        vector = F.shiftrightunsigned(pairs, lo).bitwiseAND(F.lit(mask if mask < 1 << 63 else -1))
-        steps = F.array(*[F.lit(1 << s).cast("long") for s in range(0, width, 2)])
-        up = F.filter(steps, lambda s, v=vector: v.bitwiseAND(F.shiftleft(s, 1)) == 0)  # below 2, so it can grow
-        grown = F.transform(up, lambda s, v=vector: F.when(v.bitwiseAND(s) == 0, v.bitwiseXOR(s)).otherwise(
-            v.bitwiseXOR(s.bitwiseOR(F.shiftleft(s, 1)))))
-        each.append(F.transform(F.concat(F.array(vector), grown), lambda c, p=p: F.xxhash64(F.lit(p), c)))
-    return fps.select(F.explode(F.concat(*each)).alias("cell"), "fp")
+    each = [_cells_of_part(p, pairs, 2 * edges[p], 2 * (edges[p + 1] - edges[p])) for p in range(parts)]
+    return fps.select(F.explode(F.concat(*each)).alias("c"), "fp").select("c.cell", "c.up", "fp")
+
+
+def _cells_of_part(part: int, pairs: Column, lo: int, width: int) -> Column:
+    """The cells (cell, up) of the segments in bits lo to lo + width."""
+    mask = (1 << width) - 1
+    vector = F.shiftrightunsigned(pairs, lo).bitwiseAND(F.lit(mask if mask < 1 << 63 else -1))
+    steps = F.array(*[F.lit(1 << s).cast("long") for s in range(0, width, 2)])
+
+    def can_grow(s):  # a popcount below 2
+        return vector.bitwiseAND(F.shiftleft(s, 1)) == 0
+
+    def grown(s):
+        return F.when(vector.bitwiseAND(s) == 0, vector.bitwiseXOR(s)).otherwise(
+            vector.bitwiseXOR(s.bitwiseOR(F.shiftleft(s, 1))))
+
+    def cell(c, i):
+        return F.struct(F.xxhash64(F.lit(part), c).alias("cell"), (i > 0).alias("up"))
+
+    return F.transform(F.concat(F.array(vector), F.transform(F.filter(steps, can_grow), grown)), cell)
 
 
 def _forest(members: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -151,57 +161,86 @@ def _forest(members: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
-def _by_group(batches, finish, limit: int):
-    """Arrow batches sorted by their first column: ``finish(key, rows, block)``
-    for each run of equal keys, in blocks of ``limit`` rows at most."""
-    key, held, block = None, [], 0
+def _groups(batches, limit: int):
+    """Arrow batches (key, up, value), sorted so, as (keys, values, block) of
+    whole keys that have a row that is not ``up``, many at a time, with block
+    -1; a key with more than ``limit`` rows comes alone, in numbered blocks."""
+    k, up, v, block, last = np.empty(0, np.int64), np.empty(0, bool), np.empty(0, np.int64), 0, None
     for b in batches:
         if not b.num_rows:
             continue
-        k, v = (np.asarray(b.column(i)) for i in (0, 1))
-        cut = np.flatnonzero(k[1:] != k[:-1]) + 1
-        first = np.concatenate(([0], cut))
-        last = np.concatenate((cut, [len(k)]))
-        alone = last - first == 1
-        # runs of one row that touch neither end of the batch can't meet anything
-        skip = alone.copy()
-        skip[0] = skip[-1] = False
-        for a, z in zip(first[~skip].tolist(), last[~skip].tolist()):
-            if key is not None and k[a] != key:
-                yield from finish(key, held, block)
-                held, block = [], 0
-            key = k[a]
-            held = [*held, v[a:z]]
-            while sum(map(len, held)) > limit:
-                rows = np.concatenate(held)
-                yield from finish(key, [rows[:limit]], block, True)
-                held, block = [rows[limit:]], block + 1
-    if key is not None:
-        yield from finish(key, held, block)
+        k = np.concatenate((k, np.asarray(b.column(0))))
+        up = np.concatenate((up, np.asarray(b.column(1).cast("int8")).astype(bool)))
+        v = np.concatenate((v, np.asarray(b.column(2))))
+        cut = int(np.searchsorted(k, k[-1]))  # the last key may go on
+        if block and k[0] != last:
+            block = 0
+        if cut and block:
+            end = int(np.searchsorted(k, k[0], side="right"))
+            yield k[:end], v[:end], block
+            k, up, v, cut, block = k[end:], up[end:], v[end:], cut - end, 0
+        if cut:
+            keep = _met(k[:cut], up[:cut])
+            yield k[:cut][keep], v[:cut][keep], -1
+            k, up, v = k[cut:], up[cut:], v[cut:]
+        while len(k) > limit:
+            yield k[:limit], v[:limit], block
+            last, block = k[0], block + 1
+            k, up, v = k[limit:], up[limit:], v[limit:]
+    if len(k):
+        if block and k[0] == last:
+            yield k, v, block
+        else:
+            keep = _met(k, up)
+            yield k[keep], v[keep], -1
+
+
+def _met(k: np.ndarray, up: np.ndarray) -> np.ndarray:
+    """Rows of the keys with two rows or more and one that is not ``up`` (two
+    that both are meet in another cell, if they are near)."""
+    first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+    size = np.diff(np.concatenate((first, [len(k)])))
+    return np.repeat((size > 1) & ~up[first], size)
+
+
+def _forests(k: np.ndarray, v: np.ndarray, bits: int, small: int = 12):
+    """Links that connect what is near, key by key: small keys all at once,
+    row against the next ones; larger keys one by one."""
+    if not len(k):
+        return v.view(np.uint64), v.view(np.uint64)
+    first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+    size = np.diff(np.concatenate((first, [len(k)])))
+    left, right = [], []
+    few = np.repeat(size <= small, size)
+    ks, vs = k[few], v[few].view(np.uint64)
+    for lag in range(1, min(small, len(ks))):
+        near = (ks[lag:] == ks[:-lag]) & (np.bitwise_count(vs[lag:] ^ vs[:-lag]) <= bits)
+        if near.any():
+            left.append(vs[:-lag][near])
+            right.append(vs[lag:][near])
+    for a, n in zip(first[size > small].tolist(), size[size > small].tolist()):
+        x, y = _forest(np.unique(v[a:a + n]).view(np.uint64), bits)
+        left.append(x)
+        right.append(y)
+    none = np.empty(0, np.uint64)
+    return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
 def near_links(fps: DataFrame, bits: int = 3, cell: int = CELL) -> DataFrame:
     """(a, b): links between distinct fingerprints of column ``fp`` (bigint,
     distinct) that differ in at most ``bits`` bits; enough of them to connect
     what is linked."""
-    cells = _cells(fps, bits).repartition("cell").sortWithinPartitions("cell")
+    cells = _cells(fps, bits).repartition("cell").sortWithinPartitions("cell", "up")
 
     def in_cells(batches):
-        def finish(key, held, block, full=False):
-            rows = np.unique(np.concatenate(held)) if held else np.empty(0, np.int64)
-            if full or block:  # a cell of several blocks: kept for pairs of blocks
-                kind = np.full(len(rows), block, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), key)), pa.array(rows),
-                                                  pa.array(kind)], names=["a", "b", "block"])
-            if len(rows) > 1:
-                left, right = _forest(rows.view(np.uint64), bits)
-                if len(left):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(left.view(np.int64)), pa.array(right.view(np.int64)),
-                         pa.array(np.full(len(left), -1, np.int64))], names=["a", "b", "block"])
-        yield from _merged(_by_group(batches, finish, cell))
-
-    found = scratch(cells.mapInArrow(in_cells, "a bigint, b bigint, block bigint"), "simhash-links")
+        for key, rows, block in _groups(batches, cell):
+            if block >= 0:  # kept for pairs of blocks
+                yield _three(key, rows, np.full(len(rows), block))
+            left, right = _forests(key, rows, bits)
+            yield _three(left.view(np.int64), right.view(np.int64), np.full(len(left), -1))
+
+    found = scratch(cells.mapInArrow(lambda it: _merged(in_cells(it)), "a bigint, b bigint, block bigint"),
+                    "simhash-links")
     links = found.where("block < 0").select("a", "b")
 
     # pairs of blocks of the cells that have several
@@ -210,21 +249,24 @@ def near_links(fps: DataFrame, bits: int = 3, cell: int = CELL) -> DataFrame:
     pairs = large.join(last, "cell").select(
         "fp", "cell", F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("other"), "block"
     ).where("other != block").select(
-        F.xxhash64("cell", F.least("block", "other"), F.greatest("block", "other")).alias("unit"), "fp")
+        F.xxhash64("cell", F.least("block", "other"), F.greatest("block", "other")).alias("unit"),
+        F.lit(False).alias("up"), "fp")
 
     def in_units(batches):
-        def finish(key, held, block, full=False):
-            rows = np.unique(np.concatenate(held)) if held else np.empty(0, np.int64)
-            left, right = _forest(rows.view(np.uint64), bits)
-            if len(left):
-                yield pa.RecordBatch.from_arrays([pa.array(left.view(np.int64)), pa.array(right.view(np.int64))],
-                                                 names=["a", "b"])
-        yield from _merged(_by_group(batches, finish, 2 * cell))
-
-    more = pairs.repartition("unit").sortWithinPartitions("unit").mapInArrow(in_units, "a bigint, b bigint")
+        for key, rows, _ in _groups(batches, 2 * cell):
+            left, right = _forests(key, rows, bits)
+            yield _three(left.view(np.int64), right.view(np.int64), np.full(len(left), -1))
+
+    more = pairs.repartition("unit").sortWithinPartitions("unit").mapInArrow(
+        lambda it: _merged(in_units(it)), "a bigint, b bigint, block bigint").select("a", "b")
     return links.union(more).distinct()
 
 
+def _three(a, b, block) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(block.astype(np.int64))],
+                                      names=["a", "b", "block"])
+
+
 def _merged(batches: Iterator[pa.RecordBatch], rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
     """Fewer, larger batches."""
     held, n = [], 0

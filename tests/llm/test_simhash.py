@@ -103,6 +103,22 @@ def test_links_connect_what_is_near(spark, bits, cell):
     assert sorted(map(sorted, mine.values())) == sorted(map(sorted, want.values()))
 
 
+def test_no_single_link_is_lost(spark):
+    rnd = random.Random(11)
+    pairs = []
+    for k in range(1500):
+        f = rnd.getrandbits(64)
+        g = f
+        for b in rnd.sample(range(64), k % 5):
+            g ^= 1 << b
+        pairs.append((f, g))
+    fps = sorted({x for p in pairs for x in p})
+    df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp bigint")
+    links = {frozenset((r.a & (1 << 64) - 1, r.b & (1 << 64) - 1)) for r in simhash.near_links(df).collect()}
+    want = {frozenset(p) for k, p in enumerate(pairs) if 0 < k % 5 <= 3}
+    assert want <= links and all(bin(a ^ b).count("1") <= 3 for a, b in map(tuple, links))
+
+
 def test_large_group_gives_linear_links(spark):
     base = 0x0F0F123456789ABC
     fps = [(base ^ (1 << i) ^ (1 << j),) for i in range(40) for j in range(i)]
