@@ -46,8 +46,10 @@ def parse_iso_ts(c) -> Column:
 
 
 def lenient_double(c) -> Column:
-    """Text or number to double; non-numeric text gives NULL."""
-    return col(c).try_cast("double")
+    """Text or number to double; non-numeric text, and what is not finite
+    (it would turn every sum into NaN), gives NULL."""
+    d = col(c).try_cast("double")
+    return F.when(F.abs(d) < float("inf"), d)
 
 
 def to_day(c) -> Column:

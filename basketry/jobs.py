@@ -7,12 +7,14 @@ distributed DataFrame write. Nothing is collected to the driver.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .operators import reports
 from .operators.decode import decode_purchases
-from .operators.stage import latest_products, with_load_date
+from .operators.stage import latest_products, profile, stage_counts, with_load_date
 from .sinks.reports import write_report
 from .sinks.stage import write_stage
 from .sources.files import read_table_or_files
@@ -29,16 +31,18 @@ def stage_etl(spark: SparkSession, products_table: str, products_path: str, topi
               stage_base: str, jdbc_url: str | None = None, jdbc_props: dict | None = None,
               masters: dict[str, DataFrame] | None = None, servers: str | None = None,
               topic_path: str | None = None, load_date=None, prefix: str = "stage_",
-              dedup_products: bool = False) -> dict[str, str]:
-    """Load clients and sellers (JDBC, or ready ``masters`` frames),
+              dedup_products: bool = False, jdbc_partitions: int = 1) -> dict[str, str]:
+    """Load clients and sellers (JDBC in ``jdbc_partitions`` parallel reads,
+    or ready ``masters`` frames),
     products (table or files; with ``dedup_products`` the newest row per
     product) and purchases (topic, earliest to now) into stage tables, each
     fully replaced. Returns {entity: path}."""
     out = {}
-    frames = dict(masters if masters is not None else read_masters(spark, jdbc_url, jdbc_props))
+    frames = dict(masters if masters is not None else read_masters(
+        spark, jdbc_url, jdbc_props, partitions=jdbc_partitions))
     products = read_table_or_files(spark, products_table, products_path)
     frames["products"] = latest_products(products) if dedup_products else products
-    for name, df in frames.items():
+    for name, df in frames.items():  # out: base path of each table's loads
         out[name] = f"{stage_base}/{prefix}{name}"
         write_stage(with_load_date(df, load_date), out[name], f"{prefix}{name}")
     raw = read_topic(spark, topic, servers=servers, path=topic_path, starting="earliest")
@@ -59,3 +63,13 @@ def report_job(purchases: DataFrame, products: DataFrame, reports_base: str,
         "top_selling_products": reports.top_selling_products(purchases, products, top_products),
     }
     return {name: write_report(df, reports_base, name, at) for name, df in built.items()}
+
+
+STAGE_TABLES = ("clients", "sellers", "products", "purchases")
+
+
+def stage_report(spark: SparkSession, prefix: str = "stage_") -> tuple[DataFrame, DataFrame]:
+    """Row counts (A10) and column profiles (A12) of the four stage tables."""
+    tables = {f"{prefix}{n}": spark.table(f"{prefix}{n}") for n in STAGE_TABLES}
+    profiles = [profile(df).select(F.lit(n).alias("table"), "*") for n, df in tables.items()]
+    return stage_counts(tables), reduce(DataFrame.unionByName, profiles)

@@ -76,6 +76,7 @@ def reject_reason() -> Column:
     return (F.when(not_object, F.lit(NOT_JSON))
              .when(missing, F.lit(MISSING_FIELD))
              .when(lenient_double(m["price"]).isNull(), F.lit(BAD_PRICE))
+             .when(m["quantity"].isNull() & F.get_json_object("value", "$.quantity").isNull(), F.lit(MISSING_FIELD))
              .when(m["quantity"].isNull() | (m["quantity"] < 0), F.lit(BAD_QUANTITY))
              .when(parse_iso_ts(m["timestamp"]).isNull(), F.lit(BAD_TIMESTAMP)))
 

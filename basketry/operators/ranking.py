@@ -15,18 +15,11 @@ def top_n(df: DataFrame, by: str, tie_key: str, n: int) -> DataFrame:
     return df.orderBy(F.desc(by), F.asc(tie_key)).limit(n)
 
 
-def with_dense_rank(df: DataFrame, by: str, name: str = "rank") -> DataFrame:
-    """Global dense rank, largest ``by`` first (W1). The window has no
-    partition key, so every row goes to one task; for ``rank <= n`` use
-    ``top_n_with_ties``, which is distributed."""
-    return df.withColumn(name, F.dense_rank().over(Window.orderBy(F.desc(by))).cast("long"))
-
-
 def top_n_with_ties(df: DataFrame, by: str, n: int, name: str = "rank") -> DataFrame:
     """All rows whose dense rank by ``by`` (largest first, NULL last) is <= n;
     ties may give more than n rows (O5).
 
-    Same result as ``with_dense_rank(...) <= n`` without its single-partition
+    Same result as a global ``dense_rank() <= n`` without its single-partition
     window: when many rows share the top values, that window would still
     send them all to one task. Here the n largest distinct values are found
     with a distinct + top-n (at most n rows leave each task), numbered in a

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import amount, exact_cents_avg, money, or_default, to_day
-from .joins import attach_dimension, materialize
 from .ranking import top_n, top_n_with_ties
 
 
@@ -78,18 +77,13 @@ def top_selling_products(purchases: DataFrame, products: DataFrame,
     """A4: products by total quantity sold, dense-ranked, rank <= limit (ties
     may give more rows), with the product name or ``Unknown``.
 
-    The rank filter runs before the join, so only the ranked rows meet the
-    dimension (same result as ranking after the join when products are
-    unique), and the dimension is filtered by the ranked ids instead of
-    being shuffled (see ``joins.attach_dimension``). The per-product totals
-    are checkpointed once (one row per product, far fewer than purchase
-    rows), so the ranking's two passes over them do not scan purchases
-    twice. Totals and ranked rows are computed when this function is
-    called."""
-    totals = materialize(purchases.groupBy("product_id").agg(
-        F.sum("quantity").cast("long").alias("total_sales")))
+    One lazy plan: the rank filter runs before the join, so only the ranked
+    rows meet the dimension (same result as ranking after the join when
+    products are unique). The ranking reads the totals twice, but both reads
+    share one exchange, so purchases are scanned once."""
+    totals = purchases.groupBy("product_id").agg(F.sum("quantity").cast("long").alias("total_sales"))
     ranked = top_n_with_ties(totals, "total_sales", limit)
-    return (attach_dimension(ranked, products, "product_id", ["name"])
+    return (with_product(ranked, products, "name")
             .select("product_id", or_default("name", "Unknown").alias("name"),
                     "total_sales", "rank")
             .orderBy("rank", "product_id"))

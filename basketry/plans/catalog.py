@@ -36,14 +36,14 @@ def query(name: str):
 # ---------------------------------------------------------------- reports
 @query("revenue_by_category")
 def q_revenue_by_category(spark, d):
-    return reports.revenue_by_category(fx.purchases(spark, d), fx.products(spark, d), cents=True)
+    return reports.revenue_by_category(fx.purchases(spark, d), fx.listed_products(spark, d), cents=True)
 
 
-oracle("revenue_by_category", "purchases products", """
+oracle("revenue_by_category", "purchases listed_products", """
 SELECT COALESCE(pr.category, 'N/A') AS category,
        ROUND(SUM(p.quantity * p.price), 2) AS total_revenue,
        COUNT(DISTINCT p.purchase_id) AS total_purchases
-FROM purchases p LEFT JOIN products pr ON p.product_id = pr.product_id
+FROM purchases p LEFT JOIN listed_products pr ON p.product_id = pr.product_id
 GROUP BY 1 ORDER BY total_revenue DESC, category""")
 
 
@@ -73,12 +73,12 @@ FROM totals GROUP BY 1 ORDER BY 1""", extra="""totals AS (
 
 @query("top_selling_products")
 def q_top_selling_products(spark, d):
-    return reports.top_selling_products(fx.purchases(spark, d), fx.products(spark, d), P.TOP_N)
+    return reports.top_selling_products(fx.purchases(spark, d), fx.listed_products(spark, d), P.TOP_N)
 
 
-oracle("top_selling_products", "purchases products", f"""
+oracle("top_selling_products", "purchases listed_products", f"""
 SELECT r.product_id, COALESCE(pr.name, 'Unknown') AS name, r.total_sales, CAST(r."rank" AS BIGINT) AS "rank"
-FROM ranked r LEFT JOIN products pr ON r.product_id = pr.product_id
+FROM ranked r LEFT JOIN listed_products pr ON r.product_id = pr.product_id
 WHERE r."rank" <= {P.TOP_N} ORDER BY "rank", product_id""", extra="""ranked AS (
   SELECT product_id, total_sales, DENSE_RANK() OVER (ORDER BY total_sales DESC) AS "rank"
   FROM (SELECT product_id, CAST(SUM(quantity) AS BIGINT) AS total_sales FROM purchases GROUP BY product_id))""")

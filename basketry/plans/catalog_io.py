@@ -10,22 +10,23 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from .. import jobs
-from ..operators import quality, unify
+from ..operators import quality, reports, unify
 from ..operators import stage as stage_ops
 from ..operators.decode import decode_purchases
 from ..session import shared_dir
 from ..sinks.reports import write_report
 from ..sinks.stage import write_stage
-from ..sinks.topics import as_messages, publish_json, publish_raw
 from ..sources.files import read_latest_report, read_products, read_table_or_files, stage
+from ..schemas import STAGE
 from ..sources.topics import read_topic, stream_topic
-from ..streaming.ingest import compact_realtime, ingest_purchases, read_dead_letters, read_realtime
-from ..streaming.upsert import read_upserted, upsert
+from ..streaming import ingest
+from ..streaming import upsert as ups
 from ..streaming.windows import start_windowed_revenue, windowed_revenue
 from . import fixtures as fx
 from . import params as P
 from .catalog import query
-from .oracle import oracle
+from .oracle import SQL, oracle
+from .topic_files import publish
 
 TOPIC = "purchases"
 AVAILABLE_NOW = {"availableNow": True}
@@ -33,40 +34,24 @@ T_OLD = "2024-02-01 00:00:00"
 T_NEW = "2024-02-02 00:00:00"
 
 
-def _partitions(spark):
-    """Topic partitions: one per core of the cluster, as a topic is sized
-    for its consumers (the reference's topics have 3)."""
-    return spark.sparkContext.defaultParallelism
-
-
-def _publish(spark, df, topic, path, key, at=None):
-    publish_json(df, topic, path=path, key=key, at=at, partitions=_partitions(spark))
-
-
-def _publish_purchase_events(spark, d, path, copies=1, with_defects=True):
+def _publish_purchase_events(spark, d, path, copies=1, with_defects=True, only=None):
     msgs = fx.purchase_messages(fx.purchases_rt(spark, d))
     for _ in range(copies):
-        _publish(spark, msgs, TOPIC, path, "purchase_id")
+        publish(msgs if only is None else msgs.where(only), TOPIC, path, "purchase_id")
     if with_defects:
-        n = _partitions(spark)
-        bad = fx.defective_events(spark, d)
-        publish_raw(as_messages(bad, TOPIC, key="purchase_id", partitions=n, value=F.col("value")), path, n)
+        publish(fx.defective_events(spark, d), TOPIC, path, "purchase_id", value=F.col("value"))
 
 
-def _run_ingest(spark, d, name, dedup_delay=None):
+def _ingest(spark, topic, landing, checkpoint):
+    ingest.ingest_purchases(stream_topic(spark, TOPIC, path=topic), landing, checkpoint,
+                            trigger=AVAILABLE_NOW).awaitTermination()
+
+
+def _run_ingest(spark, d, name):
     base = shared_dir(spark, name)
-    topic, table, dead, ck = (f"{base}/{x}" for x in ("topic", "table", "dead", "checkpoint"))
-    _publish_purchase_events(spark, d, topic, copies=2 if dedup_delay else 1)
-    q = ingest_purchases(stream_topic(spark, TOPIC, path=topic),
-                         table, dead, ck, trigger=AVAILABLE_NOW, dedup_delay=dedup_delay)
-    q.awaitTermination()
-    if dedup_delay:
-        # Restart on the same checkpoint after every event is sent once more.
-        _publish_purchase_events(spark, d, topic, copies=1, with_defects=False)
-        q = ingest_purchases(stream_topic(spark, TOPIC, path=topic),
-                             table, dead, ck, trigger=AVAILABLE_NOW, dedup_delay=dedup_delay)
-        q.awaitTermination()
-    return table, dead
+    _publish_purchase_events(spark, d, f"{base}/topic")
+    _ingest(spark, f"{base}/topic", f"{base}/landing", f"{base}/checkpoint")
+    return f"{base}/landing"
 
 
 _RT = "SELECT purchase_id, client_id, product_id, quantity, price, ts FROM purchases_rt"
@@ -141,7 +126,7 @@ def q_stage_products_latest(spark, d):
 def q_stage_purchases(spark, d):
     """Purchases -> JSON messages on the topic -> decode -> stage."""
     topic = f"{shared_dir(spark, 'stage-topic')}/topic"
-    _publish(spark, fx.purchases(spark, d), TOPIC, topic, "purchase_id")
+    publish(fx.purchases(spark, d), TOPIC, topic, "purchase_id")
     path = f"{shared_dir(spark, 'stage')}/stage_purchases"
     write_stage(jobs.stage_purchases(read_topic(spark, TOPIC, path=topic), P.LOAD_DATE), path)
     return stage(spark, "purchases", path=path)
@@ -155,11 +140,24 @@ oracle("stage_products_latest", "products", f"SELECT *, {_LD} FROM products")
 oracle("stage_purchases", "purchases", f"SELECT *, {_LD} FROM purchases")
 
 
+def _staged(spark, d):
+    """Run the stage job on all four entities; returns the prefix of its
+    catalog tables (in the session's catalog, files in the shared folder)."""
+    base = shared_dir(spark, "stage-etl")
+    fx.products(spark, d).write.parquet(f"{base}/files")
+    publish(fx.purchases(spark, d), TOPIC, f"{base}/topic", "purchase_id")
+    prefix = "stage_" + base.rsplit("-", 1)[1] + "_"
+    jobs.stage_etl(spark, "basketry_absent_products_table", f"{base}/files", TOPIC, f"{base}/stage",
+                   masters={"clients": fx.clients(spark, d), "sellers": fx.sellers(spark, d)},
+                   topic_path=f"{base}/topic", load_date=P.LOAD_DATE, prefix=prefix)
+    return prefix
+
+
 @query("stage_counts")
 def q_stage_counts(spark, d):
-    return stage_ops.stage_counts({
-        "stage_clients": fx.clients(spark, d), "stage_sellers": fx.sellers(spark, d),
-        "stage_products": fx.products(spark, d), "stage_purchases": fx.purchases(spark, d)})
+    """Counts of the stage tables that the job wrote, by catalog name."""
+    counts, _ = jobs.stage_report(spark, prefix := _staged(spark, d))
+    return counts.withColumn("table", F.replace("table", F.lit(prefix), F.lit("stage_")))
 
 
 oracle("stage_counts", "clients sellers products purchases", """
@@ -171,70 +169,128 @@ UNION ALL SELECT 'stage_purchases', COUNT(*) FROM purchases""")
 
 @query("profile")
 def q_profile(spark, d):
-    return stage_ops.profile(fx.clients(spark, d))
+    """Column profiles of all four stage tables, by catalog name."""
+    _, profiles = jobs.stage_report(spark, prefix := _staged(spark, d))
+    return profiles.withColumn("table", F.replace("table", F.lit(prefix), F.lit("stage_")))
+
 
+def _profile_sql(name):
+    cols = [(f.name, f.dataType.simpleString()) for f in STAGE[name].fields]
+    return [f"SELECT 'stage_{name}' AS \"table\", '{c}' AS \"column\", '{t}' AS data_type, {i} AS position, "
+            f"COUNT(*) AS row_count, COUNT(*) - COUNT(" + ("1" if c == "load_date" else f'"{c}"') +
+            f") AS null_count FROM {name}" for i, (c, t) in enumerate(cols)]
 
-_PROFILE_COLS = [("client_id", "string"), ("first_name", "string"), ("last_name", "string"),
-                 ("email", "string"), ("phone", "string"), ("address", "string"),
-                 ("registration_date", "timestamp"), ("status", "string")]
-oracle("profile", "clients", "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS \"column\", '{t}' AS data_type, {i} AS position, COUNT(*) AS row_count, "
-    f"COUNT(*) - COUNT({c}) AS null_count FROM clients" for i, (c, t) in enumerate(_PROFILE_COLS)))
+
+oracle("profile", "clients sellers products purchases", "\nUNION ALL\n".join(
+    x for n in ("clients", "sellers", "products", "purchases") for x in _profile_sql(n)))
 
 
 # --------------------------------------------------------------- reports
+def _report_round_trip(spark, name, df):
+    """Two finished stamps (the newer in several part files) and a newest one
+    whose job didn't finish; read back the latest finished."""
+    base = shared_dir(spark, "reports")
+    write_report(df.limit(1), base, name, dt.datetime(2024, 1, 1, 8, 0, 0))
+    write_report(df.repartition(3), base, name, dt.datetime(2024, 1, 2, 8, 0, 0))
+    (df.limit(1).write.option("header", True).option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+     .csv(f"{base}/{name}_20240103_080000.csv"))
+    return read_latest_report(spark, base, name)
+
+
 @query("report_round_trip")
 def q_report_round_trip(spark, d):
-    """Two stamps of top_clients; the newest is spread over several part
-    files; read back the latest."""
-    base = shared_dir(spark, "reports")
+    return _report_round_trip(spark, "top_clients", reports.top_clients(fx.purchases(spark, d), P.TOP_N))
+
+
+@query("report_round_trip_categories")
+def q_report_round_trip_categories(spark, d):
+    return _report_round_trip(spark, "revenue_by_category", reports.revenue_by_category(
+        fx.purchases(spark, d), fx.listed_products(spark, d), cents=True))
+
+
+@query("report_round_trip_days")
+def q_report_round_trip_days(spark, d):
+    """With a purchase without a time: its NULL day is read back."""
     p = fx.purchases(spark, d)
-    from ..operators.reports import top_clients
-    write_report(top_clients(p, P.TOP_N // 2), base, "top_clients", dt.datetime(2024, 1, 1, 8, 0, 0))
-    write_report(top_clients(p, P.TOP_N).repartition(3), base, "top_clients",
-                 dt.datetime(2024, 1, 2, 8, 0, 0))
-    return read_latest_report(spark, base, "top_clients")
+    undated = p.withColumn("timestamp", F.lit(None).cast("timestamp"))
+    return _report_round_trip(spark, "avg_check_by_day", reports.avg_check_by_day(p.union(undated), exact_cents=True))
+
 
+@query("report_round_trip_products")
+def q_report_round_trip_products(spark, d):
+    return _report_round_trip(spark, "top_selling_products", reports.top_selling_products(
+        fx.purchases(spark, d), fx.listed_products(spark, d), P.TOP_N))
 
-oracle("report_round_trip", "purchases", f"""
-SELECT client_id, COUNT(*) AS purchase_count FROM purchases
-GROUP BY client_id ORDER BY purchase_count DESC, client_id LIMIT {P.TOP_N}""")
+
+SQL["report_round_trip"] = SQL["top_clients"]
+SQL["report_round_trip_categories"] = SQL["revenue_by_category"]
+SQL["report_round_trip_products"] = SQL["top_selling_products"]
+oracle("report_round_trip_days", "purchases", """
+SELECT CAST("timestamp" AS DATE) AS "date",
+       CAST(SUM(CAST(purchase_total AS DECIMAL(18,2))) AS DOUBLE) / COUNT(purchase_total) AS avg_check,
+       COUNT(DISTINCT purchase_id) AS purchases_per_day
+FROM totals GROUP BY 1""", extra="""totals AS (
+  SELECT purchase_id, "timestamp", SUM(quantity * price) AS purchase_total
+  FROM (SELECT * FROM purchases UNION ALL
+        SELECT purchase_id, client_id, product_id, quantity, price, NULL AS "timestamp" FROM purchases)
+  GROUP BY purchase_id, "timestamp")""")
 
 
 # -------------------------------------------------------------- streaming
 @query("ingest_purchases_stream")
 def q_ingest_purchases_stream(spark, d):
-    table, _ = _run_ingest(spark, d, "ingest")
-    return read_realtime(spark, table)
+    return ingest.read_realtime(spark, _run_ingest(spark, d, "ingest"))
 
 
-oracle("ingest_purchases_stream", "purchases_rt", _RT)
+@query("ingest_two_streams")
+def q_ingest_two_streams(spark, d):
+    """The events in two topics, one stream for each, into one landing."""
+    base = shared_dir(spark, "two-streams")
+    for i, only in enumerate(("quantity <= 2", "quantity > 2")):
+        _publish_purchase_events(spark, d, f"{base}/topic{i}", only=only)
+        _ingest(spark, f"{base}/topic{i}", f"{base}/landing", f"{base}/checkpoint{i}")
+    return ingest.read_realtime(spark, f"{base}/landing")
 
 
-@query("ingest_compacted")
-def q_ingest_compacted(spark, d):
-    """Ingest in several micro-batches (a few topic files each), compact
-    all but the newest batch, read back compaction plus newer batches."""
-    base = shared_dir(spark, "compact")
-    topic, table, dead, ck = (f"{base}/{x}" for x in ("topic", "table", "dead", "checkpoint"))
-    _publish_purchase_events(spark, d, topic)
-    q = ingest_purchases(stream_topic(spark, TOPIC, path=topic, max_files_per_trigger=_partitions(spark) // 2 or 1),
-                         table, dead, ck, trigger=AVAILABLE_NOW)
-    q.awaitTermination()
-    compact_realtime(spark, table)
-    return read_realtime(spark, table)
+def _publish_twice(spark, d, name):
+    """Land half of the events and publish, then all of them (so the first
+    half twice) and publish the changed days again."""
+    base = shared_dir(spark, name)
+    landing, table = f"{base}/landing", f"{base}/table"
+    _publish_purchase_events(spark, d, f"{base}/topic", only="quantity <= 2")
+    _ingest(spark, f"{base}/topic", landing, f"{base}/checkpoint")
+    ingest.publish_days(spark, landing, table)
+    _publish_purchase_events(spark, d, f"{base}/topic")
+    _ingest(spark, f"{base}/topic", landing, f"{base}/checkpoint")
+    ingest.publish_days(spark, landing, table, ingest.changed_days(spark, landing))
+    return table
 
 
-oracle("ingest_compacted", "purchases_rt", _RT)
+@query("daily_publish")
+def q_daily_publish(spark, d):
+    """The real-time table after two publishes, by path."""
+    return ingest.read_published(spark, _publish_twice(spark, d, "publish"))
+
+
+@query("realtime_catalog_table")
+def q_realtime_catalog_table(spark, d):
+    """The real-time table after two publishes, by catalog name."""
+    table = _publish_twice(spark, d, "publish-catalog")
+    name = "purchases_rt_" + table.rsplit("-", 1)[1].split("/")[0]
+    return ingest.ensure_realtime(spark, name, table).select(*ingest.RT_COLUMNS)
+
+
+for _name in ("ingest_purchases_stream", "ingest_two_streams", "daily_publish", "realtime_catalog_table"):
+    oracle(_name, "purchases_rt", _RT)
 
 
 @query("rt_client_statistics_ingested")
 def q_rt_client_statistics_ingested(spark, d):
-    """Client statistics over the real-time table the stream wrote (the
-    client filter meets the table's bloom filters)."""
+    """Client statistics over what the stream landed (the client filter meets
+    the files' bloom filters)."""
     from ..operators.realtime import rt_client_statistics
-    table, _ = _run_ingest(spark, d, "ingest-stats")
-    return rt_client_statistics(read_realtime(spark, table), P.STAT_CLIENT, cents=True)
+    landing = _run_ingest(spark, d, "ingest-stats")
+    return rt_client_statistics(ingest.read_realtime(spark, landing), P.STAT_CLIENT, cents=True)
 
 
 oracle("rt_client_statistics_ingested", "purchases_rt", f"""
@@ -246,25 +302,44 @@ FROM purchases_rt WHERE client_id = '{P.STAT_CLIENT}' GROUP BY client_id""")
 
 @query("dead_letters")
 def q_dead_letters(spark, d):
-    _, dead = _run_ingest(spark, d, "dead-letters")
-    return read_dead_letters(spark, dead).select("key", "reason")
+    """Rejected messages; the text of those that keep their JSON form is
+    compared field by field."""
+    dead = ingest.read_dead_letters(spark, _run_ingest(spark, d, "dead-letters"))
+    text = F.when(F.col("reason") == "not_json", F.col("value"))
+    return dead.select("key", "reason", text.alias("value"), *[
+        F.get_json_object("value", f"$.{c}").alias(c) for c in ("purchase_id", "client_id", "product_id")])
 
 
 oracle("dead_letters", "purchases_rt", """
 SELECT CAST(event_id AS VARCHAR) AS "key",
        CASE event_id % 5 WHEN 0 THEN 'not_json' WHEN 1 THEN 'bad_price' WHEN 2 THEN 'missing_field'
-                         WHEN 3 THEN 'bad_quantity' ELSE 'bad_timestamp' END AS reason
+                         WHEN 3 THEN 'bad_quantity' ELSE 'bad_timestamp' END AS reason,
+       CASE WHEN event_id % 5 = 0 THEN 'error event ' || CAST(event_id AS VARCHAR) END AS "value",
+       CASE WHEN event_id % 5 <> 0 THEN CAST(event_id AS VARCHAR) END AS purchase_id,
+       CASE WHEN event_id % 5 NOT IN (0, 2) THEN CAST(user_id AS VARCHAR) END AS client_id,
+       CASE WHEN event_id % 5 <> 0 THEN props->>'$.k' END AS product_id
 FROM events WHERE event_type = 'error'""")
 
 
 @query("dedup_stream")
 def q_dedup_stream(spark, d):
-    """Every event sent twice, then once more after a restart."""
-    table, _ = _run_ingest(spark, d, "dedup", dedup_delay="1 day")
-    return read_realtime(spark, table)
+    """Every event sent twice, once more after a restart, and then a new
+    purchase for each, three days older than anything sent before it: one row
+    per purchase, none lost for being late."""
+    base = shared_dir(spark, "dedup")
+    topic, landing, checkpoint = f"{base}/topic", f"{base}/landing", f"{base}/checkpoint"
+    _publish_purchase_events(spark, d, topic, copies=2)
+    _ingest(spark, topic, landing, checkpoint)
+    _publish_purchase_events(spark, d, topic, with_defects=False)
+    late = fx.purchases_rt(spark, d).withColumn("purchase_id", F.concat("purchase_id", F.lit("-late"))).withColumn(
+        "ts", F.col("ts") - F.expr("INTERVAL 3 DAYS"))
+    publish(fx.purchase_messages(late), TOPIC, topic, "purchase_id")
+    _ingest(spark, topic, landing, checkpoint)
+    return ingest.read_realtime(spark, landing, once=True)
 
 
-oracle("dedup_stream", "purchases_rt", _RT)
+oracle("dedup_stream", "purchases_rt", f"""{_RT} UNION ALL
+SELECT purchase_id || '-late', client_id, product_id, quantity, price, ts - INTERVAL 3 DAY FROM purchases_rt""")
 
 
 @query("windowed_revenue_stream")
@@ -289,59 +364,79 @@ HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM purchase
 
 
 def _run_upsert(spark, entity, current, key):
-    """An older version of every row at T_OLD, the current one at T_NEW.
-    The first run sees only the old versions; the second merges the
-    current ones with the stored table."""
+    """An older version of every row at T_OLD, taken into the table; then the
+    current one at T_NEW (numbers sent as text), and messages that are no
+    change: text, and rows without the key. Returns (log, table)."""
     base = shared_dir(spark, f"upsert-{entity}")
-    topic, table, ck = f"{base}/topic", f"{base}/table", f"{base}/checkpoint"
+    topic, log, table = f"{base}/topic", f"{base}/log", f"{base}/table"
     old = current.withColumn("name", F.concat(F.col("name"), F.lit(" (old)")))
     if "price" in current.columns:
         old = old.withColumn("price", F.col("price") + 1)
+        current = current.withColumn("price", F.col("price").cast("string"))
+
     def run():
-        upsert(stream_topic(spark, entity, path=topic), entity, table, ck, buckets=4,
-               trigger=AVAILABLE_NOW).awaitTermination()
+        ups.upsert(stream_topic(spark, entity, path=topic), entity, log, f"{base}/checkpoint",
+                   trigger=AVAILABLE_NOW).awaitTermination()
 
-    _publish(spark, old, entity, topic, key, at=T_OLD)
+    publish(old, entity, topic, key, at=T_OLD)
     run()
-    _publish(spark, current, entity, topic, key, at=T_NEW)
+    ups.refresh(spark, log, entity, table)
+    publish(current, entity, topic, key, at=T_NEW)
+    publish(current.select(key), entity, topic, key, at=T_NEW, value=F.concat(F.lit("no json "), F.col(key)))
+    publish(current.drop(key), entity, topic, None, at=T_NEW)
     run()
-    return read_upserted(spark, table, entity)
+    return log, table
 
 
 @query("upsert_products")
 def q_upsert_products(spark, d):
-    return _run_upsert(spark, "products", fx.products_rt(spark, d), "product_id")
+    log, table = _run_upsert(spark, "products", fx.products_rt(spark, d), "product_id")
+    return ups.read_upserted(spark, log, "products", table)
 
 
 @query("upsert_sellers")
 def q_upsert_sellers(spark, d):
-    return _run_upsert(spark, "sellers", fx.sellers_rt(spark, d), "seller_id")
+    """As products, after a second refresh."""
+    log, table = _run_upsert(spark, "sellers", fx.sellers_rt(spark, d), "seller_id")
+    ups.refresh(spark, log, "sellers", table)
+    return ups.read_upserted(spark, log, "sellers", table)
+
+
+@query("upsert_dead_letters")
+def q_upsert_dead_letters(spark, d):
+    log, _ = _run_upsert(spark, "products", fx.products_rt(spark, d), "product_id")
+    dead = ups.read_upsert_dead_letters(spark, log, "products")
+    return dead.select("reason", F.when(F.col("reason") == "not_json", F.col("value")).alias("value"),
+                       F.get_json_object("value", "$.name").alias("name"))
 
 
 oracle("upsert_products", "products_rt",
        "SELECT product_id, name, category, price, description, seller_id FROM products_rt")
 oracle("upsert_sellers", "sellers_rt", "SELECT seller_id, name, email, phone, address FROM sellers_rt")
+oracle("upsert_dead_letters", "products_rt", """
+SELECT 'not_json' AS reason, 'no json ' || product_id AS "value", NULL AS name FROM products_rt
+UNION ALL SELECT 'missing_field', NULL, name FROM products_rt""")
 
 
 # ------------------------------------------------- unified record, quality
 @query("unified_record")
 def q_unified_record(spark, d):
     return unify.flatten_unified(unify.unified(fx.purchases(spark, d), fx.clients(spark, d),
-                                               fx.products(spark, d)))
+                                               fx.listed_products(spark, d)))
 
 
-oracle("unified_record", "purchases clients products", """
+oracle("unified_record", "purchases clients listed_products", """
 SELECT p.purchase_id, p.client_id, p.product_id, p.quantity, p.price, p."timestamp",
        c.first_name, c.last_name, c.email, pr.name AS product_name, pr.category,
        pr.price AS product_price
 FROM purchases p LEFT JOIN clients c ON p.client_id = c.client_id
-LEFT JOIN products pr ON p.product_id = pr.product_id""")
+LEFT JOIN listed_products pr ON p.product_id = pr.product_id""")
 
 
 @query("constraint_report")
 def q_constraint_report(spark, d):
     clients, sellers = fx.clients(spark, d), fx.sellers(spark, d)
-    products, purchases = fx.products(spark, d), fx.purchases(spark, d)
+    products, purchases = fx.listed_products(spark, d), fx.purchases(spark, d)
     purchase_rules = quality.Rules(
         not_null=["purchase_id", "client_id", "product_id", "quantity", "price", "timestamp"],
         value_range={"quantity": (0, 2147483647)},
@@ -393,7 +488,7 @@ def _rules_sql(t, r):
             + _typ(t, r.castable) + _uniq(t, r.unique))
 
 
-oracle("constraint_report", "clients sellers products purchases", "\nUNION ALL\n".join(
+oracle("constraint_report", "clients sellers listed_products purchases", "\nUNION ALL\n".join(
     _rules_sql("clients", quality.CLIENT_RULES) + _rules_sql("sellers", quality.SELLER_RULES)
     + _rules_sql("products", quality.PRODUCT_RULES)
     + _rules_sql("purchases", dict(
@@ -401,7 +496,8 @@ oracle("constraint_report", "clients sellers products purchases", "\nUNION ALL\n
         value_range={"quantity": (0, 2147483647)},
         castable={"purchase_id": "bigint", "client_id": "bigint"}))
     + _fk("purchases", "client_id", "clients", "client_id")
-    + _fk("purchases", "product_id", "products", "product_id")))
+    + _fk("purchases", "product_id", "products", "product_id")),
+    extra="products AS (SELECT * FROM listed_products)")
 
 
 @query("fill_defaults")

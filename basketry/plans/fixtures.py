@@ -3,9 +3,9 @@
 Each adapter is a DataFrame derived from whole tables, so its work grows with
 the data. The DuckDB oracle uses the same definitions as CTEs (see
 ``basketry.plans.oracle``). All ids become strings; ``l_extendedprice`` is the
-unit price so amounts stay on whole cents. The products adapter leaves out
-the parts of one delisted brand, so the unmatched (``N/A`` / ``Unknown``)
-path is exercised on whole tables.
+unit price so amounts stay on whole cents. ``listed_products``, which the
+queries that join products use, leaves out the parts of one delisted brand, so
+that the unmatched (``N/A`` / ``Unknown``) path is exercised.
 """
 
 from __future__ import annotations
@@ -13,9 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TABLES = ("region nation customer supplier part orders lineitem events documents "
-          "embeddings pages benchmark labels conversations").split()
-
 # Fixed values of the adapters (shared with the oracle SQL).
 PRODUCT_UPDATED_AT = "2024-01-01T00:00:00+00:00"
 MASTER_TIME = "2020-01-01 00:00:00"
@@ -48,7 +45,15 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").where(F.col("p_brand") != DELISTED_BRAND).select(
+    return _products(table(spark, sf_dir, "part"))
+
+
+def listed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _products(table(spark, sf_dir, "part").where(F.col("p_brand") != DELISTED_BRAND))
+
+
+def _products(part: DataFrame) -> DataFrame:
+    return part.select(
         F.col("p_partkey").cast("string").alias("product_id"),
         F.col("p_name").alias("name"),
         F.col("p_type").alias("category"),

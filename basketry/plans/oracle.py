@@ -18,7 +18,7 @@ ADAPTERS = {
         SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS name, p_type AS category,
                p_retailprice AS price, CAST(p_size AS BIGINT) AS available_stock,
                '2024-01-01T00:00:00+00:00' AS updated_at
-        FROM part WHERE p_brand <> 'Brand#25'""",
+        FROM part""",
     "clients": """
         SELECT CAST(c_custkey AS VARCHAR) AS client_id, 'Customer' AS first_name, c_name AS last_name,
                'c' || CAST(c_custkey AS VARCHAR) || '@example.com' AS email, CAST(NULL AS VARCHAR) AS phone,
@@ -47,6 +47,9 @@ ADAPTERS = {
 }
 
 
+ADAPTERS["listed_products"] = ADAPTERS["products"] + " WHERE p_brand <> 'Brand#25'"
+
+
 def with_adapters(names: str, body: str, extra: str = "") -> str:
     """``WITH <adapters...>[, extra] <body>``."""
     ctes = [f"{n} AS ({ADAPTERS[n]})" for n in names.split()]

@@ -94,16 +94,20 @@ SELLER_RT = _struct(
     ("address", S, True),
 )
 
-# Topic record, same columns the Kafka source yields (key/value as text).
+# Topic record, same columns the Kafka source yields (value in bytes).
 TOPIC_RECORD = _struct(
     ("key", S, True),
-    ("value", S, True),
+    ("value", T.BinaryType(), True),
     ("topic", S, True),
     ("partition", I, True),
     ("offset", L, True),
     ("timestamp", TS, True),
 )
 
+# Stage tables: the entity plus its load date.
+STAGE = {n: T.StructType([T.StructField(f.name, f.dataType) for f in s.fields] + [T.StructField("load_date", DATE)])
+         for n, s in (("clients", CLIENT), ("sellers", SELLER), ("products", PRODUCT), ("purchases", PURCHASE))}
+
 # Reports as written to CSV, used to read them back without inference.
 REPORTS = {
     "revenue_by_category": _struct(

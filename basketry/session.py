@@ -8,6 +8,8 @@ and ``shared_dir`` uses the folder the cluster names in
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -26,8 +28,7 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
-    # delete reliable checkpoints (dimension attach, upsert merges) once
-    # nothing references them any more
+    # delete reliable checkpoints once nothing references them any more
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
@@ -50,15 +51,19 @@ def build_session(master: str | None = None, app: str = "basketry",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder from ``spark.checkpoint.dir``; a private temp folder
-    is made only when the session has none (local tests)."""
+    """The shared folder from ``spark.checkpoint.dir``. Local sessions that
+    name none get a private temp folder, removed at exit; a cluster must name
+    one that all its executors see."""
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d.rstrip("/")
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="basketry-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir().rstrip("/")
 

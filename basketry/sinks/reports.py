@@ -8,6 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 
 from ..functions import REPORT_STAMP
+from ..sources.finished import MARK_SUCCESS
 
 
 def report_path(base: str, name: str, at: dt.datetime | None = None) -> str:
@@ -17,5 +18,5 @@ def report_path(base: str, name: str, at: dt.datetime | None = None) -> str:
 
 def write_report(df: DataFrame, base: str, name: str, at: dt.datetime | None = None) -> str:
     path = report_path(base, name, at)
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**MARK_SUCCESS).option("header", True).csv(path)
     return path

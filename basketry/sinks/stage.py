@@ -1,24 +1,51 @@
-"""Stage-table writer (K1): full refresh, the previous content replaced."""
+"""Stage-table writer (K1): full refresh that never leaves a reader without
+the previous content.
+
+Every refresh is written to a directory of its own, ``<path>/load_<stamp>``.
+Only when that job has finished does the catalog table point to it, and only
+finished directories are seen by readers by path (``sources.files.stage``), so
+a failed refresh changes nothing. The ``KEEP`` newest finished loads stay, for
+readers that began before the refresh.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..sources.finished import MARK_SUCCESS, delete, finished
+
+KEEP = 2
+
+
+def loads(spark: SparkSession, path: str) -> list[str]:
+    """Finished loads of a stage table, oldest first."""
+    return finished(spark, f"{path.rstrip('/')}/load_*")
+
+
+def _point(spark: SparkSession, table: str, df: DataFrame, fmt: str, location: str) -> None:
+    if spark.catalog.tableExists(table):
+        if [(f.name, f.dataType) for f in spark.table(table).schema] == [(f.name, f.dataType) for f in df.schema]:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+            spark.catalog.refreshTable(table)
+            return
+        spark.sql(f"DROP TABLE {table}")  # its files stay
+    spark.catalog.createTable(table, path=location, source=fmt, schema=df.schema)
 
 
-def write_stage(df: DataFrame, path: str | None = None, table: str | None = None,
-                fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> None:
-    """Overwrite a stage table: by catalog name (stored at ``path`` when
-    given) or by path only. Writers run in parallel per task; Spark's commit
-    protocol publishes the files only when the job succeeds, so a lost
-    executor retries its tasks without leaving partial output."""
+def write_stage(df: DataFrame, path: str | None = None, table: str | None = None, fmt: str = "parquet") -> str:
+    """Refresh a stage table under ``path`` and, if named, the catalog table
+    over it (by default stored in the warehouse). Returns the load's
+    directory. One refresh of a table at a time."""
+    spark = df.sparkSession
     if path is None and table is None:
         raise ValueError("write_stage needs a path or a table name")
-    w = df.write.format(fmt).mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
+    path = path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table}"
+    load = f"{path.rstrip('/')}/load_{dt.datetime.now(dt.timezone.utc):%Y%m%d_%H%M%S_%f}"
+    df.write.format(fmt).options(**MARK_SUCCESS).save(load)
     if table is not None:
-        if path is not None:
-            w = w.option("path", path)
-        w.saveAsTable(table)
-    else:
-        w.save(path)
+        _point(spark, table, df, fmt, load)
+    for old in loads(spark, path)[:-KEEP]:
+        delete(spark, old)
+    return load

@@ -1,5 +1,5 @@
-"""Publish rows as JSON messages to a topic (K6, F4): Kafka when a bootstrap
-address is given, else the file stand-in read by ``sources.topics``."""
+"""Publish rows as JSON messages to a Kafka topic (K6, F4). The broker routes
+each record by its key; without a key it spreads them."""
 
 from __future__ import annotations
 
@@ -8,58 +8,18 @@ from pyspark.sql import functions as F
 
 from ..operators.decode import encode_json
 
-STANDIN_PARTITIONS = 3  # the reference's topics have 3 partitions
 
-
-def _key(key: str | Column | None) -> Column:
+def messages(df: DataFrame, key: str | Column | None = None, value: Column | None = None) -> DataFrame:
+    """Rows -> (key, value): key as text (NULL without one), value the row as
+    JSON, in bytes."""
     k = (F.col(key) if isinstance(key, str) else key) if key is not None else F.lit(None)
-    return k.cast("string")
-
-
-def as_messages(df: DataFrame, topic: str, key: str | Column | None = None,
-                partitions: int = STANDIN_PARTITIONS, at=None, value: Column | None = None,
-                route: bool = False) -> DataFrame:
-    """Rows -> topic records (key, value, topic, partition, offset, timestamp).
-    ``value`` defaults to the row as JSON. The stand-in partition is a hash
-    of the key; the offset is unique and increasing within each writing
-    task; ``at`` fixes the publish time. With ``route`` the rows are first
-    shuffled to their topic partition, so values are encoded in parallel
-    and each partition's records are written together."""
-    ts = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
-    routed = df.select("*", _key(key).alias("__key"),
-                       *([value.alias("__value")] if value is not None else []))
-    routed = routed.withColumn("__partition", F.pmod(F.hash("__key"), F.lit(partitions)).cast("int"))
-    if route:
-        routed = routed.repartition(partitions, "__partition")
-    v = encode_json(df) if value is None else F.col("__value")  # by column name: after routing
-    return routed.select(
-        F.col("__key").alias("key"),
-        v.alias("value"),
-        F.lit(topic).alias("topic"),
-        F.col("__partition").alias("partition"),
-        F.monotonically_increasing_id().alias("offset"),
-        ts.alias("timestamp"),
-    )
-
-
-def publish_json(df: DataFrame, topic: str, servers: str | None = None, path: str | None = None,
-                 key: str | Column | None = None, at=None, options: dict | None = None,
-                 partitions: int = STANDIN_PARTITIONS) -> None:
-    """Kafka: the broker routes each record by its key. Stand-in: records
-    are routed the same way (hash of the key) and each topic partition is
-    written as its own files, so a reader gets one task per partition, as
-    a Kafka consumer does."""
-    if servers:
-        w = (df.select(_key(key).alias("key"), encode_json(df).alias("value"))
-             .write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic))
-        for o, v in (options or {}).items():
-            w = w.option(o, v)
-        w.save()
-        return
-    as_messages(df, topic, key, partitions, at=at, route=True).write.mode("append").parquet(path)
+    v = encode_json(df) if value is None else value
+    return df.select(k.cast("string").alias("key"), v.cast("binary").alias("value"))
 
 
-def publish_raw(records: DataFrame, path: str, partitions: int = STANDIN_PARTITIONS) -> None:
-    """Append ready-made topic records (stand-in only), one file group per
-    topic partition."""
-    records.repartition(partitions, "partition").write.mode("append").parquet(path)
+def publish_json(df: DataFrame, topic: str, servers: str, key: str | Column | None = None,
+                 options: dict | None = None) -> None:
+    w = (messages(df, key).write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic))
+    for o, v in (options or {}).items():
+        w = w.option(o, v)
+    w.save()

@@ -8,7 +8,9 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..schemas import PRODUCT, REPORTS
+from ..schemas import PRODUCT, REPORTS, STAGE
+from ..sinks.stage import loads
+from .finished import finished
 
 
 def read_products(spark: SparkSession, path: str, schema: StructType = PRODUCT) -> DataFrame:
@@ -26,42 +28,28 @@ def read_table_or_files(spark: SparkSession, table: str, path: str,
 
 
 def stage(spark: SparkSession, name: str, path: str | None = None, fmt: str = "parquet",
-          prefix: str = "stage_") -> DataFrame:
-    """A stage table by name from the catalog, or by its path."""
+          prefix: str = "stage_", schema: StructType | None = None) -> DataFrame:
+    """A stage table by name from the catalog, or its newest finished load
+    under ``path``, with the entity's declared schema."""
     if path is None:
         return spark.table(f"{prefix}{name}")
-    return spark.read.format(fmt).load(path)
-
-
-def realtime(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The real-time table written by the streaming ingest. A directory
-    written by the file sink is read through its metadata log, so only
-    committed files are seen."""
-    return spark.read.schema(schema).parquet(path)
-
-
+    done = loads(spark, path)
+    if not done:
+        raise FileNotFoundError(f"no finished load under {path}")
+    return spark.read.format(fmt).schema(schema or STAGE[name]).load(done[-1])
 
 
 def report_dirs(spark: SparkSession, base: str, name: str) -> list[tuple[str, str]]:
-    """(stamp, path) of every ``<base>/<name>_<yyyyMMdd_HHmmss>.csv`` report
-    directory. Lists directory names only (a handful per report)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{name}_*")
-    fs = pattern.getFileSystem(conf)
-    found = fs.globStatus(pattern) or []
+    """(stamp, path) of every finished ``<base>/<name>_<yyyyMMdd_HHmmss>.csv``
+    report directory. Lists directory names only (a handful per report)."""
     exact = re.compile(rf"^{re.escape(name)}_(\d{{8}}_\d{{6}})(?:\.csv)?$")
-    out = []
-    for st in found:
-        m = exact.match(st.getPath().getName())
-        if st.isDirectory() and m:
-            out.append((m.group(1), st.getPath().toString()))
-    return sorted(out)
+    found = ((exact.match(p.rsplit("/", 1)[1]), p) for p in finished(spark, f"{base.rstrip('/')}/{name}_*"))
+    return sorted((m.group(1), p) for m, p in found if m)
 
 
 def read_latest_report(spark: SparkSession, base: str, name: str,
                        schema: StructType | None = None) -> DataFrame:
-    """The newest report of ``name``, chosen by the stamp in its
+    """The newest finished report of ``name``, chosen by the stamp in its
     directory name, read whole (every part file) as CSV with header and the
     report's declared schema. No report is an error."""
     dirs = report_dirs(spark, base, name)

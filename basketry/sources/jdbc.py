@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Hash expressions per database for splitting a read on a text key (the
 # master tables' keys are UUIDs, so there is no numeric range to split on).
 HASH_SQL = {
-    "postgresql": "abs(hashtext(CAST({col} AS text)))",
+    "postgresql": "(hashtext(CAST({col} AS text)) & 2147483647)",  # never negative; abs() overflows
     "mysql": "CRC32(CAST({col} AS CHAR))",
 }
 
@@ -54,7 +54,22 @@ def read_jdbc(spark: SparkSession, url: str, table: str, props: dict | None = No
     return spark.read.jdbc(url, table, properties=props)
 
 
-def read_masters(spark: SparkSession, url: str, props: dict | None = None,
-                 names: tuple[str, ...] = ("clients", "sellers"), schema: str = "public") -> dict[str, DataFrame]:
-    """The master tables the stage job loads."""
-    return {n: read_jdbc(spark, url, f"{schema}.{n}", props) for n in names}
+# Master tables and the keys that split their reads.
+MASTER_KEYS = {"clients": "client_id", "sellers": "seller_id"}
+
+
+def master_predicates(url: str, partitions: int) -> dict[str, list[str] | None]:
+    """WHERE clauses that split each master table into ``partitions`` reads by
+    a hash of its key; None (one read) for 1, or for a database whose hash
+    function isn't known."""
+    dialect = url.removeprefix("jdbc:").split(":", 1)[0]
+    return {n: hash_predicates(k, partitions, dialect) if partitions > 1 and dialect in HASH_SQL else None
+            for n, k in MASTER_KEYS.items()}
+
+
+def read_masters(spark: SparkSession, url: str, props: dict | None = None, schema: str = "public",
+                 partitions: int = 1) -> dict[str, DataFrame]:
+    """The master tables the stage job loads, each in ``partitions``
+    parallel reads."""
+    return {n: read_jdbc(spark, url, f"{schema}.{n}", props, predicates=p)
+            for n, p in master_predicates(url, partitions).items()}

@@ -1,11 +1,7 @@
-"""Topic sources (S5, S6): Kafka when a bootstrap address is given, else a
-file stand-in with the same columns (key, value, topic, partition, offset,
-timestamp) stored as Parquet, one directory per topic (the message value
-stays JSON text, exactly as Kafka delivers it).
-
-The stand-in lets the same decode/ingest code run where no broker exists;
-``sinks.topics.publish_json`` writes it.
-"""
+"""Topic sources (S5, S6): Kafka when a bootstrap address is given, else
+Parquet files of records with the same columns (key, value, topic, partition,
+offset, timestamp), value in bytes as Kafka delivers it, so that the same
+decode and ingest code runs on recorded topics."""
 
 from __future__ import annotations
 
@@ -14,17 +10,13 @@ from pyspark.sql import functions as F
 
 from ..schemas import TOPIC_RECORD
 
-KAFKA_COLUMNS = ("key", "value", "topic", "partition", "offset", "timestamp")
-
-
 def _kafka(reader, servers: str, topic: str, starting: str, options: dict | None):
     r = (reader.format("kafka").option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic).option("startingOffsets", starting))
     for k, v in (options or {}).items():
         r = r.option(k, v)
     df = r.load()
-    return df.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
-                     "topic", "partition", "offset", "timestamp")
+    return df.select(F.col("key").cast("string").alias("key"), "value", "topic", "partition", "offset", "timestamp")
 
 
 def read_topic(spark: SparkSession, topic: str, servers: str | None = None, path: str | None = None,
@@ -39,8 +31,8 @@ def stream_topic(spark: SparkSession, topic: str, servers: str | None = None, pa
                  starting: str = "latest", max_files_per_trigger: int | None = None,
                  options: dict | None = None) -> DataFrame:
     """Unbounded read. Kafka starts at ``starting`` on the first run; later
-    runs resume from the offsets in the query's checkpoint. The file
-    stand-in picks up new files and remembers the ones it has read."""
+    runs resume from the offsets in the query's checkpoint. Recorded topics:
+    new files are picked up and the ones that were read are remembered."""
     if servers:
         return _kafka(spark.readStream, servers, topic, starting, options)
     r = spark.readStream.schema(TOPIC_RECORD)

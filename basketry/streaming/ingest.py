@@ -1,27 +1,25 @@
 """Purchase stream ingest (S6 -> K3/K4/K5, T1-T5).
 
-topic -> decode -> {valid rows, dead letters} -> real-time table.
-
-* One streaming query reads the topic once; valid rows (optionally
-  de-duplicated, X5) and rejected messages travel in one micro-batch to
-  ``foreachBatch``, which writes both.
-* Exactly-once: each micro-batch overwrites its own ``batch_id=<n>``
-  directory, so a batch replayed after a failure replaces its earlier,
-  possibly partial, output; offsets live in the checkpoint, so a restart
-  resumes where the last committed batch ended (no lost or re-read range).
-* Layout: ``<table>/batch_id=<n>/dt=<day>/``. Each micro-batch is range
-  partitioned on (day, time) into ``ceil(rows / rows_per_file)`` parts, so a
-  batch writes files of about ``rows_per_file`` rows (not one small file per
-  task and day), each covering one contiguous time range and sorted by
-  ``ts``: day filters prune directories and time filters skip files and row
-  groups by their min/max. Parquet bloom filters on ``client_id`` and
+topic -> decode -> landing directories (valid rows and dead letters, see
+``landing``) -> real-time table.
+
+* The stream only appends: every valid row lands, resent or late ones too.
+  ``read_realtime`` shows them at once, one row per purchase if asked for.
+* ``publish_days`` writes days of the landing into the real-time table, one
+  ``dt=`` directory each, one row per purchase, replacing these days (dynamic
+  partition overwrite). A day is published when it has closed, and again if
+  late rows have landed since (``changed_days``), so cost follows new rows.
+  ``ensure_realtime`` registers the same files in the catalog.
+* Offsets live in the checkpoint, so a restart resumes where the last
+  finished batch ended (no lost or re-read range).
+* Files are sorted by time; Parquet bloom filters on ``client_id`` and
   ``product_id`` let point lookups (client statistics, purchase lists) skip
-  row groups too.
+  row groups.
 """
 
 from __future__ import annotations
 
-import math
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,199 +28,86 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.decode import split_valid
 from ..schemas import PURCHASE_RT
-from .dedup import dedup as _dedup
+from ..sources.finished import exists
+from .dedup import unique
+from .landing import DEAD, land, landed, stream_id
 
 RT_COLUMNS = [f.name for f in PURCHASE_RT.fields]
 SOURCE_COLUMNS = ("key", "partition", "offset")
 DEAD_COLUMNS = (*SOURCE_COLUMNS, "value", "reason")
-BLOOM_COLUMNS = ("client_id", "product_id")
-# readers find committed batch and compaction directories by this marker,
-# so it is forced on for these writes whatever the cluster's default
-MARK_SUCCESS = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "true"}
-ROWS_PER_FILE = 1_000_000
-COMPACTED = "_compacted"  # hidden from directory reads of the table (leading "_")
-
-RT_TABLE = T.StructType(PURCHASE_RT.fields + [T.StructField("batch_id", T.LongType()),
-                                             T.StructField("dt", T.DateType())])
-DEAD_TABLE = T.StructType([
+# sized to the distinct values seen, not the 1 MB default
+BLOOM = {"parquet.bloom.filter.adaptive.enabled": "true",
+         **{f"parquet.bloom.filter.enabled#{c}": "true" for c in ("client_id", "product_id")}}
+
+_DAY = T.StructField("dt", T.DateType())
+RT_TABLE = T.StructType([T.StructField(f.name, f.dataType) for f in PURCHASE_RT.fields] + [_DAY])
+_LANDED = T.StructType([
     T.StructField("key", T.StringType()), T.StructField("partition", T.IntegerType()),
     T.StructField("offset", T.LongType()), T.StructField("value", T.StringType()),
-    T.StructField("reason", T.StringType()), T.StructField("batch_id", T.LongType())])
+    T.StructField("reason", T.StringType()), *RT_TABLE.fields])
 
 
-def tag_purchases(stream: DataFrame, dedup_delay: str | None = None) -> DataFrame:
-    """Decoded stream: valid rows (reason NULL) and dead letters together.
-    With ``dedup_delay`` the valid branch is de-duplicated on purchase_id."""
-    tagged = split_valid(stream, ts_name="ts", keep=SOURCE_COLUMNS)
-    valid = tagged.where(F.col("reason").isNull())
-    if dedup_delay:
-        valid = _dedup(valid, "purchase_id", dedup_delay)
-    return valid.unionByName(tagged.where(F.col("reason").isNotNull()))
+def ingest_purchases(stream: DataFrame, landing: str, checkpoint: str, trigger: dict | None = None,
+                     name: str | None = None) -> StreamingQuery:
+    """Start the ingest. ``trigger`` is passed to ``DataStreamWriter.trigger``:
+    ``{"processingTime": "1 second"}`` for a service (the reference polls
+    every second), ``{"availableNow": True}`` for a catch-up run."""
+    source = stream_id(checkpoint)
 
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value"))).withColumn(
+            "dt", F.when(F.col("reason").isNull(), F.to_date("ts")))
+        land(rows, landing, source, batch_id, by=("dt",), sort=("ts",), options=BLOOM)
 
-def _parts(rows: int, rows_per_file: int) -> int:
-    return max(1, math.ceil(rows / rows_per_file))
+    w = (split_valid(stream, ts_name="ts", keep=SOURCE_COLUMNS).writeStream.foreachBatch(write_batch)
+         .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 second"})))
+    return (w.queryName(name) if name else w).start()
 
 
-def _write_rows(rows: DataFrame, path: str, n: int, rows_per_file: int) -> None:
-    """Real-time rows (with ``dt``) range partitioned on (day, time) into
-    files of about ``rows_per_file`` rows, sorted by time, with bloom filters."""
-    w = (rows.repartitionByRange(_parts(n, rows_per_file), "dt", "ts", "purchase_id")
-         .sortWithinPartitions("dt", "ts").write.mode("overwrite").options(**MARK_SUCCESS)
-         .partitionBy("dt"))
-    if BLOOM_COLUMNS:  # sized to the distinct values seen, not the 1 MB default
-        w = w.option("parquet.bloom.filter.adaptive.enabled", "true")
-    for c in BLOOM_COLUMNS:
-        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
-    w.parquet(path)
+def read_realtime(spark: SparkSession, landing: str, with_day: bool = False, once: bool = False) -> DataFrame:
+    """Every valid row that has landed, of all streams; ``once``: one row
+    per purchase. ``with_day`` keeps ``dt`` so callers can prune by day."""
+    rows = landed(spark, landing, _LANDED).select(*RT_COLUMNS, *(["dt"] if with_day else []))
+    return unique(rows, ["purchase_id"]) if once else rows
 
 
-def _writer(table_path: str, dead_path: str, rows_per_file: int = ROWS_PER_FILE):
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            n_valid, n_dead = batch.agg(F.count_if(F.col("reason").isNull()),
-                                        F.count_if(F.col("reason").isNotNull())).first()
-            valid = (batch.where(F.col("reason").isNull()).select(*RT_COLUMNS)
-                     .withColumn("dt", F.to_date("ts")))
-            _write_rows(valid, f"{table_path}/batch_id={batch_id}", n_valid, rows_per_file)
-            (batch.where(F.col("reason").isNotNull()).select(*DEAD_COLUMNS)
-             .repartition(_parts(n_dead, rows_per_file))
-             .write.mode("overwrite").options(**MARK_SUCCESS).parquet(f"{dead_path}/batch_id={batch_id}"))
-        finally:
-            batch.unpersist()
-    return write_batch
-
-
-def ingest_purchases(stream: DataFrame, table_path: str, dead_path: str, checkpoint: str,
-                     trigger: dict | None = None, dedup_delay: str | None = None,
-                     name: str | None = None, rows_per_file: int = ROWS_PER_FILE) -> StreamingQuery:
-    """Start the ingest. ``trigger`` is passed to ``DataStreamWriter.trigger``:
-    ``{"processingTime": "1 second"}`` for a service (the reference polls
-    every second), ``{"availableNow": True}`` for a catch-up run."""
-    w = (tag_purchases(stream, dedup_delay).writeStream
-         .foreachBatch(_writer(table_path, dead_path, rows_per_file))
-         .option("checkpointLocation", checkpoint)
-         .trigger(**(trigger or {"processingTime": "1 second"})))
-    if name:
-        w = w.queryName(name)
-    return w.start()
+def read_dead_letters(spark: SparkSession, landing: str) -> DataFrame:
+    return landed(spark, landing, _LANDED, DEAD).select(*DEAD_COLUMNS)
+
+
+def changed_days(spark: SparkSession, landing: str, after: dt.datetime | None = None) -> list[dt.date]:
+    """Days of the valid rows that have landed (since ``after``)."""
+    rows = landed(spark, landing, _LANDED)
+    if after is not None:
+        rows = rows.where(F.col("_metadata.file_modification_time") > F.lit(after))
+    return sorted(r.dt for r in rows.select("dt").distinct().collect())  # a row per day
+
 
+def publish_days(spark: SparkSession, landing: str, table: str, days: list[dt.date] | None = None) -> list[dt.date]:
+    """K3/K5: write the given days (all that have landed, by default) to the
+    real-time table, one row per purchase; returns them."""
+    days = changed_days(spark, landing) if days is None else days
+    if days:
+        rows = read_realtime(spark, landing, with_day=True).where(F.col("dt").isin(days))
+        (unique(rows, ["dt", "purchase_id"]).hint("rebalance", F.col("dt")).sortWithinPartitions("dt", "ts")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**BLOOM)
+         .partitionBy("dt").parquet(table))
+    return days
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
+def read_published(spark: SparkSession, table: str, with_day: bool = False) -> DataFrame:
+    """K5: the published real-time table, by path."""
+    rows = (spark.read.schema(RT_TABLE).parquet(table) if exists(spark, table)
+            else spark.createDataFrame([], RT_TABLE))
+    return rows.select(*RT_COLUMNS, *(["dt"] if with_day else []))
 
-def ensure_realtime(spark: SparkSession, name: str, table_path: str) -> DataFrame:
-    """K5: register the real-time table in the catalog if it is absent
-    (partitioned by batch and day over ``table_path``) and pick up the
-    partitions written since; returns the table."""
+
+def ensure_realtime(spark: SparkSession, name: str, table: str) -> DataFrame:
+    """K5: register the published table in the catalog if it is absent and
+    pick up the days published since; the same rows as ``read_published``."""
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in RT_TABLE.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
-              f"PARTITIONED BY (batch_id, dt) LOCATION '{table_path}'")
-    if _exists(spark, table_path):
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet PARTITIONED BY (dt) LOCATION '{table}'")
+    if exists(spark, table):
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(name)
     return spark.table(name)
-
-
-def _glob(spark: SparkSession, pattern: str) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(pattern)
-    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
-    return sorted(str(st.getPath().getParent().toString()) for st in (found or []))
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def _number(path: str) -> int:
-    return int(path.rstrip("/").rsplit("=", 1)[1])
-
-
-def committed_batches(spark: SparkSession, path: str) -> list[str]:
-    """``batch_id=`` directories whose write job has committed (Spark's
-    ``_SUCCESS`` marker is created last), found with one glob."""
-    return _glob(spark, f"{path}/batch_id=*/_SUCCESS")
-
-
-def _compactions(spark: SparkSession, table_path: str) -> list[str]:
-    """Finished compactions, oldest first."""
-    return sorted(_glob(spark, f"{table_path}/{COMPACTED}/upto=*/_SUCCESS"), key=_number)
-
-
-def _snapshot(spark: SparkSession, table_path: str):
-    """(newest finished compaction or None, committed batches after it)."""
-    done = _compactions(spark, table_path)
-    base = done[-1] if done else None
-    upto = _number(base) if base else -1
-    batches = [b for b in committed_batches(spark, table_path) if _number(b) > upto]
-    return base, sorted(batches, key=_number)
-
-
-def _read_parts(spark: SparkSession, table_path: str, base: str | None, batches: list[str]) -> DataFrame:
-    cols = [*RT_COLUMNS, "dt"]
-    parts = []
-    if base:
-        parts.append(spark.read.schema(RT_TABLE).option("basePath", base).parquet(base).select(*cols))
-    if batches:
-        parts.append(spark.read.schema(RT_TABLE).option("basePath", table_path).parquet(*batches)
-                     .select(*cols))
-    if not parts:
-        return spark.createDataFrame([], RT_TABLE).select(*cols)
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
-
-def read_realtime(spark: SparkSession, table_path: str, with_day: bool = False) -> DataFrame:
-    """The real-time table: the newest finished compaction plus the
-    committed batches after it (a batch being written is not seen half-done);
-    empty (with its schema) before the first batch. ``with_day`` keeps ``dt``
-    so callers can prune by day."""
-    df = _read_parts(spark, table_path, *_snapshot(spark, table_path))
-    return df.select(*RT_COLUMNS, *(["dt"] if with_day else []))
-
-
-def compact_realtime(spark: SparkSession, table_path: str,
-                     rows_per_file: int = ROWS_PER_FILE) -> int | None:
-    """Rewrite the small per-batch directories into files of about
-    ``rows_per_file`` rows under ``_compacted/upto=<n>``; returns ``n`` or
-    None when there is nothing to do.
-
-    Takes the newest finished compaction and every committed batch after it
-    except the newest (the one batch a restarted stream may replay). The new
-    compaction becomes visible when its job commits (``_SUCCESS``); readers
-    then skip batches up to ``n``. Inputs of the previous round (batches and
-    compactions it covered) are deleted now, one round late, so a reader that
-    listed the table before the previous compaction still finds its files.
-    Run it from the scheduler, at most one at a time, alongside the stream."""
-    base, batches = _snapshot(spark, table_path)
-    todo = batches[:-1]
-    if not todo:
-        return None
-    upto = _number(todo[-1])
-    rows = _read_parts(spark, table_path, base, todo).persist()
-    try:
-        _write_rows(rows, f"{table_path}/{COMPACTED}/upto={upto}", rows.count(), rows_per_file)
-    finally:
-        rows.unpersist()
-    if base:
-        prev = _number(base)
-        for b in committed_batches(spark, table_path):
-            if _number(b) <= prev:
-                _delete(spark, b)
-        for c in _compactions(spark, table_path):
-            if _number(c) < prev:
-                _delete(spark, c)
-    return upto
-
-
-def read_dead_letters(spark: SparkSession, dead_path: str) -> DataFrame:
-    batches = committed_batches(spark, dead_path)
-    if not batches:
-        return spark.createDataFrame([], DEAD_TABLE).select(*DEAD_COLUMNS)
-    return (spark.read.schema(DEAD_TABLE).option("basePath", dead_path).parquet(*batches)
-            .select(*DEAD_COLUMNS))

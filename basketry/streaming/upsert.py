@@ -1,61 +1,45 @@
-"""Keyed upsert stream into a real-time dimension table (X2 products,
-X3 sellers): "add and update" messages, newest wins.
-
-Messages carry no event time, so recency is the topic order
-(broker timestamp, partition, offset). The table is hash-bucketed on the
-key and versioned, so no micro-batch overwrites files a reader may use::
-
-    <table>/version=<v>/bucket=<b>/part-*.parquet   rows of bucket b as of v
-    <table>/_commits/<v>.<stream>.<batch>            commit marker of v
-
-Per micro-batch:
-
-1. decode, keep the newest message per key (``max`` of a struct whose
-   leading fields are the recency columns: a partial aggregate, so a key
-   sent a million times costs one row per task, not one task);
-2. read only the buckets the batch touches, each at its newest committed
-   version (the touched bucket ids are at most ``buckets`` integers);
-3. merge current and new rows, newest per key again, checkpoint the merge;
-4. write the touched buckets to a new ``version=<v>`` directory, range
-   partitioned on (bucket, key) into files of about ``rows_per_file`` rows
-   (each file covers one key range, so key lookups skip files), then
-   create the commit marker: a single file create, atomic on HDFS and
-   object stores. Readers see version ``v`` only once its marker exists.
-
-A crash before the marker leaves an uncommitted directory that readers
-ignore and the replayed batch rewrites; a batch replayed after its marker
-was written (crash before the stream's own commit) finds its marker and
-does nothing. One writer per table. Superseded bucket directories are
-deleted once ``retain`` newer committed versions of that bucket exist, so
-a reader that listed the table up to ``retain - 1`` batches ago still finds
-its files, and the listing stays at about ``buckets * retain`` directories.
+"""Keyed upserts of the real-time dimension tables (X2 products, X3 sellers):
+"add and update" messages, newest wins.
+
+The stream appends decoded changes to a landing log (see ``landing``);
+messages that are no JSON object, lack the key or have a bad price land as
+dead letters with a reason. Messages carry no event time, so recency is the
+topic order (broker time, partition, offset). ``read_upserted`` takes the
+newest row per key of the refreshed table and the log; ``refresh`` writes that
+as the table's next load (K1) and drops the log it has taken in. A change that
+is read twice, or replayed, changes nothing: the newest is the newest.
 """
 
 from __future__ import annotations
 
-import hashlib
-import math
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import lenient_double
+from ..operators.decode import BAD_PRICE, MISSING_FIELD, NOT_JSON
 from ..schemas import PRODUCT_RT, SELLER_RT
+from ..sinks.stage import loads, write_stage
+from ..sources.finished import delete
+from .landing import DEAD, batches, land, landed, stream_id
 
 RECENCY = ("_ts", "_partition", "_offset")
-ROWS_PER_FILE = 1_000_000
 ENTITIES = {
     "products": ("product_id", PRODUCT_RT),
     "sellers": ("seller_id", SELLER_RT),
 }
+_ORDER = [T.StructField("_ts", T.TimestampType()), T.StructField("_partition", T.IntegerType()),
+          T.StructField("_offset", T.LongType())]
+
+
+def _stored(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields] + _ORDER)
 
 
-def _stored_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType(
-        [T.StructField(f.name, f.dataType, True) for f in schema.fields]
-        + [T.StructField("_ts", T.TimestampType()), T.StructField("_partition", T.IntegerType()),
-           T.StructField("_offset", T.LongType()), T.StructField("bucket", T.IntegerType())])
+def _log(schema: T.StructType) -> T.StructType:
+    return T.StructType([*_stored(schema).fields, T.StructField("value", T.StringType()),
+                         T.StructField("reason", T.StringType())])
 
 
 def latest_per_key(df: DataFrame, key: str, order: tuple[str, ...] = RECENCY) -> DataFrame:
@@ -66,150 +50,65 @@ def latest_per_key(df: DataFrame, key: str, order: tuple[str, ...] = RECENCY) ->
 
 
 def decode_records(records: DataFrame, schema: T.StructType, key: str) -> DataFrame:
-    """Topic records -> typed rows with recency columns; rows without a key
-    cannot be placed and are left out."""
-    m = F.from_json(F.col("value").cast("string"), schema)
-    return (records.select(m.alias("m"), F.col("timestamp").alias("_ts"),
-                           F.col("partition").alias("_partition"), F.col("offset").alias("_offset"))
-            .select("m.*", *RECENCY).where(F.col(key).isNotNull()))
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _list(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    return [st.getPath().getName() for st in fs.listStatus(p)]
-
-
-def _commits(spark: SparkSession, table_path: str) -> list[tuple[int, str, int]]:
-    """(version, stream token, batch id) of every committed version."""
-    out = []
-    for name in _list(spark, f"{table_path}/_commits"):
-        v, token, batch = name.split(".")
-        out.append((int(v), token, int(batch)))
-    return out
-
-
-def _layout(spark: SparkSession, table_path: str) -> dict[int, list[int]]:
-    """bucket -> committed versions holding it, newest first."""
-    committed = {v for v, _, _ in _commits(spark, table_path)}
-    held: dict[int, list[int]] = {}
-    for vdir in _list(spark, table_path):
-        if not vdir.startswith("version="):
-            continue
-        v = int(vdir.split("=", 1)[1])
-        if v not in committed:
-            continue
-        for bdir in _list(spark, f"{table_path}/{vdir}"):
-            if bdir.startswith("bucket="):
-                held.setdefault(int(bdir.split("=", 1)[1]), []).append(v)
-    return {b: sorted(vs, reverse=True) for b, vs in held.items()}
-
-
-def _snapshot_paths(spark: SparkSession, table_path: str, buckets=None) -> list[str]:
-    """Directory of each bucket at its newest committed version."""
-    return [f"{table_path}/version={vs[0]}/bucket={b}"
-            for b, vs in sorted(_layout(spark, table_path).items())
-            if buckets is None or b in buckets]
-
-
-def _read_snapshot(spark: SparkSession, table_path: str, stored: T.StructType, buckets=None):
-    paths = _snapshot_paths(spark, table_path, buckets)
-    if not paths:
-        return None
-    schema = T.StructType(stored.fields + [T.StructField("version", T.LongType())])
-    return spark.read.schema(schema).option("basePath", table_path).parquet(*paths)
-
-
-def _vacuum(spark: SparkSession, table_path: str, current: int, retain: int) -> None:
-    """Delete bucket directories with ``retain`` newer committed versions,
-    version directories left without buckets (and their markers) outside the
-    newest ``retain`` versions, and uncommitted directories of earlier
-    attempts."""
-    commits = _commits(spark, table_path)
-    committed = {v for v, _, _ in commits}
-    newest = set(sorted(committed, reverse=True)[:retain])
-    for b, vs in _layout(spark, table_path).items():
-        for v in vs[retain:]:
-            fs, p = _fs(spark, f"{table_path}/version={v}/bucket={b}")
-            fs.delete(p, True)
-    for vdir in _list(spark, table_path):
-        if not vdir.startswith("version="):
-            continue
-        v = int(vdir.split("=", 1)[1])
-        stale = v not in committed and v < current
-        empty = v in committed and v not in newest and not any(
-            d.startswith("bucket=") for d in _list(spark, f"{table_path}/{vdir}"))
-        if stale or empty:
-            fs, p = _fs(spark, f"{table_path}/{vdir}")
-            fs.delete(p, True)
-    for v, token, batch in commits:
-        if v not in newest and not _list(spark, f"{table_path}/version={v}"):
-            fs, p = _fs(spark, f"{table_path}/_commits/{v}.{token}.{batch}")
-            fs.delete(p, False)
-
-
-def stream_token(checkpoint: str) -> str:
-    """Stable id of a stream: the same checkpoint gives the same token."""
-    return hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
-
-
-def merge_batch(spark: SparkSession, batch: DataFrame, table_path: str, key: str,
-                schema: T.StructType, buckets: int, token: str = "batch", batch_id: int = 0,
-                retain: int = 2, rows_per_file: int = ROWS_PER_FILE) -> None:
-    commits = _commits(spark, table_path)
-    if any(t == token and b == batch_id for _, t, b in commits):
-        return  # replay of a batch whose version is already committed
-    version = max((v for v, _, _ in commits), default=-1) + 1
-    newest = latest_per_key(batch, key).withColumn(
-        "bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-    newest = newest.checkpoint(eager=True)
-    touched = [r.bucket for r in newest.select("bucket").distinct().collect()]  # <= buckets ints
-    if not touched:
-        return
-    stored = _stored_schema(schema)
-    cols = [f.name for f in stored.fields]
-    merged = newest.select(*cols)
-    current = _read_snapshot(spark, table_path, stored, set(touched))
-    if current is not None:
-        merged = latest_per_key(current.select(*cols).unionByName(merged).drop("bucket"), key).withColumn(
-            "bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).select(*cols)
-        merged = merged.checkpoint(eager=True)
-    files = len(touched) * max(1, math.ceil(merged.count() / (len(touched) * rows_per_file)))
-    (merged.repartitionByRange(files, "bucket", key).sortWithinPartitions("bucket", key)
-     .write.mode("overwrite").partitionBy("bucket").parquet(f"{table_path}/version={version}"))
-    fs, p = _fs(spark, f"{table_path}/_commits/{version}.{token}.{batch_id}")
-    fs.create(p, True).close()
-    _vacuum(spark, table_path, version, retain)
-
-
-def upsert(stream: DataFrame, entity: str, table_path: str, checkpoint: str,
-           buckets: int = 16, trigger: dict | None = None, retain: int = 2,
-           rows_per_file: int = ROWS_PER_FILE) -> StreamingQuery:
-    """Start the upsert stream for ``entity`` ("products" or "sellers")."""
+    """Topic records -> typed rows with recency columns, the message text and
+    ``reason``, NULL for a usable change. Numbers may be sent as text."""
+    text = F.col("value").cast("string")
+    raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    m = records.select(text.alias("value"), F.from_json(text, raw).alias("m"), F.col("timestamp").alias("_ts"),
+                       F.col("partition").alias("_partition"), F.col("offset").alias("_offset"))
+    numbers = [f.name for f in schema.fields if isinstance(f.dataType, T.DoubleType)]
+
+    def typed(name: str) -> Column:
+        return lenient_double(f"m.{name}") if name in numbers else F.col(f"m.{name}")
+    bad = F.lit(False)
+    for n in numbers:
+        bad = bad | (F.col(f"m.{n}").isNotNull() & typed(n).isNull())
+    reason = (F.when(F.col(f"m.{key}").isNull() & F.json_object_keys("value").isNull(), NOT_JSON)
+              .when(F.col(f"m.{key}").isNull(), MISSING_FIELD).when(bad, BAD_PRICE))
+    return m.select(*[typed(f.name).alias(f.name) for f in schema.fields], *RECENCY, "value", reason.alias("reason"))
+
+
+def upsert(stream: DataFrame, entity: str, log: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Start the upsert stream of ``entity`` ("products" or "sellers")."""
     key, schema = ENTITIES[entity]
-    token = stream_token(checkpoint)
+    source = stream_id(checkpoint)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(batch.sparkSession, batch, table_path, key, schema, buckets, token, batch_id,
-                    retain, rows_per_file)
+        land(batch.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value"))), log, source, batch_id,
+             sort=(key,))
 
     return (decode_records(stream, schema, key).writeStream.foreachBatch(write_batch)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "1 second"})).start())
 
 
-def read_upserted(spark: SparkSession, table_path: str, entity: str) -> DataFrame:
-    """Current rows of an upserted table (payload columns only)."""
+def _current(spark: SparkSession, log: str, entity: str, table: str | None, dirs: list[str]) -> DataFrame:
     key, schema = ENTITIES[entity]
-    cols = [f.name for f in schema.fields]
-    df = _read_snapshot(spark, table_path, _stored_schema(schema))
-    if df is None:
-        return spark.createDataFrame([], schema)
-    return df.select(*cols)
+    stored = _stored(schema)
+    rows = landed(spark, log, _log(schema), dirs=dirs).select(*stored.names)
+    done = loads(spark, table) if table else []
+    if done:
+        rows = rows.unionByName(spark.read.schema(stored).parquet(done[-1]))
+    return latest_per_key(rows, key).select(*stored.names)
+
+
+def read_upserted(spark: SparkSession, log: str, entity: str, table: str | None = None) -> DataFrame:
+    """Current rows: the newest per key of the refreshed table, if any, and
+    the log (payload columns only)."""
+    return _current(spark, log, entity, table, batches(spark, log)).select(*ENTITIES[entity][1].names)
+
+
+def read_upsert_dead_letters(spark: SparkSession, log: str, entity: str) -> DataFrame:
+    """(value, reason) of the messages that are no usable change."""
+    return landed(spark, log, _log(ENTITIES[entity][1]), DEAD).select("value", "reason")
+
+
+def refresh(spark: SparkSession, log: str, entity: str, table: str, drop_log: bool = True) -> str:
+    """Write the current rows as the table's next load, then drop the log
+    batches that are in it, but for those with dead letters; returns the load.
+    Run it from a scheduler, one at a time per table."""
+    taken = batches(spark, log)
+    load = write_stage(_current(spark, log, entity, table, taken), table)
+    for d in taken if drop_log else ():
+        delete(spark, f"{d}/kind=valid")
+    return load

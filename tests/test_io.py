@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from basketry.sinks.reports import write_report
-from basketry.sinks.stage import write_stage
+from basketry.sinks.stage import loads, write_stage
 from basketry.sources.files import read_latest_report, read_table_or_files, report_dirs, stage
 
 
@@ -23,27 +23,63 @@ def test_report_missing_is_error(spark, tmp):
         read_latest_report(spark, tmp, "avg_check_by_day")
 
 
+def test_unfinished_report_is_skipped(spark, tmp):
+    old = spark.createDataFrame([("x", 1)], "client_id string, purchase_count long")
+    write_report(old, tmp, "top_clients", dt.datetime(2024, 5, 1, 12, 0, 0))
+    old.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").csv(f"{tmp}/top_clients_20990101_000000.csv")
+    assert read_latest_report(spark, tmp, "top_clients").count() == 1
+
+
 def test_stage_by_table_and_path_and_fallback(spark, tmp):
+    from basketry.operators.stage import with_load_date
     from basketry.schemas import PRODUCT
     df = spark.createDataFrame([("p1", "a", "toys", 1.0, 5, "2024-01-01T00:00:00+00:00")], PRODUCT)
     files = f"{tmp}/files"
     df.write.parquet(files)
     assert read_table_or_files(spark, "no_such_table_xyz", files).count() == 1
+    df = with_load_date(df, "2024-06-01")
     write_stage(df, path=f"{tmp}/stage_products", table="stage_products_test")
     write_stage(df.union(df), path=f"{tmp}/stage_products", table="stage_products_test")  # replaced
     assert stage(spark, "products_test").count() == 2
+    assert stage(spark, "products", path=f"{tmp}/stage_products").count() == 2
     assert read_table_or_files(spark, "stage_products_test", files).count() == 2  # table wins
+    for _ in range(3):
+        write_stage(df.select("product_id"), path=f"{tmp}/stage_products", table="stage_products_test")
+    assert spark.table("stage_products_test").columns == ["product_id"]  # a new schema replaces the table
+    assert len(loads(spark, f"{tmp}/stage_products")) == 2
     spark.sql("DROP TABLE stage_products_test")
 
 
-def test_topic_standin_round_trip(spark, tmp, sf_small):
+def test_failing_refresh_keeps_the_old_rows(spark, tmp):
+    from pyspark.sql import functions as F
+    one = spark.createDataFrame([("p1",)], "product_id string")
+    write_stage(one, path=f"{tmp}/s", table="stage_failing_test")
+    bad = one.union(one).withColumn("product_id", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception):
+        write_stage(bad, path=f"{tmp}/s", table="stage_failing_test")
+    assert spark.table("stage_failing_test").count() == 1
+    assert stage(spark, "x", path=f"{tmp}/s", schema=one.schema).count() == 1
+    spark.sql("DROP TABLE stage_failing_test")
+
+
+def test_recorded_topic_round_trip(spark, tmp, sf_small):
+    from basketry.operators.decode import decode_purchases
     from basketry.plans import fixtures as fx
-    from basketry.sinks.topics import publish_json
+    from basketry.plans.topic_files import publish
     from basketry.sources.topics import read_topic
-    from basketry.operators.decode import decode_purchases
     rt = fx.purchases_rt(spark, sf_small)
-    publish_json(fx.purchase_messages(rt), "purchases", path=f"{tmp}/topic", key="purchase_id")
+    publish(fx.purchase_messages(rt), "purchases", f"{tmp}/topic", "purchase_id")
     recs = read_topic(spark, "purchases", path=f"{tmp}/topic")
     assert set(recs.columns) == {"key", "value", "topic", "partition", "offset", "timestamp"}
+    assert dict(recs.dtypes)["value"] == "binary"
     back = decode_purchases(recs, ts_name="ts")
     assert back.exceptAll(rt).count() == 0 and back.count() == rt.count()
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    from types import SimpleNamespace
+
+    from basketry.session import checkpoint_root
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn")
+    with pytest.raises(RuntimeError):
+        checkpoint_root(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None)))

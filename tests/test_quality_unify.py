@@ -1,21 +1,12 @@
 import datetime as dt
 
 from basketry.operators import quality, unify
-from basketry.operators.joins import attach_dimension
 from basketry.operators.stage import profile
 from basketry.schemas import PURCHASE
 
 from conftest import rows
 
 
-def test_attach_dimension_both_paths(spark):
-    result = spark.createDataFrame([("p1", 5), ("p2", 3), ("p9", 1)], "product_id string, total long")
-    dim = spark.createDataFrame([("p1", "one"), ("p2", "two"), ("p3", "three")], "product_id string, name string")
-    small = rows(attach_dimension(result, dim, "product_id", ["name"]))
-    large = rows(attach_dimension(result, dim, "product_id", ["name"], max_rows=1))  # plain join path
-    assert small == large == [("p1", 5, "one"), ("p2", 3, "two"), ("p9", 1, None)]
-
-
 def test_unified_keeps_ids_of_unknown_dimensions(spark):
     t = dt.datetime(2024, 1, 1)
     p = spark.createDataFrame([("o1", "c1", "p1", 1, 2.0, t), ("o2", "c9", "p9", 2, 3.0, t)], PURCHASE)

@@ -1,12 +1,14 @@
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
 from basketry.operators.decode import split_valid, valid_rows
-from basketry.sinks.topics import as_messages, publish_raw
+from basketry.plans.topic_files import publish
 from basketry.sources.topics import stream_topic
-from basketry.streaming.ingest import ingest_purchases, read_dead_letters, read_realtime
-from basketry.streaming.upsert import read_upserted, upsert
+from basketry.streaming.ingest import (changed_days, ingest_purchases, publish_days, read_dead_letters, read_published,
+                                       read_realtime)
+from basketry.streaming.upsert import read_upsert_dead_letters, read_upserted, refresh, upsert
 from basketry.streaming.windows import start_windowed_revenue, windowed_revenue
 
 NOW = {"availableNow": True}
@@ -14,40 +16,70 @@ MSG = '{"purchase_id":"%s","client_id":"c","product_id":"p","quantity":%d,"price
 
 
 def _send(spark, path, values, at="2024-03-01 00:00:00"):
-    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "k string, value string")
-    publish_raw(as_messages(df, "purchases", key="k", value=F.col("value"), at=at), path)
+    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "k string, value string").coalesce(1)
+    publish(df, "purchases", path, key="k", value=F.col("value"), at=at)
 
 
-def _ingest(spark, base, dedup=None, run="r"):
-    q = ingest_purchases(stream_topic(spark, "purchases", path=f"{base}/topic", max_files_per_trigger=1),
-                         f"{base}/{run}/table", f"{base}/{run}/dead", f"{base}/{run}/ck", trigger=NOW,
-                         dedup_delay=dedup)
+def _ingest(spark, base, run="r", topic="topic"):
+    q = ingest_purchases(stream_topic(spark, "purchases", path=f"{base}/{topic}", max_files_per_trigger=1),
+                         f"{base}/landing", f"{base}/{run}/ck", trigger=NOW)
     q.awaitTermination()
-    return read_realtime(spark, f"{base}/{run}/table")
+    return read_realtime(spark, f"{base}/landing")
+
+
+def _ids(df):
+    return sorted(r.purchase_id for r in df.collect())
 
 
 def test_ingest_restart_and_dead_letters(spark, tmp):
     _send(spark, f"{tmp}/topic", [MSG % ("a", 1, "2.5", "2024-03-01T10:00:00Z"), "garbage",
-                                  MSG % ("b", 2, '"x"', "2024-03-01T11:00:00Z")])
+                                  MSG % ("b", 2, '"x"', "2024-03-01T11:00:00Z"),
+                                  MSG % ("n", 2, '"NaN"', "2024-03-01T11:00:00Z")])
     assert _ingest(spark, tmp).count() == 1
     assert _ingest(spark, tmp).count() == 1  # restart on the same checkpoint: nothing re-read
     _send(spark, f"{tmp}/topic", [MSG % ("c", 3, "1", "2024-03-02T00:00:00Z")])
-    t = _ingest(spark, tmp)
-    assert sorted(r.purchase_id for r in t.collect()) == ["a", "c"]
-    dead = {r.reason for r in read_dead_letters(spark, f"{tmp}/r/dead").collect()}
-    assert dead == {"not_json", "bad_price"}
-    day = read_realtime(spark, f"{tmp}/r/table", with_day=True).where(F.col("dt") == dt.date(2024, 3, 2))
-    assert [r.purchase_id for r in day.collect()] == ["c"]  # pruned by the day directory
+    assert _ids(_ingest(spark, tmp)) == ["a", "c"]
+    dead = read_dead_letters(spark, f"{tmp}/landing").collect()
+    assert sorted(r.reason for r in dead) == ["bad_price", "bad_price", "not_json"]
+    assert "garbage" in {r.value for r in dead}
+    day = read_realtime(spark, f"{tmp}/landing", with_day=True).where(F.col("dt") == dt.date(2024, 3, 2))
+    assert _ids(day) == ["c"]  # pruned by the day directory
+    assert re.search(r"PartitionFilters: \[[^\]]*dt#", day._jdf.queryExecution().executedPlan().toString())
+
+
+def test_second_stream_and_fresh_checkpoint_keep_every_row(spark, tmp):
+    _send(spark, f"{tmp}/topic", [MSG % ("a", 1, "1", "2024-03-01T10:00:00Z"), MSG % ("b", 1, "1", "2024-03-01T10:00:00Z")])
+    _send(spark, f"{tmp}/other", [MSG % ("c", 1, "1", "2024-03-01T10:00:00Z"), "garbage"])
+    _ingest(spark, tmp)
+    assert _ids(_ingest(spark, tmp, run="second", topic="other")) == ["a", "b", "c"]
+    assert _ids(_ingest(spark, tmp, run="fresh")) == ["a", "a", "b", "b", "c"]  # the topic read anew
+    assert _ids(read_realtime(spark, f"{tmp}/landing", once=True)) == ["a", "b", "c"]
+    assert read_dead_letters(spark, f"{tmp}/landing").count() == 1
 
 
-def test_dedup_drops_resent_ids_across_restart(spark, tmp):
+def test_days_are_published_once_per_purchase_and_late_rows_arrive(spark, tmp):
     same = MSG % ("a", 1, "1", "2024-03-01T10:00:00Z")
-    _send(spark, f"{tmp}/topic", [same, same, MSG % ("b", 1, "1", "2024-03-01T10:05:00Z")])
-    assert _ingest(spark, tmp, dedup="1 day").count() == 2
-    _send(spark, f"{tmp}/topic", [same])  # resent after a restart
-    assert _ingest(spark, tmp, dedup="1 day").count() == 2
-    _send(spark, f"{tmp}/topic", [same])
-    assert _ingest(spark, tmp, run="plain").count() == 5  # without dedup every copy is stored
+    _send(spark, f"{tmp}/topic", [same, same, MSG % ("b", 1, "1", "2024-03-05T10:05:00Z")])
+    _ingest(spark, tmp)
+    landing, table = f"{tmp}/landing", f"{tmp}/table"
+    assert read_published(spark, table).count() == 0
+    assert publish_days(spark, landing, table) == [dt.date(2024, 3, 1), dt.date(2024, 3, 5)]
+    assert _ids(read_published(spark, table)) == ["a", "b"]
+    mark = dt.datetime.now(dt.timezone.utc)
+    _send(spark, f"{tmp}/topic", [same, MSG % ("late", 1, "1", "2024-03-01T23:00:00Z")])  # four days late
+    _ingest(spark, tmp)
+    days = changed_days(spark, landing, mark)
+    assert days == [dt.date(2024, 3, 1)]
+    publish_days(spark, landing, table, days)
+    assert _ids(read_published(spark, table)) == ["a", "b", "late"]
+    day = read_published(spark, table, with_day=True).where(F.col("dt") == dt.date(2024, 3, 5))
+    assert _ids(day) == ["b"]
+
+
+def test_topic_is_scanned_once_per_batch(spark, tmp):
+    _send(spark, f"{tmp}/topic", [MSG % ("a", 1, "1", "2024-03-01T10:00:00Z"), "garbage"])
+    tagged = split_valid(spark.read.parquet(f"{tmp}/topic"), ts_name="ts", keep=("key", "partition", "offset"))
+    assert tagged._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
 
 
 def test_windows_close_after_watermark(spark, tmp):
@@ -67,73 +99,31 @@ def _product(pid, name, price):
 
 
 def test_upsert_newest_wins(spark, tmp):
-    topic = f"{tmp}/topic"
+    topic, log, table = f"{tmp}/topic", f"{tmp}/log", f"{tmp}/table"
     _send(spark, topic, [_product("p1", "v2", 2), _product("p2", "only", 1)], at="2024-03-02 00:00:00")
     _send(spark, topic, [_product("p1", "v1", 1)], at="2024-03-01 00:00:00")  # older, arrives later
-    _send(spark, topic, [_product("p3", "new", 3), _product("p3", "newer", 4)], at="2024-03-03 00:00:00")
+    _send(spark, topic, [_product("p3", "new", 3), _product("p3", "newer", '"4"')], at="2024-03-03 00:00:00")
+    _send(spark, topic, ["no json", '{"name":"no key"}', _product("p9", "bad", '"x"')], at="2024-03-03 00:00:00")
 
-    def run():
-        q = upsert(stream_topic(spark, "products", path=topic, max_files_per_trigger=1), "products",
-                   f"{tmp}/table", f"{tmp}/ck", buckets=4, trigger=NOW)
+    def run(ck="ck"):
+        q = upsert(stream_topic(spark, "products", path=topic, max_files_per_trigger=1), "products", log,
+                   f"{tmp}/{ck}", trigger=NOW)
         q.awaitTermination()
-        return {r.product_id: (r.name, r.price) for r in read_upserted(spark, f"{tmp}/table", "products").collect()}
-
-    got = run()
-    assert got["p1"] == ("v2", 2.0) and got["p2"] == ("only", 1.0)
-    assert got["p3"][0] in ("new", "newer") and len(got) == 3  # same time: later offset wins
+        return {r.product_id: (r.name, r.price) for r in read_upserted(spark, log, "products", table).collect()}
+
+    want = {"p1": ("v2", 2.0), "p2": ("only", 1.0), "p3": ("newer", 4.0)}
+    assert run() == want  # same time: later offset wins; a price sent as text is a price
+    dead = sorted(r.reason for r in read_upsert_dead_letters(spark, log, "products").collect())
+    assert dead == ["bad_price", "missing_field", "not_json"]
+    refresh(spark, log, "products", table)
+    assert run() == want and run("fresh") == want  # nothing new; everything once more
     _send(spark, topic, [_product("p2", "changed", 9)], at="2024-03-04 00:00:00")
-    got = run()
-    assert got["p2"] == ("changed", 9.0) and got["p1"] == ("v2", 2.0) and len(got) == 3
-
-
-def _product_batch(spark, rows, at):
-    df = spark.createDataFrame(rows, "product_id string, name string, price double")
-    return df.select("product_id", "name", F.lit("c").alias("category"), "price",
-                     F.lit(None).cast("string").alias("description"), F.lit("s").alias("seller_id"),
-                     F.to_timestamp(F.lit(at)).alias("_ts"), F.lit(0).alias("_partition"),
-                     F.monotonically_increasing_id().alias("_offset"))
-
-
-def test_upsert_versions_are_crash_safe(spark, tmp):
-    import os
-    from basketry.schemas import PRODUCT_RT
-    from basketry.streaming.upsert import merge_batch
-    table = f"{tmp}/table"
-
-    def merge(rows, at, batch_id, token="t1"):
-        merge_batch(spark, _product_batch(spark, rows, at), table, "product_id", PRODUCT_RT, 4,
-                    token, batch_id, retain=2)
-
-    def current():
-        return {r.product_id: r.name for r in read_upserted(spark, table, "products").collect()}
-
-    merge([("p1", "a", 1.0), ("p2", "b", 2.0)], "2024-03-01 00:00:00", 0)
-    # replay of a committed batch (crash after the marker, before the stream's commit): no-op
-    merge([("p1", "replayed", 1.0)], "2024-03-09 00:00:00", 0)
-    assert current() == {"p1": "a", "p2": "b"}
-    # an attempt that crashed before its marker leaves a directory readers ignore
-    _product_batch(spark, [("p1", "torn", 1.0)], "2024-03-09 00:00:00").withColumn(
-        "bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{table}/version=1")
-    assert current() == {"p1": "a", "p2": "b"}
-    # the replayed attempt takes the same version, replaces it, and commits
-    merge([("p1", "a2", 1.5)], "2024-03-02 00:00:00", 1)
-    assert current() == {"p1": "a2", "p2": "b"}
-    for i in range(2, 6):  # later batches; superseded buckets are vacuumed
-        merge([("p1", f"a{i + 1}", 1.0)], f"2024-03-0{i + 1} 00:00:00", i)
-    assert current() == {"p1": "a6", "p2": "b"}
-    local = table.removeprefix("file:")
-    versions = [d for d in os.listdir(local) if d.startswith("version=")]
-    markers = [m for m in os.listdir(f"{local}/_commits") if not m.startswith(".")]
-    assert len(versions) <= 3 and len(markers) == len(versions)
-    # a second stream (new checkpoint, batch ids from 0 again) still commits new versions
-    merge([("p3", "c", 3.0)], "2024-03-08 00:00:00", 0, token="t2")
-    assert current() == {"p1": "a6", "p2": "b", "p3": "c"}
-    # files are sized by rows: one row per file here, each bucket split by key range
-    merge_batch(spark, _product_batch(spark, [(f"q{i}", "n", 1.0) for i in range(8)], "2024-03-09 00:00:00"),
-                table, "product_id", PRODUCT_RT, 4, "t3", 0, retain=2, rows_per_file=1)
-    newest = max(int(d.split("=")[1]) for d in os.listdir(local) if d.startswith("version="))
-    files = [f for _, _, fs in os.walk(f"{local}/version={newest}") for f in fs if f.endswith(".parquet")]
-    assert len(files) >= 8 and len(current()) == 11
+    want["p2"] = ("changed", 9.0)
+    assert run() == want
+    for _ in range(3):
+        refresh(spark, log, "products", table)
+    assert run() == want
+    assert len(read_upsert_dead_letters(spark, log, "products").collect()) == 6  # of both streams
 
 
 def test_realtime_reads_committed_batches_only(spark, tmp):
@@ -143,43 +133,12 @@ def test_realtime_reads_committed_batches_only(spark, tmp):
     _send(spark, f"{tmp}/topic", [MSG % ("a", 1, "2.5", "2024-03-01T10:00:00Z")])
     assert [r.purchase_id for r in _ingest(spark, tmp).collect()] == ["a"]
     # files of a batch whose job has not committed (no _SUCCESS yet)
-    torn = f"{tmp}/r/table/batch_id=99/dt=2024-03-01".removeprefix("file:")
+    torn = f"{tmp}/landing/stream=x/batch_id=99/kind=valid/dt=2024-03-01".removeprefix("file:")
     os.makedirs(torn)
     pq.write_table(pa.table({"purchase_id": ["torn"], "client_id": ["c"], "product_id": ["p"],
                              "quantity": pa.array([1], pa.int32()), "price": [1.0],
                              "ts": pa.array([0], pa.timestamp("us", tz="UTC"))}), f"{torn}/part-0.parquet")
-    assert [r.purchase_id for r in read_realtime(spark, f"{tmp}/r/table").collect()] == ["a"]
-
-
-def test_compaction_keeps_every_row_once(spark, tmp):
-    import os
-    from basketry.streaming.ingest import compact_realtime
-    table = f"{tmp}/r/table"
-    local = table.removeprefix("file:")
-
-    def ids():
-        return sorted(r.purchase_id for r in read_realtime(spark, table).collect())
-
-    for i in range(3):  # one micro-batch per send
-        _send(spark, f"{tmp}/topic", [MSG % (f"a{i}", 1, "1", f"2024-03-0{i + 1}T10:00:00Z")])
-    _ingest(spark, tmp)
-    assert compact_realtime(spark, table) == 1  # batches 0 and 1; the newest (2) stays
-    assert ids() == ["a0", "a1", "a2"]
-    assert sorted(os.listdir(f"{local}/_compacted")) == ["upto=1"]
-    for i in range(3, 5):
-        _send(spark, f"{tmp}/topic", [MSG % (f"a{i}", 1, "1", f"2024-03-0{i + 1}T10:00:00Z")])
-    _ingest(spark, tmp)
-    assert compact_realtime(spark, table) == 3  # upto=1 + batches 2, 3
-    assert ids() == ["a0", "a1", "a2", "a3", "a4"]
-    # inputs of the previous round (batches 0, 1) are gone; 2 and 3 wait one more round
-    assert sorted(d for d in os.listdir(local) if d.startswith("batch_id=")) == [
-        "batch_id=2", "batch_id=3", "batch_id=4"]
-    assert compact_realtime(spark, table) is None  # only the newest batch is left
-    df = read_realtime(spark, table, with_day=True).where(F.col("dt") == dt.date(2024, 3, 5))
-    assert [r.purchase_id for r in df.collect()] == ["a4"]
-    # the day filter prunes directories in both the compaction and the batches
-    text = df._jdf.queryExecution().executedPlan().toString()
-    assert text.count("PartitionFilters: [isnotnull(dt") == 2
+    assert [r.purchase_id for r in read_realtime(spark, f"{tmp}/landing").collect()] == ["a"]
 
 
 def test_purchase_list_prunes_day_directories(spark, tmp):
@@ -187,30 +146,7 @@ def test_purchase_list_prunes_day_directories(spark, tmp):
     _send(spark, f"{tmp}/topic", [MSG % ("a", 1, "1", "2024-03-01T10:00:00Z"),
                                   MSG % ("b", 1, "1", "2024-03-05T10:00:00Z")])
     _ingest(spark, tmp)
-    df = list_purchases(read_realtime(spark, f"{tmp}/r/table", with_day=True), start="2024-03-04",
+    df = list_purchases(read_realtime(spark, f"{tmp}/landing", with_day=True), start="2024-03-04",
                         end="2024-03-06")
     assert [r.purchase_id for r in df.collect()] == ["b"]
-    text = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(dt" in text
-
-
-def test_ingest_sizes_files_by_rows(spark, tmp):
-    import glob
-    msgs = [MSG % (str(i), 1, "1", "2024-03-%02dT%02d:00:00Z" % (1 + i % 3, i % 24)) for i in range(60)]
-    _send(spark, f"{tmp}/topic", msgs)
-    q = ingest_purchases(stream_topic(spark, "purchases", path=f"{tmp}/topic"), f"{tmp}/t", f"{tmp}/d",
-                         f"{tmp}/ck", trigger=NOW, rows_per_file=25)
-    q.awaitTermination()
-    assert read_realtime(spark, f"{tmp}/t").count() == 60
-    files = glob.glob(f"{tmp.replace('file:', '')}/t/batch_id=0/dt=*/*.parquet")
-    assert 3 <= len(files) <= 5  # 3 range parts over 3 days, not one file per task and day
-
-
-def test_ingest_splits_rows_sharing_one_timestamp(spark, tmp):
-    import glob
-    _send(spark, f"{tmp}/topic", [MSG % (str(i), 1, "1", "2024-03-01T10:00:00Z") for i in range(60)])
-    q = ingest_purchases(stream_topic(spark, "purchases", path=f"{tmp}/topic"), f"{tmp}/t", f"{tmp}/d",
-                         f"{tmp}/ck", trigger=NOW, rows_per_file=20)
-    q.awaitTermination()
-    files = glob.glob(f"{tmp.replace('file:', '')}/t/batch_id=0/dt=*/*.parquet")
-    assert read_realtime(spark, f"{tmp}/t").count() == 60 and len(files) == 3  # not one task for the hot time
+    assert re.search(r"PartitionFilters: \[[^\]]*dt#", df._jdf.queryExecution().executedPlan().toString())
