@@ -19,9 +19,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 NODES = ["Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange SinglePartition",
          "Exchange RoundRobinPartitioning", "BroadcastExchange", "SortMergeJoin", "BroadcastHashJoin",
          "ShuffledHashJoin", "HashAggregate", "WindowGroupLimit", "TakeOrderedAndProject", "FileScan",
-         "Scan ExistingRDD"]
+         "ReusedExchange"]
 SHORT = ["hash-x", "range-x", "single-x", "rr-x", "bcast", "SMJ", "BHJ", "SHJ", "agg", "WGL", "TOP", "scan",
-         "ckpt-scan"]
+         "reused"]
 
 
 def summarise(plan: str) -> list[int]:
@@ -30,7 +30,7 @@ def summarise(plan: str) -> list[int]:
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
-    import __spark_entry__ as E
+    from basketry.plans import catalog, catalog_io  # noqa: F401
     from basketry.session import build_session
     spark = build_session("local[8]", shuffle_partitions=16)
     spark.sparkContext.setLogLevel("ERROR")
@@ -40,12 +40,12 @@ def main(argv):
     print("| query | " + " | ".join(SHORT) + " |")
     print("| --- |" + " --- |" * len(SHORT))
     only = [q for q in os.environ.get("PLAN_QUERIES", "").split(",") if q]
-    for name, fn in E.queries().items():
+    for name, fn in catalog.QUERIES.items():
         if only and name not in only:
             continue
         df = fn(spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        df._jdf.queryExecution().toRdd().count()  # runs this very plan, so that it becomes final
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         counts = summarise(plan)
         print(f"| `{name}` | " + " | ".join(str(c) if c else "" for c in counts) + " |", flush=True)
 
