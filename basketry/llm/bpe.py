@@ -32,6 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import blocks
+
 #: Characters of a text that are encoded at once.
 CHUNK_CHARS = 1 << 16
 
@@ -78,34 +80,43 @@ def encode_text(enc, pattern: str, text: str, chunk: int = CHUNK_CHARS) -> bytes
     return b"".join(out)
 
 
-def _keep(df: DataFrame, out: str) -> list[str]:
-    return [c for c in df.columns if c.lower() != out.lower()]
-
-
-def _map_column(df: DataFrame, column: str, out: str, make) -> DataFrame:
-    """``df`` with binary column ``out`` = make()(value of ``column``); made
-    in Arrow batches, other columns pass through."""
-    keep = _keep(df, out)
-    source = F.col(f"`{column}`")
-    slim = df.select(source.alias("__in"), *[F.col(f"`{c}`").alias(f"__k{i}") for i, c in enumerate(keep)])
-    schema = T.StructType([*slim.schema.fields[1:], T.StructField("__out", T.BinaryType())])
+def _map_column(df: DataFrame, column: str, outs: list[str], make) -> DataFrame:
+    """``df`` with binary columns ``outs`` = make()(value of ``column``); made
+    in blocks of Arrow batches, other columns pass through."""
+    replaced = {o.lower() for o in outs}
+    keep = [c for c in df.columns if c.lower() not in replaced]
+    slim = df.select(F.col(f"`{column}`").alias("__in"), *[F.col(f"`{c}`").alias(f"__k{i}") for i, c in enumerate(keep)])
+    names = [f"__out{i}" for i in range(len(outs))]
+    schema = T.StructType([*slim.schema.fields[1:], *[T.StructField(n, T.BinaryType()) for n in names]])
 
     def run(batches):
         f = make()
-        for b in batches:
-            made = pa.array([f(v) for v in b.column(0).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], made], names=[*b.schema.names[1:], "__out"])
+        for b in blocks(batches, "__in"):
+            made = zip(*(f(v) for v in b.column(0).to_pylist()))
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], *(pa.array(m, pa.binary()) for m in made)],
+                                             names=[*b.schema.names[1:], *names])
 
     done = slim.mapInArrow(run, schema)
-    return done.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)], F.col("__out").alias(out))
+    return done.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)],
+                       *[F.col(n).alias(o) for n, o in zip(names, outs)])
 
 
-def encode(df: DataFrame, rank_file: str, pattern: str, text: str = "text", out: str = "token_ids") -> DataFrame:
-    """``df`` with the packed ids of column ``text`` in ``out``."""
+def _decoded(enc, ids: bytes) -> bytes:
+    return enc.decode_bytes(np.frombuffer(ids, "<u4").tolist()) if ids else b""
+
+
+def encode(df: DataFrame, rank_file: str, pattern: str, text: str = "text", out: str = "token_ids",
+           decoded: str | None = None) -> DataFrame:
+    """``df`` with the packed ids of column ``text`` in ``out`` and, if named,
+    the bytes that they decode to in ``decoded`` (in the same pass)."""
     def make():
         enc = encoding(rank_file, pattern)
-        return lambda t: encode_text(enc, pattern, t) if t else b""
-    return _map_column(df, text, out, make)
+
+        def one(t):
+            ids = encode_text(enc, pattern, t) if t else b""
+            return (ids, _decoded(enc, ids)) if decoded else (ids,)
+        return one
+    return _map_column(df, text, [out, decoded] if decoded else [out], make)
 
 
 def decode(df: DataFrame, rank_file: str, pattern: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
@@ -113,8 +124,8 @@ def decode(df: DataFrame, rank_file: str, pattern: str, ids: str = "token_ids",
     need not be valid UTF-8. Null ids decode to no bytes."""
     def make():
         enc = encoding(rank_file, pattern)
-        return lambda b: enc.decode_bytes(np.frombuffer(b, "<u4").tolist()) if b else b""
-    return _map_column(df, ids, out, make)
+        return lambda b: (_decoded(enc, b),)
+    return _map_column(df, ids, [out], make)
 
 
 def n_tokens(ids: str = "token_ids") -> Column:

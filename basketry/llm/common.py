@@ -14,7 +14,7 @@ from ..session import shared_dir
 
 #: A task holds arrays for about this many text bytes at a time (one row at
 #: least; a longer text is a block of its own).
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def scratch(df: DataFrame, name: str) -> DataFrame:

@@ -59,8 +59,7 @@ def op3_bpe(spark, sf_dir):
     """Ids and decoded bytes of every document, as digests."""
     ranks, pattern = rank_file()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.encode(docs, ranks, pattern).drop("text")
-    coded = bpe.decode(coded, ranks, pattern)
+    coded = bpe.encode(docs, ranks, pattern, decoded="decoded")
     return coded.select("doc_id", bpe.n_tokens("token_ids").alias("n_tokens"),
                         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -50,8 +50,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks, pattern = rank_file()
-    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), ranks, pattern).drop("text")
-    coded = bpe.decode(coded, ranks, pattern)
+    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), ranks, pattern, decoded="decoded")
     return coded.select("doc_id", "lang", "source", bpe.n_tokens().alias("n_tokens"), "token_ids",
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 

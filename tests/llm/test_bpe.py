@@ -3,7 +3,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from basketry.llm import bpe
 from basketry.llm.queries import op3_bpe, rank_file
@@ -43,6 +42,13 @@ def test_round_trip_and_edge_rows(docs_of):
         assert bytes(r.decoded) == (r.text or "").encode()
 
 
+def test_both_in_one_pass(docs_of):
+    df = docs_of(ODD)
+    one = bpe.encode(df, RANKS, PATTERN, decoded="decoded")
+    two = bpe.decode(bpe.encode(df, RANKS, PATTERN), RANKS, PATTERN)
+    assert sorted(map(repr, one.select(*two.columns).collect())) == sorted(map(repr, two.collect()))
+
+
 def test_raw_bytes_need_not_be_utf8(spark):
     first = want("é")[0] if len(want("é")) > 1 else want("中")[0]
     df = spark.createDataFrame([(bytearray(np.array([first], "<u4").tobytes()),), (None,)], "token_ids binary")
