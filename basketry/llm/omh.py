@@ -10,7 +10,8 @@ similarity, asks for.
 Symbols are words (runs of characters other than white space), a k-mer is
 ``K`` of them (a text with fewer words has one k-mer, all its words). A first
 hash of (k-mer, number) keeps the ``KEPT`` least elements of the whole text;
-each of ``TUPLES`` orders then picks ``TUPLE`` of those. Elements are numbers
+each of ``TUPLES`` orders (the hash combined with fixed bits by exclusive or)
+then picks the ``TUPLE`` least of those. Elements are numbers
 of 36 hash bits and 28 bits of position, so one primitive sort both selects
 and remembers places; runs of equal k-mers in the sorted array give the
 occurrence numbers. All of it is array functions on the row: a text needs no
@@ -31,11 +32,12 @@ be numbers. Other columns play no part.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-K, KEPT, TUPLES, TUPLE = 3, 64, 64, 2
+K, KEPT, TUPLES, TUPLE = 3, 48, 32, 2
 #: Rows that a bucket of neighbouring ids is meant to have, and how many
 #: buckets there are at most.
 BUCKET_ROWS, BUCKETS = 500, 16_384
@@ -45,10 +47,13 @@ _PLACE = (1 << 28) - 1
 
 def add_signature(df: DataFrame, text: str, out: str, k: int = K, kept: int = KEPT, tuples: int = TUPLES) -> DataFrame:
     """``df`` with array column ``out``: ``tuples`` numbers below 2**16 (none
-    for null text). Work columns begin with ``__``; each is read more than
-    once, so that the optimizer keeps it as a step of its own."""
+    for null text, zeros without words). Work columns begin with ``__``; each
+    is read more than once, or the optimizer would write it into the function
+    that reads it and compute it anew for every element."""
     kmer = ", ".join(f"get(__w, i + {j})" for j in range(k))
-    step = df.withColumn("__w", F.filter(F.split(F.col(text), r"\s+"), lambda w: w != ""))
+    bare = F.trim(F.col(text), F.lit(" \t\n\x0b\x0c\r"))
+    step = df.withColumn("__w", F.when(bare == "", F.array().cast("array<string>")).when(
+        bare.isNotNull(), F.split(bare, r"\s+")))
     step = step.withColumn("__n", F.expr(f"greatest(size(__w) - {k - 1}, least(size(__w), 1))"))
     step = step.withColumn("__s", F.expr(
         f"CASE WHEN __n > 0 THEN sort_array(transform(sequence(0, __n - 1), "
@@ -62,14 +67,22 @@ def add_signature(df: DataFrame, text: str, out: str, k: int = K, kept: int = KE
           THEN transform(__s, s -> (xxhash64(shiftright(s, 28), 0) & ~{_PLACE}L) | (s & {_PLACE}L))
           ELSE flatten(transform(__b, (b, q) -> transform(sequence(b, coalesce(get(__b, q + 1), __n) - 1),
             j -> (xxhash64(shiftright(__s[j], 28), j - b) & ~{_PLACE}L) | (__s[j] & {_PLACE}L)))) END), 1, {kept})"""))
-    picked = (f"transform(sequence(0, {tuples - 1}), t -> slice(sort_array(transform(__e, "
-              f"e -> (xxhash64(shiftright(e, 28), t) & ~{_PLACE}L) | (e & {_PLACE}L))), 1, {TUPLE}))")
+    masks = ", ".join(f"{m}L" for m in _masks(tuples))
+    picked = f"transform(array({masks}), m -> slice(sort_array(transform(__e, e -> e ^ m)), 1, {TUPLE}))"
     in_order = f"array_sort(p, (x, y) -> cast((x & {_PLACE}L) - (y & {_PLACE}L) AS int))"
     step = step.withColumn(out, F.expr(
-        f"transform({picked}, p -> xxhash64(transform({in_order}, x -> shiftright(x, 28))) & 65535L)"))
+        f"if(size(__e) = 0, array_repeat(0L, {tuples}), "
+        f"transform({picked}, p -> xxhash64(transform({in_order}, x -> shiftright(x, 28))) & 65535L))"))
     return step.drop("__w", "__n", "__s", "__b", "__e")
 
 
+def _masks(n: int) -> list[int]:
+    """The orders: fixed random bits that the elements' hash bits are
+    combined with by exclusive or."""
+    bits = np.random.default_rng(5).integers(0, 1 << 36, n, dtype=np.int64)
+    return [int(b) << 28 if b < 1 << 35 else (int(b) - (1 << 36) << 28) for b in bits]
+
+
 def as_text(signature: Column | str) -> Column:
     return F.array_join(F.transform(signature, lambda x: F.lower(F.lpad(F.hex(x), 4, "0"))), "")
 

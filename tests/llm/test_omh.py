@@ -52,9 +52,11 @@ def plain_signature(text, k=omh.K):
         seen[h] = number + 1
         elements.append((spark_hash((h,), number) >> 28, place))
     elements = sorted(elements)[:omh.KEPT]
+    if not elements:
+        return [0] * omh.TUPLES
     out = []
-    for t in range(omh.TUPLES):
-        least = sorted((spark_hash((e,), t) >> 28, place) for e, place in elements)[:omh.TUPLE]
+    for m in omh._masks(omh.TUPLES):
+        least = sorted((e ^ m >> 28, place) for e, place in elements)[:omh.TUPLE]
         out.append(spark_hash(*[(h,) for h, _ in sorted(least, key=lambda x: x[1])]) & 65535)
     return out
 
