@@ -150,20 +150,19 @@ def _tables(readings: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     hosts = seen.groupBy("host").agg(*again).select(
         "host", parent_of(F.col("host")).alias("parent"), suffix_of(F.col("host")).alias("suffix"),
         *[f"s{i}" for i in range(k)])
-    total = hosts.agg(*again).select(_smoothed(
-        F.transform(_vector(k), lambda x: F.coalesce(x, F.lit(0.0))),
-        F.array_repeat(F.lit(1.0 / k), k)).alias("all"))
-    suffixes = hosts.groupBy("suffix").agg(*again).crossJoin(F.broadcast(total)).select(  # total is one row
-        F.col("suffix").alias("x"), _smoothed(_vector(k), F.col("all")).alias("by_suffix"))
+    total = np.array([x or 0.0 for x in hosts.agg(*again).first()])  # a number per class
+    every = F.array(*[F.lit(float(x)) for x in (total + SMOOTH / k) / (total.sum() + SMOOTH)])
+    suffixes = hosts.groupBy("suffix").agg(*again).select(
+        F.col("suffix").alias("x"), _smoothed(_vector(k), every).alias("by_suffix"))
     parents = hosts.groupBy("parent", "suffix").agg(*again).join(suffixes, F.col("suffix") == F.col("x")).select(
         F.col("parent").alias("y"), F.col("suffix").alias("z"),
         _smoothed(_vector(k), F.col("by_suffix")).alias("base"))
     by_host = hosts.join(parents, (F.col("parent") == F.col("y")) & (F.col("suffix") == F.col("z"))).select(
         F.col("host").alias("h"), _vector(k).alias("n"), "base")
     said = seen.where("declared IS NOT NULL").groupBy("declared").agg(*again)
-    whole = said.agg(F.count("*").alias("kinds"), *[F.sum(f"s{i}").alias(f"t{i}") for i in range(k)])
-    said = said.crossJoin(F.broadcast(whole)).select(F.col("declared").alias("d"), F.array(*[  # one row
-        F.log((F.col(f"s{i}") + 1) / (F.col(f"t{i}") + F.col("kinds") + 1)) for i in range(k)]).alias("said"))
+    kinds, *whole = said.agg(F.count("*"), *[F.sum(f"s{i}") for i in range(k)]).first()
+    said = said.select(F.col("declared").alias("d"), F.array(*[
+        F.log((F.col(f"s{i}") + 1) / ((whole[i] or 0.0) + kinds + 1)) for i in range(k)]).alias("said"))
     return scratch(by_host, "lang-hosts"), scratch(said, "lang-said")
 
 
