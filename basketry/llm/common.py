@@ -3,6 +3,7 @@ batches cut to a bounded size, and vectorised byte hashing."""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,22 @@ from ..session import shared_dir
 BLOCK_BYTES = 2 << 20
 
 
+#: Arrow batches between Spark and Python workers, by bytes: the default of
+#: 10,000 rows says nothing about their size where texts are long.
+BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
+
+
+def bounded(fn):
+    """A query or stage (spark, ...) that runs with bounded Arrow batches,
+    unless the application sets their size itself."""
+    @functools.wraps(fn)
+    def run(spark, *args):
+        if not spark.sparkContext.getConf().contains(BATCH_KEY):
+            spark.conf.set(BATCH_KEY, BATCH_BYTES)
+        return fn(spark, *args)
+    return run
+
+
 def scratch(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: the
     lineage ends there, and a lost executor takes nothing with it."""

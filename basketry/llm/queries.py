@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, bpe, langid, linededup, mixing, omh, simhash, suffixindex, toxicity, urlfilter
+from .common import bounded
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__] = bounded(fn)
     return fn
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import bpe, langid, linededup, mixing, simhash
-from basketry.llm.common import scratch
+from basketry.llm.common import bounded, scratch
 from basketry.llm.queries import (LINE_BYTES, LINE_EDITS, SIMHASH_BITS, SIMHASH_SHINGLE, rank_file, table)
 
 
@@ -55,8 +55,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mixing", mix),
-          ("tokens", tokens)]
+STAGES = [(name, bounded(f)) for name, f in (
+    ("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mixing", mix),
+    ("tokens", tokens))]
 
 #: No stage but the last could be said in SQL; tests/llm holds brute-force versions.
 ORACLE_SQL = None
