@@ -105,9 +105,11 @@ def judge(urls: DataFrame, rules: DataFrame, id_col: str, url_col: str = "url",
     u = urls.select(F.col(f"`{id_col}`").alias("id"), host_of(F.col(f"`{url_col}`")).alias("host"),
                     path_of(F.col(f"`{url_col}`")).alias("path"))
     places = u.select("host", "path").distinct()
-    everywhere = F.lit(0).alias("all")
-    scopes = sweep(places.select(everywhere, host_key("host").alias("key")),
-                   rules.select(everywhere, F.col("scope").alias("key")).distinct(), "all", slice_points)
+    # one group of all hosts; taken from the key, as an equality of literals
+    # would be planned as a nested-loop join
+    everywhere = F.substring("key", 1, 0).alias("all")
+    scopes = sweep(places.select(host_key("host").alias("key")).select(everywhere, "key"),
+                   rules.select(F.col("scope").alias("key")).distinct().select(everywhere, "key"), "all", slice_points)
     scopes = scopes.select(F.col("key").alias("hk"), F.explode("open").alias("scope"))
     covered = places.join(scopes, host_key("host") == F.col("hk")).select("host", "path", "scope")
     paths = sweep(covered.select("scope", F.col("path").alias("key")),
