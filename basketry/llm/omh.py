@@ -8,15 +8,15 @@ its k-mers *and their order*, which is what edit distance, unlike Jaccard
 similarity, asks for.
 
 Symbols are words (runs of characters other than white space), a k-mer is
-``K`` of them (a text with fewer words has one k-mer, all its words). A first
-hash of (k-mer, number) keeps the ``KEPT`` least elements of the whole text;
-each of ``TUPLES`` orders (the hash combined with fixed bits by exclusive or)
-then picks the ``TUPLE`` least of those. Elements are numbers
-of 36 hash bits and 28 bits of position, so one primitive sort both selects
-and remembers places; runs of equal k-mers in the sorted array give the
-occurrence numbers. All of it is array functions on the row: a text needs no
-shuffle, and its cost is that of sorting its words. A fingerprint is 16 bits
-of each tuple's hash, as hex; ``likeness`` is the share of equal ones.
+``K`` of them (a text with fewer words has one k-mer, all its words). An
+element is the 64-bit hash of (k-mer, number); each of ``TUPLES`` orders hashes
+every element of the text anew, with the order's number, and picks the two
+least. K-mers are sorted once as 36 bits of hash and 28 bits of position; runs
+of equal ones give the occurrence numbers, and the places that put the picked
+two back in text order. All of it is array functions on the row: a text needs
+no shuffle, and its cost is ``TUPLES`` hashes of each of its words; one order's
+hashes are held at a time. A fingerprint is 16 bits of each tuple's hash, as
+hex; ``likeness`` is the share of equal ones.
 
 ``fingerprint_pairs`` compares each text with an edited one and with that of
 the next row. Rows are dealt to buckets of neighbouring ids, with bounds from
@@ -32,12 +32,11 @@ be numbers. Other columns play no part.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-K, KEPT, TUPLES, TUPLE = 3, 48, 32, 2
+K, TUPLES = 3, 64
 #: Rows that a bucket of neighbouring ids is meant to have, and how many
 #: buckets there are at most.
 BUCKET_ROWS, BUCKETS = 500, 16_384
@@ -45,7 +44,7 @@ BUCKET_ROWS, BUCKETS = 500, 16_384
 _PLACE = (1 << 28) - 1
 
 
-def add_signature(df: DataFrame, text: str, out: str, k: int = K, kept: int = KEPT, tuples: int = TUPLES) -> DataFrame:
+def add_signature(df: DataFrame, text: str, out: str, k: int = K, tuples: int = TUPLES) -> DataFrame:
     """``df`` with array column ``out``: ``tuples`` numbers below 2**16 (none
     for null text, zeros without words). Work columns begin with ``__``; each
     is read more than once, or the optimizer would write it into the function
@@ -62,27 +61,21 @@ def add_signature(df: DataFrame, text: str, out: str, k: int = K, kept: int = KE
         "CASE WHEN __n > 0 THEN filter(sequence(0, __n - 1), j -> j = 0 OR "
         "shiftright(__s[j], 28) != shiftright(get(__s, j - 1), 28)) ELSE cast(array() AS array<int>) END"))
     # where no k-mer repeats, all numbers are 0
-    step = step.withColumn("__e", F.expr(f"""
-        slice(sort_array(CASE WHEN size(__b) = __n
-          THEN transform(__s, s -> (xxhash64(shiftright(s, 28), 0) & ~{_PLACE}L) | (s & {_PLACE}L))
+    step = step.withColumn("__e", F.expr("""
+        CASE WHEN size(__b) = __n THEN transform(__s, s -> xxhash64(shiftright(s, 28), 0))
           ELSE flatten(transform(__b, (b, q) -> transform(sequence(b, coalesce(get(__b, q + 1), __n) - 1),
-            j -> (xxhash64(shiftright(__s[j], 28), j - b) & ~{_PLACE}L) | (__s[j] & {_PLACE}L)))) END), 1, {kept})"""))
-    masks = ", ".join(f"{m}L" for m in _masks(tuples))
-    picked = f"transform(array({masks}), m -> slice(sort_array(transform(__e, e -> e ^ m)), 1, {TUPLE}))"
-    in_order = f"array_sort(p, (x, y) -> cast((x & {_PLACE}L) - (y & {_PLACE}L) AS int))"
+            j -> xxhash64(shiftright(__s[j], 28), j - b)))) END"""))
+    # transform(array(x), y -> ...)[0] names a value, so that it is computed once
+    earlier = f"(__s[array_position(o, x) - 1] & {_PLACE}L) < (__s[array_position(o, y) - 1] & {_PLACE}L)"
+    pair = f"CASE WHEN y IS NULL THEN xxhash64(x) WHEN {earlier} THEN xxhash64(x, y) ELSE xxhash64(y, x) END"
+    second = f"transform(array(array_min(array_remove(o, x))), y -> {pair} & 65535L)[0]"
+    first = f"transform(array(array_min(o)), x -> {second})[0]"
+    order = f"transform(array(transform(__e, e -> xxhash64(e, t))), o -> {first})[0]"
     step = step.withColumn(out, F.expr(
-        f"if(size(__e) = 0, array_repeat(0L, {tuples}), "
-        f"transform({picked}, p -> xxhash64(transform({in_order}, x -> shiftright(x, 28))) & 65535L))"))
+        f"if(size(__e) = 0, array_repeat(0L, {tuples}), transform(sequence(0, {tuples - 1}), t -> {order}))"))
     return step.drop("__w", "__n", "__s", "__b", "__e")
 
 
-def _masks(n: int) -> list[int]:
-    """The orders: fixed random bits that the elements' hash bits are
-    combined with by exclusive or."""
-    bits = np.random.default_rng(5).integers(0, 1 << 36, n, dtype=np.int64)
-    return [int(b) << 28 if b < 1 << 35 else (int(b) - (1 << 36) << 28) for b in bits]
-
-
 def as_text(signature: Column | str) -> Column:
     return F.array_join(F.transform(signature, lambda x: F.lower(F.lpad(F.hex(x), 4, "0"))), "")
 
