@@ -1,11 +1,13 @@
 """Line de-duplication by a segment-partition edit join.
 
 Lines are the parts of a text between line feeds, compared as UTF-8 bytes.
-Lines under ``min_bytes`` (headings, list marks, blank lines) always stay. A
-longer line goes if the same line occurs earlier, or if its first occurrence
-follows that of a line within ``threshold`` byte edits; earlier means by id
-(nulls last), then by row, then by line number. Decisions are taken on the
-input, not on what is left.
+A line of ``copy_bytes`` or more that isn't blank (only white space) goes if the
+same line occurs earlier. A line of ``min_bytes`` or more, blank or not, also
+goes if its first occurrence follows that of a line within ``threshold`` byte
+edits. Other lines always stay: blank ones under ``min_bytes``, and ones under
+``copy_bytes`` (the same as ``min_bytes`` unless given). Earlier means by id (nulls
+last), then by row, then by line number. Decisions are taken on the input, not
+on what is left.
 
 Segment partition (Li et al. 2011, "Pass-Join"): a line is cut into
 ``threshold`` + 1 even segments. Two lines within the threshold share one: a
@@ -47,6 +49,7 @@ MIN_BYTES = 40
 UNIT = 2048
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_BLANK = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 
 
 def lines_of(data: np.ndarray, off: np.ndarray):
@@ -323,15 +326,17 @@ def _tallied(tally: dict) -> pa.RecordBatch:
          pa.array([bool(v[1]) for v in tally.values()])], names=["lid", "links", "earlier"])
 
 
-def _places_of_lines(docs: DataFrame, min_bytes: int) -> DataFrame:
-    """(lid, ka, kb, id, number) of every line of ``min_bytes`` or more."""
+def _places_of_lines(docs: DataFrame, min_bytes: int, copy_bytes: int) -> DataFrame:
+    """(lid, ka, kb, id, number) of every line of ``min_bytes`` or more, and of
+    those of ``copy_bytes`` or more that aren't blank."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches):
         for b in blocks(batches, "text", 2 << 20):
             data, off = text_buffer(b.column(3))
             text, number, start, end = lines_of(data, off)
-            keep = end - start >= min_bytes
+            ink = np.concatenate(([0], np.cumsum(~_BLANK[data])))
+            keep = (end - start >= min_bytes) | (end - start >= copy_bytes) & (ink[end] > ink[start])
             if keep.any():
                 take = pa.array(text[keep])
                 lid = RollingHash(data).at(start[keep], end[keep]) | np.uint64(1)
@@ -344,7 +349,7 @@ def _places_of_lines(docs: DataFrame, min_bytes: int) -> DataFrame:
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD,
-                min_bytes: int = MIN_BYTES, unit: int = UNIT) -> DataFrame:
+                min_bytes: int = MIN_BYTES, unit: int = UNIT, copy_bytes: int | None = None) -> DataFrame:
     """``df`` with the repeated lines of column ``text_col`` taken out, and a
     struct ``lines_found`` of n_lines, n_removed and n_links (links of the
     text's lines to different lines)."""
@@ -355,7 +360,8 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     row = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(rest)])
     docs = df.select(F.xxhash64(i, t).alias("ka"), F.xxhash64(F.lit(1), t, i).alias("kb"), i.alias("id"),
                      t.alias("text"), row.alias("row"))
-    places = scratch(_places_of_lines(docs, min_bytes), "lines")
+    copy_bytes = min_bytes if copy_bytes is None else copy_bytes
+    places = scratch(_places_of_lines(docs, min_bytes, copy_bytes), "lines")
     place = F.struct(F.isnull("id").alias("none"), "id", "ka", "kb", "number")
     firsts = scratch(places.groupBy("lid").agg(F.min(place).alias("first"), F.count("*").alias("n")), "line-firsts")
     near = edit_links(docs, firsts.select("lid", "first"), threshold, min_bytes, unit)

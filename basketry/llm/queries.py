@@ -144,14 +144,15 @@ def op8_learned_partitions(spark, sf_dir):
 
 
 # ----------------------------------------------------- 9 line de-duplication
-LINE_EDITS, LINE_BYTES = 2, 40
+#: Exact copies count from one byte on, edits in lines of LINE_BYTES or more.
+LINE_EDITS, LINE_BYTES, LINE_COPY_BYTES = 2, 40, 1
 
 
 @query
 def op9_line_dedup(spark, sf_dir):
     """Every document without its repeated lines."""
     docs = table(spark, sf_dir, "documents")
-    found = linededup.dedup_lines(docs, threshold=LINE_EDITS, min_bytes=LINE_BYTES)
+    found = linededup.dedup_lines(docs, threshold=LINE_EDITS, min_bytes=LINE_BYTES, copy_bytes=LINE_COPY_BYTES)
     return found.select("doc_id", "lines_found.*", F.sha2("text", 256).alias("kept_sha256"), "text")
 
 

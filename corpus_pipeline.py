@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm import bpe, langid, linededup, mixing, simhash
 from basketry.llm.common import bounded, scratch
-from basketry.llm.queries import (LINE_BYTES, LINE_EDITS, SIMHASH_BITS, SIMHASH_SHINGLE, rank_file, table)
+from basketry.llm.queries import (LINE_BYTES, LINE_COPY_BYTES, LINE_EDITS, SIMHASH_BITS, SIMHASH_SHINGLE, rank_file, table)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +31,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = linededup.dedup_lines(docs, threshold=LINE_EDITS, min_bytes=LINE_BYTES)
+    found = linededup.dedup_lines(docs, threshold=LINE_EDITS, min_bytes=LINE_BYTES, copy_bytes=LINE_COPY_BYTES)
     return found.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
