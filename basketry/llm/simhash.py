@@ -28,6 +28,7 @@ empty table gives an empty result. Other columns of the input play no part.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -177,7 +178,8 @@ def _groups(batches, limit: int):
             block = 0
         if cut and block:
             end = int(np.searchsorted(k, k[0], side="right"))
-            yield k[:end], v[:end], block
+            for a in range(0, end, limit):
+                yield k[a:min(a + limit, end)], v[a:min(a + limit, end)], block + a // limit
             k, up, v, cut, block = k[end:], up[end:], v[end:], cut - end, 0
         if cut:
             keep = _met(k[:cut], up[:cut])
@@ -253,7 +255,7 @@ def near_links(fps: DataFrame, bits: int = 3, cell: int = CELL) -> DataFrame:
         F.lit(False).alias("up"), "fp")
 
     def in_units(batches):
-        for key, rows, _ in _groups(batches, 2 * cell):
+        for key, rows, _ in _groups(batches, sys.maxsize):  # two blocks, never cut
             left, right = _forests(key, rows, bits)
             yield _three(left.view(np.int64), right.view(np.int64), np.full(len(left), -1))
 
