@@ -13,8 +13,10 @@ The posterior of a language is the product of
   (each with a weight of ``SMOOTH`` texts). A text's own reading is left out
   of its host's.
 
-The text models come from a sample of at most about ``MAX_LABELLED`` labelled
-texts (least hash of the id); declarations and hosts are grouped aggregations
+The languages are those of all labelled texts (the ``MAX_LANGUAGES`` with most
+texts, if there are more). Each one's model comes from about
+``MAX_LABELLED`` of its texts at most (least hashes of the id, one at least), so
+a language has a model however rare it is; declarations and hosts are grouped aggregations
 over everything that is identified. Texts are never shuffled by
 key unless the host table outgrows a broadcast, and then a frequent host can
 be split, as a host has one row on the other side.
@@ -38,7 +40,9 @@ from . import textmodel
 from .common import blocks, scratch
 from .urlfilter import host_of
 
-MAX_LABELLED = 4_000
+#: Texts that a language's model is made of, and languages, at most.
+MAX_LABELLED, MAX_LANGUAGES = 1_000, 200
+_HASHES = 1 << 30
 EVIDENCE = 60
 SMOOTH = 20.0
 #: How much less likely, per 3-gram, than the worst hundredth of the labelled
@@ -59,26 +63,21 @@ class Model:
         return [*self.text.classes, UND]
 
 
-def sample(df: DataFrame, id_col: str, most: int) -> DataFrame:
-    """About ``most`` rows at most, the same ones every time."""
-    n = df.count()
-    share = min(1.0, most / max(n, 1))
-    return df if share == 1 else df.where(
-        F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(1 << 30)) < int(share * (1 << 30)))
-
-
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         most: int = MAX_LABELLED) -> Model:
-    """Text models of the languages in ``lang_col``."""
-    known = sample(df.where(F.col(f"`{lang_col}`").isNotNull()).select(
-        F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang")),
-        "id", most)
-    classes = sorted(r.lang for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(
-        F.desc("n"), "lang").limit(200).collect())
+    """Text models of the languages in ``lang_col``, of about ``most`` texts each."""
+    known = df.where(F.col(f"`{lang_col}`").isNotNull()).select(
+        F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(_HASHES)).alias("hash"), F.col(f"`{text_col}`").alias("text"),
+        F.col(f"`{lang_col}`").alias("lang"))
+    found = sorted(known.groupBy("lang").agg(F.count("*").alias("n"), F.min("hash").alias("least")).orderBy(
+        F.desc("n"), "lang").limit(MAX_LANGUAGES).collect(), key=lambda r: r.lang)
+    classes = [r.lang for r in found]
     if not classes:
         return Model(textmodel.TextModel(textmodel.GRAMS, [], np.zeros((0, textmodel.BINS), np.float32)), 0.0)
     index = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("lang")).cast("int") - 1
-    texts = known.select("text", index.alias("class")).where("class >= 0")
+    upto = F.array(*[F.lit(max(r.least, int(min(1.0, most / r.n) * _HASHES))) for r in found])
+    texts = known.withColumn("class", index).where(F.col("class") >= 0).where(
+        F.col("hash") <= F.element_at(upto, F.col("class") + 1)).select("text", "class")
     model = textmodel.fit(texts, classes, textmodel.GRAMS)
 
     def means(batches):
