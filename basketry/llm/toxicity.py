@@ -150,9 +150,8 @@ class Matcher:
         import ahocorasick
         self.model = model
         self.find = ahocorasick.Automaton()
-        for kind, entries in (("stem", model.stems), ("word", model.words), ("threat", model.threats)):
-            for e in entries:
-                self.find.add_word(e, (len(e), kind != "stem"))
+        for e in {*model.stems, *model.words, *model.threats}:
+            self.find.add_word(e, (len(e), e not in model.stems))  # a stem, even if it is a word too
         if len(self.find):
             self.find.make_automaton()
         self.sizes = sorted({len(s) for s in model.stems})
