@@ -15,7 +15,7 @@ block, ``length`` bytes or more. A suffix is ordered by the hash of its first
 matches from others needs.
 
 Logarithmic family. ``Index.add`` sorts a batch of texts into an array of
-(gram, block, places), range partitioned and written to the shared folder,
+(gram, block, places), hash partitioned and written to the shared folder,
 and merges it with the existing arrays of its own size and below: levels
 double, so a suffix is rewritten a logarithmic number of times. ``Index.scan``
 merges the remaining levels and finds in that one sorted order the grams that
