@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, langid, linededup, mixing, omh, simhash, suffixindex, toxicity, urlfilter
+from . import ann, bpe, langid, linededup, mixing, omh, simhash, suffixindex, toxicity, urlfilter, whitening
 from .common import bounded
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,14 @@ def op10_language_id(spark, sf_dir):
     none = F.lit(None).cast("long")
     return langid.identify_documents(docs, model).select("doc_id", none.alias("page_id"), "language.*").union(
         langid.identify_pages(pages, model).select(none, "page_id", "language.*"))
+
+
+# ---------------------------------------------------------- 11 whitening
+COMPONENTS, WHITEN_SCALE, WHITEN_OFFSET = 32, 64, 1_000_000
+
+
+@query
+def op11_whitening(spark, sf_dir):
+    """Every vector along every component, with the component's share."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), COMPONENTS, scale=WHITEN_SCALE, offset=WHITEN_OFFSET)
+    return found.withColumnRenamed("id", "vec_id")
