@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, langid, linededup, mixing, omh, simhash, suffixindex, toxicity, urlfilter, whitening
+from . import ann, bpe, dualtree, langid, linededup, mixing, omh, simhash, suffixindex, toxicity, urlfilter, whitening
 from .common import bounded
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,3 +177,36 @@ def op11_whitening(spark, sf_dir):
     """Every vector along every component, with the component's share."""
     found = whitening.whiten(table(spark, sf_dir, "embeddings"), COMPONENTS, scale=WHITEN_SCALE, offset=WHITEN_OFFSET)
     return found.withColumnRenamed("id", "vec_id")
+
+
+# ------------------------------------------------- 13 ranked lexical search
+@query
+def op13_dual_tree(spark, sf_dir):
+    """The ten best documents of every benchmark item."""
+    found = dualtree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=NEAREST)
+    return found.withColumnRenamed("id", "doc_id")
+
+
+_TERMS = (r"regexp_extract_all(translate(text, '%s', '%s'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')") % (urlfilter._UPPER, urlfilter._LOWER)
+SQL["op13_dual_tree"] = f"""
+WITH wanted AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents),
+held AS (SELECT r, doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM docs WHERE len(terms) > 0),
+total AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM held),
+each_term AS (SELECT r, unnest(terms) AS term FROM held),
+counted AS (SELECT r, term, count(*) AS tf FROM each_term WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0 * n_docs + 2)::DOUBLE / (2.0 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM counted, total GROUP BY term, n_docs),
+scored AS (
+  SELECT item_id, r, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * n_docs) // n_terms))))) AS BIGINT)
+           AS score
+  FROM counted JOIN weights USING (term) JOIN wanted USING (term) JOIN held USING (r), total
+  GROUP BY item_id, r, doc_id),
+ranked AS (
+  SELECT item_id, doc_id, score,
+         CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS "rank"
+  FROM scored WHERE score > 0)
+SELECT item_id, "rank", doc_id, score FROM ranked WHERE "rank" <= {NEAREST}"""
