@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, dualtree, langid, linededup, mixing, omh, simhash, suffixindex, toxicity, urlfilter, whitening
+from . import ann, bpe, dualtree, langid, linededup, mixing, omh, secretscan, simhash, suffixindex, toxicity, urlfilter, whitening
 from .common import bounded
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,6 +179,25 @@ def op11_whitening(spark, sf_dir):
     return found.withColumnRenamed("id", "vec_id")
 
 
+# --------------------------------------------------------- 12 secret scans
+def spans_text(kinds: tuple[str, ...]):
+    """kind:start:end of the findings of these kinds, comma-joined."""
+    mine = F.filter("findings", lambda f: f["kind"].isin(*kinds))
+    return F.array_join(F.transform(mine, lambda f: F.concat_ws(
+        ":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))), ",")
+
+
+@query
+def op12_secret_scan(spark, sf_dir):
+    """Secrets of every document: base findings, and the network's."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secretscan.find(docs, secretscan.fit(docs))
+    base = secretscan.KINDS[:3]
+    counts = [F.size(F.filter("findings", lambda f, k=k: f["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(spans_text(base), 256).alias("base_sha256"),
+                        spans_text(secretscan.KINDS).alias("spans"))
+
+
 # ------------------------------------------------- 13 ranked lexical search
 @query
 def op13_dual_tree(spark, sf_dir):
