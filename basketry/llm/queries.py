@@ -180,10 +180,13 @@ def op11_whitening(spark, sf_dir):
 
 
 # --------------------------------------------------------- 12 secret scans
+def of_kinds(*kinds: str):
+    return F.filter("findings", lambda f: f["kind"].isin(*kinds))
+
+
 def spans_text(kinds: tuple[str, ...]):
     """kind:start:end of the findings of these kinds, comma-joined."""
-    mine = F.filter("findings", lambda f: f["kind"].isin(*kinds))
-    return F.array_join(F.transform(mine, lambda f: F.concat_ws(
+    return F.array_join(F.transform(of_kinds(*kinds), lambda f: F.concat_ws(
         ":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))), ",")
 
 
@@ -193,7 +196,7 @@ def op12_secret_scan(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secretscan.find(docs, secretscan.fit(docs))
     base = secretscan.KINDS[:3]
-    counts = [F.size(F.filter("findings", lambda f, k=k: f["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
+    counts = [F.size(of_kinds(k)).cast("long").alias(f"n_{k}") for k in base]
     return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(spans_text(base), 256).alias("base_sha256"),
                         spans_text(secretscan.KINDS).alias("spans"))
 
