@@ -16,6 +16,7 @@ from ..operators.decode import decode_purchases
 from ..session import shared_dir
 from ..sinks.reports import write_report
 from ..sinks.stage import write_stage
+from ..sources.finished import delete
 from ..sources.files import read_latest_report, read_products, read_table_or_files, stage
 from ..schemas import STAGE
 from ..sources.topics import read_topic, stream_topic
@@ -190,9 +191,10 @@ def _report_round_trip(spark, name, df):
     """Two finished stamps (the newer in several part files) and a newest one
     whose job didn't finish; read back the latest finished."""
     base = shared_dir(spark, "reports")
-    write_report(df.limit(1), base, name, dt.datetime(2024, 1, 1, 8, 0, 0))
+    decoy = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema])
+    write_report(decoy, base, name, dt.datetime(2024, 1, 1, 8, 0, 0))
     write_report(df.repartition(3), base, name, dt.datetime(2024, 1, 2, 8, 0, 0))
-    (df.limit(1).write.option("header", True).option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    (decoy.write.option("header", True).option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
      .csv(f"{base}/{name}_20240103_080000.csv"))
     return read_latest_report(spark, base, name)
 
@@ -280,6 +282,73 @@ def q_realtime_catalog_table(spark, d):
     return ingest.ensure_realtime(spark, name, table).select(*ingest.RT_COLUMNS)
 
 
+@query("ingest_fresh_checkpoint")
+def q_ingest_fresh_checkpoint(spark, d):
+    """Half of the events; then the checkpoint is lost, and a stream at the
+    same path, whose batches count from 0 again, takes the other half."""
+    base = shared_dir(spark, "fresh-checkpoint")
+    for i, only in enumerate(("quantity <= 2", "quantity > 2")):
+        _publish_purchase_events(spark, d, f"{base}/topic{i}", only=only, with_defects=False)
+        _ingest(spark, f"{base}/topic{i}", f"{base}/landing", f"{base}/checkpoint")
+        delete(spark, f"{base}/checkpoint")
+    return ingest.read_realtime(spark, f"{base}/landing")
+
+
+@query("publish_late_after_expiry")
+def q_publish_late_after_expiry(spark, d):
+    """Most events land and are published; their landing expires; late events
+    of the same days land and are published."""
+    base = shared_dir(spark, "late")
+    landing, table = f"{base}/landing", f"{base}/table"
+    for i, only in enumerate(("quantity < 5", "quantity = 5")):
+        _publish_purchase_events(spark, d, f"{base}/topic{i}", only=only, with_defects=False)
+        _ingest(spark, f"{base}/topic{i}", landing, f"{base}/checkpoint{i}")
+        ingest.publish_days(spark, landing, table)
+        delete(spark, landing)
+    return ingest.read_published(spark, table)
+
+
+def _publish_lines(spark, d, name):
+    """Two lines of every purchase, first those of small purchases, which are
+    published, then all (so the first ones twice). Returns (landing, table)."""
+    base = shared_dir(spark, name)
+    landing, table = f"{base}/landing", f"{base}/table"
+    rt = fx.purchases_rt(spark, d)
+    lines = rt.union(rt.withColumn("product_id", F.concat("product_id", F.lit("-extra"))))
+    for i, some in enumerate((lines.where("quantity <= 2"), lines)):
+        publish(fx.purchase_messages(some), TOPIC, f"{base}/topic", "purchase_id")
+        _ingest(spark, f"{base}/topic", landing, f"{base}/checkpoint")
+        if i == 0:
+            ingest.publish_days(spark, landing, table)
+    return landing, table
+
+
+@query("purchase_lines_published")
+def q_purchase_lines_published(spark, d):
+    """All lines after a second publish, by catalog name."""
+    landing, table = _publish_lines(spark, d, "lines")
+    name = "purchase_lines_" + table.rsplit("-", 1)[1].split("/")[0]
+    ingest.ensure_realtime(spark, name, table)
+    ingest.publish_days(spark, landing, table, name=name)
+    return spark.table(name).select(*ingest.RT_COLUMNS)
+
+
+@query("purchase_lines_once")
+def q_purchase_lines_once(spark, d):
+    """All lines, once each, from the published days and what has landed since."""
+    landing, table = _publish_lines(spark, d, "lines-once")
+    return ingest.read_realtime(spark, landing, once=True, table=table)
+
+
+for _name in ("purchase_lines_published", "purchase_lines_once"):
+    oracle(_name, "purchases_rt", f"""{_RT}
+UNION ALL SELECT purchase_id, client_id, product_id || '-extra', quantity, price, ts FROM purchases_rt""")
+
+
+for _name in ("ingest_fresh_checkpoint", "publish_late_after_expiry"):
+    oracle(_name, "purchases_rt", _RT)
+
+
 for _name in ("ingest_purchases_stream", "ingest_two_streams", "daily_publish", "realtime_catalog_table"):
     oracle(_name, "purchases_rt", _RT)
 

@@ -20,6 +20,34 @@ def finished(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(st.getPath().getParent().toString() for st in (fs.globStatus(p) or []))
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, in name order (one listing)."""
+    fs, p = _path(spark, pattern)
+    return sorted(st.getPath().toString() for st in (fs.globStatus(p) or []))
+
+
+def write_lines(spark: SparkSession, path: str, lines: list[str]) -> None:
+    """A small text file, replaced if it exists."""
+    fs, p = _path(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray("".join(f"{x}\n" for x in lines).encode()))
+    finally:
+        out.close()
+
+
+def read_lines(spark: SparkSession, path: str) -> list[str]:
+    """The lines of a small text file; none if it doesn't exist."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return []
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode().splitlines()
+    finally:
+        stream.close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _path(spark, path)
     fs.delete(p, True)

@@ -1,12 +1,26 @@
-"""One row per key (X5): repairs duplicate delivery (two consumers, resent
+"""One row per line (X5): repairs duplicate delivery (two consumers, resent
 events) where rows are read or published, not in the stream. The stream keeps
-every valid row, however late, so no watermark decides what is lost."""
+every valid row, however late, so no watermark decides what is lost.
+
+A purchase may have several lines (one message each), so rows are told apart by
+``purchase_id`` and ``line_id``, a hash of all other fields that the landing and
+the published table carry. Copies of a message have the same; two lines of a
+purchase differ in product, quantity, price or time. Messages have no line
+number, so equal lines of one purchase can't be told from copies.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+LINE = ["purchase_id", "line_id"]
+
+
+def line_id(ts: str = "ts") -> Column:
+    """What tells the lines of a purchase apart."""
+    return F.xxhash64("client_id", "product_id", "quantity", "price", ts)
+
 
 def unique(df: DataFrame, key: str | list[str] = "purchase_id") -> DataFrame:
     """One row per key, the greatest by the other columns in order, so every

@@ -6,8 +6,9 @@ messages that are no JSON object, lack the key or have a bad price land as
 dead letters with a reason. Messages carry no event time, so recency is the
 topic order (broker time, partition, offset). ``read_upserted`` takes the
 newest row per key of the refreshed table and the log; ``refresh`` writes that
-as the table's next load (K1) and drops the log it has taken in. A change that
-is read twice, or replayed, changes nothing: the newest is the newest.
+as the table's next load (K1) and drops the log that the refresh before it took
+in, so a reader planned before a refresh still finds all its files. A change
+that is read twice, or replayed, changes nothing: the newest is the newest.
 """
 
 from __future__ import annotations
@@ -21,8 +22,7 @@ from ..functions import lenient_double
 from ..operators.decode import BAD_PRICE, MISSING_FIELD, NOT_JSON
 from ..schemas import PRODUCT_RT, SELLER_RT
 from ..sinks.stage import loads, write_stage
-from ..sources.finished import delete
-from .landing import DEAD, batches, land, landed, stream_id
+from .landing import DEAD, QueryId, land, landed, pending, take
 
 RECENCY = ("_ts", "_partition", "_offset")
 ENTITIES = {
@@ -71,15 +71,17 @@ def decode_records(records: DataFrame, schema: T.StructType, key: str) -> DataFr
 def upsert(stream: DataFrame, entity: str, log: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Start the upsert stream of ``entity`` ("products" or "sellers")."""
     key, schema = ENTITIES[entity]
-    source = stream_id(checkpoint)
+    source = QueryId()
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        land(batch.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value"))), log, source, batch_id,
-             sort=(key,))
+        land(batch.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value"))), log, source.get(),
+             batch_id, sort=(key,))
 
-    return (decode_records(stream, schema, key).writeStream.foreachBatch(write_batch)
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "1 second"})).start())
+    query = (decode_records(stream, schema, key).writeStream.foreachBatch(write_batch)
+             .option("checkpointLocation", checkpoint)
+             .trigger(**(trigger or {"processingTime": "1 second"})).start())
+    source.set(query)
+    return query
 
 
 def _current(spark: SparkSession, log: str, entity: str, table: str | None, dirs: list[str]) -> DataFrame:
@@ -95,7 +97,7 @@ def _current(spark: SparkSession, log: str, entity: str, table: str | None, dirs
 def read_upserted(spark: SparkSession, log: str, entity: str, table: str | None = None) -> DataFrame:
     """Current rows: the newest per key of the refreshed table, if any, and
     the log (payload columns only)."""
-    return _current(spark, log, entity, table, batches(spark, log)).select(*ENTITIES[entity][1].names)
+    return _current(spark, log, entity, table, pending(spark, log)).select(*ENTITIES[entity][1].names)
 
 
 def read_upsert_dead_letters(spark: SparkSession, log: str, entity: str) -> DataFrame:
@@ -104,11 +106,11 @@ def read_upsert_dead_letters(spark: SparkSession, log: str, entity: str) -> Data
 
 
 def refresh(spark: SparkSession, log: str, entity: str, table: str, drop_log: bool = True) -> str:
-    """Write the current rows as the table's next load, then drop the log
-    batches that are in it, but for those with dead letters; returns the load.
-    Run it from a scheduler, one at a time per table."""
-    taken = batches(spark, log)
+    """Write the current rows as the table's next load and name the log
+    batches that are in it as taken, which drops those of the refresh before;
+    returns the load. Run it from a scheduler, one at a time per table."""
+    taken = pending(spark, log)
     load = write_stage(_current(spark, log, entity, table, taken), table)
-    for d in taken if drop_log else ():
-        delete(spark, f"{d}/kind=valid")
+    if drop_log:
+        take(spark, log, taken)
     return load

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from basketry.operators.decode import split_valid, valid_rows
 from basketry.plans.topic_files import publish
 from basketry.sources.topics import stream_topic
-from basketry.streaming.ingest import (changed_days, ingest_purchases, publish_days, read_dead_letters, read_published,
-                                       read_realtime)
+from basketry.sources.finished import delete, matching
+from basketry.streaming.ingest import (changed_days, ensure_realtime, ingest_purchases, pending_days, publish_days,
+                                       read_dead_letters, read_published, read_realtime)
 from basketry.streaming.upsert import read_upsert_dead_letters, read_upserted, refresh, upsert
 from basketry.streaming.windows import start_windowed_revenue, windowed_revenue
 
@@ -76,6 +77,100 @@ def test_days_are_published_once_per_purchase_and_late_rows_arrive(spark, tmp):
     assert _ids(day) == ["b"]
 
 
+def test_fresh_checkpoint_at_the_same_path_keeps_landed_rows(spark, tmp):
+    at = "2024-03-01T10:00:00Z"
+    _send(spark, f"{tmp}/topic", [MSG % (x, 1, "1", at) for x in "abcd"] + ["garbage"])
+    _ingest(spark, tmp)
+    delete(spark, f"{tmp}/r/ck")
+    _send(spark, f"{tmp}/other", [MSG % ("e", 1, "1", at)])
+    assert _ids(_ingest(spark, tmp, topic="other")) == list("abcde")  # batch 0 again, another query
+    _send(spark, f"{tmp}/other", [MSG % ("f", 1, "1", at)])
+    assert _ids(_ingest(spark, tmp, topic="other")) == list("abcdef")  # a restart of it
+    assert read_dead_letters(spark, f"{tmp}/landing").count() == 1
+    assert len(matching(spark, f"{tmp}/landing/stream=*")) == 2
+
+
+def test_late_rows_join_published_days_after_the_landing_expired(spark, tmp):
+    landing, table = f"{tmp}/landing", f"{tmp}/table"
+    _send(spark, f"{tmp}/topic", [MSG % (x, 1, "1", "2024-03-01T10:00:00Z") for x in ("p1", "p2", "p3")])
+    _ingest(spark, tmp)
+    publish_days(spark, landing, table)
+    delete(spark, landing)
+    _send(spark, f"{tmp}/late", [MSG % ("p5", 1, "1", "2024-03-01T09:00:00Z"), MSG % ("q", 1, "1", "2024-03-02T09:00:00Z")])
+    _ingest(spark, tmp, run="late", topic="late")
+    assert _ids(read_realtime(spark, landing, table=table)) == ["p1", "p2", "p3", "p5", "q"]
+    assert pending_days(spark, landing) == [dt.date(2024, 3, 1), dt.date(2024, 3, 2)]
+    assert publish_days(spark, landing, table, [dt.date(2024, 3, 1)]) == [dt.date(2024, 3, 1)]
+    assert _ids(read_published(spark, table)) == ["p1", "p2", "p3", "p5"]
+    assert pending_days(spark, landing) == [dt.date(2024, 3, 2)]  # the other day stays
+    assert _ids(read_realtime(spark, landing, table=table)) == ["p1", "p2", "p3", "p5", "q"]
+    assert publish_days(spark, landing, table) == [dt.date(2024, 3, 2)]
+    assert publish_days(spark, landing, table) == []  # nothing new: no day is written again
+    assert _ids(read_published(spark, table)) == ["p1", "p2", "p3", "p5", "q"]
+
+
+def test_lines_of_a_purchase_stay_and_copies_go(spark, tmp):
+    at = "2024-03-01T10:00:00Z"
+    line = '{"purchase_id":"%s","client_id":"c","product_id":"%s","quantity":1,"price":2,"timestamp":"' + at + '"}'
+    messages = [line % ("a", "p1"), line % ("a", "p2"), line % ("b", "p1"), line % ("c", "p1")]
+    _send(spark, f"{tmp}/topic", messages + messages[:2])
+    _ingest(spark, tmp)
+    _send(spark, f"{tmp}/topic", messages[1:] + [line % ("a", "p3")])
+    landing, table = f"{tmp}/landing", f"{tmp}/table"
+    want = [("a", "p1"), ("a", "p2"), ("a", "p3"), ("b", "p1"), ("c", "p1")]
+
+    def lines(df):
+        return sorted((r.purchase_id, r.product_id) for r in df.collect())
+    publish_days(spark, landing, table)
+    _ingest(spark, tmp)
+    assert lines(read_realtime(spark, landing, once=True, table=table)) == want
+    ensure_realtime(spark, "t_lines", table)
+    publish_days(spark, landing, table, name="t_lines")
+    assert lines(read_published(spark, table)) == lines(spark.table("t_lines")) == want
+    assert lines(read_realtime(spark, landing, once=True, table=table)) == want
+    ids = read_published(spark, table, with_line=True)
+    assert ids.select("purchase_id", "line_id").distinct().count() == 5
+    spark.sql("DROP TABLE t_lines")
+
+
+def test_same_id_on_two_days_is_two_rows_for_every_reader(spark, tmp):
+    _send(spark, f"{tmp}/topic", [MSG % ("a", 1, "1", f"2024-03-0{d}T10:00:00Z") for d in (1, 2, 1)])
+    _ingest(spark, tmp)
+    publish_days(spark, f"{tmp}/landing", f"{tmp}/table")
+    assert _ids(read_published(spark, f"{tmp}/table")) == ["a", "a"]
+    assert _ids(read_realtime(spark, f"{tmp}/landing", once=True)) == ["a", "a"]
+
+
+def test_publishing_drops_taken_batches_one_publish_later(spark, tmp):
+    landing, table = f"{tmp}/landing", f"{tmp}/table"
+    readers, seen = [], []
+    for k in range(4):
+        _send(spark, f"{tmp}/topic", [MSG % (f"x{k}", 1, "1", "2024-03-01T10:00:00Z")] + (["garbage"] if k == 0 else []))
+        _ingest(spark, tmp)
+        seen.append(f"x{k}")
+        readers.append((read_realtime(spark, landing, table=table), list(seen)))
+        publish_days(spark, landing, table)
+        for df, want in readers[-1:]:  # planned before this publish
+            assert _ids(df) == want
+    assert len(matching(spark, f"{landing}/stream=*/batch_id=*/kind=valid/dt=*")) == 1  # only what the last publish took
+    assert len(matching(spark, f"{landing}/stream=*/batch_id=*")) == 2  # and the batch with a dead letter
+    assert len(matching(spark, f"{table}/load=*")) == 2
+    assert read_dead_letters(spark, landing).count() == 1
+    assert _ids(read_published(spark, table)) == seen
+
+
+def test_reader_planned_before_a_refresh_returns_all_rows(spark, tmp):
+    topic, log, table = f"{tmp}/topic", f"{tmp}/log", f"{tmp}/table"
+    for k in range(3):
+        _send(spark, topic, [_product(f"p{k}", "n", k), _product("p0", f"v{k}", k)], at=f"2024-03-0{k + 1} 00:00:00")
+        upsert(stream_topic(spark, "products", path=topic), "products", log, f"{tmp}/ck", trigger=NOW).awaitTermination()
+        before = read_upserted(spark, log, "products", table)
+        refresh(spark, log, "products", table)
+        for df in (before, read_upserted(spark, log, "products", table)):
+            assert {r.product_id: r.name for r in df.collect()} == {"p0": f"v{k}", **{f"p{i}": "n" for i in range(1, k + 1)}}
+    assert len(matching(spark, f"{log}/stream=*/batch_id=*")) == 1
+
+
 def test_topic_is_scanned_once_per_batch(spark, tmp):
     _send(spark, f"{tmp}/topic", [MSG % ("a", 1, "1", "2024-03-01T10:00:00Z"), "garbage"])
     tagged = split_valid(spark.read.parquet(f"{tmp}/topic"), ts_name="ts", keep=("key", "partition", "offset"))
