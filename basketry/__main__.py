@@ -68,13 +68,16 @@ def _parser() -> argparse.ArgumentParser:
     for x in (i, u):
         x.add_argument("--servers")
         x.add_argument("--topic-path")
-        x.add_argument("--starting", default="latest")
+        x.add_argument("--starting", help="earliest, latest or an ISO time; for the first run only")
+        x.add_argument("--stop-file", help="end the service once this path exists")
+        x.add_argument("--restarts", type=int, default=3, help="failures in a row after which it gives up")
         x.add_argument("--checkpoint", required=True)
         x.add_argument("--trigger", default="1 second", help="processing-time interval, or 'available-now'")
 
     d = sub.add_parser("publish-days", help="landing -> real-time table, days that changed")
     d.add_argument("--landing", required=True)
     d.add_argument("--table", required=True)
+    d.add_argument("--name", help="catalog table over the published days")
     d.add_argument("--after", type=dt.datetime.fromisoformat, help="only days with rows landed since (UTC)")
     f = sub.add_parser("refresh", help="log of changes -> next load of the table")
     f.add_argument("--entity", required=True, choices=["products", "sellers"])
@@ -118,8 +121,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         return jobs.report_job(purchases, products, args.reports_base, args.top_clients, args.top_products)
     if args.cmd == "publish-days":
         from basketry.streaming.ingest import changed_days, publish_days
-        days = changed_days(spark, args.landing, args.after and args.after.replace(tzinfo=dt.timezone.utc))
-        return {"days": publish_days(spark, args.landing, args.table, days)}
+        days = args.after and changed_days(spark, args.landing, args.after.replace(tzinfo=dt.timezone.utc))
+        return {"days": publish_days(spark, args.landing, args.table, days, name=args.name)}
     if args.cmd == "refresh":
         from basketry.streaming.upsert import refresh
         return {"load": refresh(spark, args.log, args.entity, args.table)}
@@ -129,14 +132,19 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         return {"topic": args.topic}
     from basketry.sources.topics import stream_topic
     from basketry.streaming.ingest import ingest_purchases
+    from basketry.streaming.service import keep_running, stop_file
     from basketry.streaming.upsert import upsert
     trigger = ({"availableNow": True} if args.trigger == "available-now"
                else {"processingTime": args.trigger})
-    stream = stream_topic(spark, args.topic, servers=args.servers, path=args.topic_path, starting=args.starting)
-    q = (ingest_purchases(stream, args.landing, args.checkpoint, trigger) if args.cmd == "ingest"
-         else upsert(stream, args.entity, args.log, args.checkpoint, trigger))
-    q.awaitTermination()
-    return {"query": q.id}
+
+    def start():
+        stream = stream_topic(spark, args.topic, servers=args.servers, path=args.topic_path, starting=args.starting,
+                              checkpoint=args.checkpoint)
+        return (ingest_purchases(stream, args.landing, args.checkpoint, trigger) if args.cmd == "ingest"
+                else upsert(stream, args.entity, args.log, args.checkpoint, trigger))
+    last = keep_running(start, lambda p: print(p, flush=True),
+                        stop_file(spark, args.stop_file) if args.stop_file else None, args.restarts)
+    return {"last_batch": last}
 
 
 if __name__ == "__main__":

@@ -50,6 +50,13 @@ def profile(df: DataFrame) -> DataFrame:
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def profile_rows(df: DataFrame, counts: dict) -> list[tuple]:
+    """A12 of a table whose write was counted ({"rows": n, "nulls": {column:
+    n}}): the rows that ``profile`` would give, without a scan."""
+    return [(f.name, f.dataType.simpleString(), i, counts["rows"], counts["nulls"][f.name])
+            for i, f in enumerate(df.schema.fields)]
+
+
 def sample(df: DataFrame, n: int = 20) -> DataFrame:
     """A12 sample rows (the reference shows 20)."""
     return df.limit(n)

@@ -6,17 +6,24 @@ Only when that job has finished does the catalog table point to it, and only
 finished directories are seen by readers by path (``sources.files.stage``), so
 a failed refresh changes nothing. The ``KEEP`` newest finished loads stay, for
 readers that began before the refresh.
+
+The write counts what it writes: rows, and NULLs of every column, as metrics
+observed in the same pass, kept with the load (``load_profile``).
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from ..sources.finished import MARK_SUCCESS, delete, finished
+from ..sources.finished import MARK_SUCCESS, delete, finished, read_lines, write_lines
 
 KEEP = 2
+_PROFILE = "_profile.json"  # an underscore: no data file for readers
 
 
 def loads(spark: SparkSession, path: str) -> list[str]:
@@ -43,9 +50,21 @@ def write_stage(df: DataFrame, path: str | None = None, table: str | None = None
         raise ValueError("write_stage needs a path or a table name")
     path = path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table}"
     load = f"{path.rstrip('/')}/load_{dt.datetime.now(dt.timezone.utc):%Y%m%d_%H%M%S_%f}"
-    df.write.format(fmt).options(**MARK_SUCCESS).save(load)
+    seen = Observation("stage")
+    nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)]
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls).write.format(fmt).options(**MARK_SUCCESS).save(load)
+    counts = seen.get
+    write_lines(spark, f"{load}/{_PROFILE}", [json.dumps(
+        {"rows": counts["rows"], "nulls": {c: counts[f"n{i}"] for i, c in enumerate(df.columns)}})])
     if table is not None:
         _point(spark, table, df, fmt, load)
     for old in loads(spark, path)[:-KEEP]:
         delete(spark, old)
     return load
+
+
+def load_profile(spark: SparkSession, load: str) -> dict | None:
+    """{"rows": n, "nulls": {column: n}} of a load as it was written; None if
+    another writer made it."""
+    lines = read_lines(spark, f"{load.rstrip('/')}/{_PROFILE}")
+    return json.loads(lines[0]) if lines else None

@@ -17,9 +17,11 @@ def messages(df: DataFrame, key: str | Column | None = None, value: Column | Non
     return df.select(k.cast("string").alias("key"), v.cast("binary").alias("value"))
 
 
+def kafka_options(topic: str, servers: str, options: dict | None = None) -> dict[str, str]:
+    """Writer options; ``options`` win."""
+    return {"kafka.bootstrap.servers": servers, "topic": topic} | {k: str(v) for k, v in (options or {}).items()}
+
+
 def publish_json(df: DataFrame, topic: str, servers: str, key: str | Column | None = None,
                  options: dict | None = None) -> None:
-    w = (messages(df, key).write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic))
-    for o, v in (options or {}).items():
-        w = w.option(o, v)
-    w.save()
+    messages(df, key).write.format("kafka").options(**kafka_options(topic, servers, options)).save()

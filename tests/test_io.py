@@ -83,3 +83,53 @@ def test_shared_folder_must_be_named_on_a_cluster():
     sc = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn")
     with pytest.raises(RuntimeError):
         checkpoint_root(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None)))
+
+
+def test_stage_writes_count_their_rows_in_the_same_pass(spark, tmp):
+    from pyspark.sql import functions as F
+
+    from basketry import jobs
+    from basketry.operators.stage import profile, stage_counts
+    from basketry.sinks.stage import load_profile
+    frames = {n: spark.createDataFrame([(f"{n}{i}", None if i % 3 else i) for i in range(9 + k)], "id string, `odd name` int")
+              for k, n in enumerate(jobs.STAGE_TABLES)}
+    opened = spark.sparkContext.accumulator(0)
+    for n, df in frames.items():
+        def one(rows):
+            for r in rows:
+                opened.add(1)
+                yield r
+        load = write_stage(df.mapInArrow(one, df.schema).coalesce(2), f"{tmp}/{n}", f"c_stage_{n}")
+        assert load_profile(spark, load) == {"rows": df.count(), "nulls": {"id": 0, "odd name": df.where("`odd name` is null").count()}}
+    written = opened.value
+    counts, profiles = jobs.stage_report(spark, "c_stage_")
+    scans = {f"c_stage_{n}": spark.table(f"c_stage_{n}") for n in frames}
+    assert sorted(counts.collect()) == sorted(stage_counts(scans).collect())
+    for n, df in scans.items():
+        got = profiles.where(F.col("table") == n).drop("table")
+        assert sorted(got.collect()) == sorted(profile(df).collect())
+    assert "FileScan" not in profiles._jdf.queryExecution().executedPlan().toString()
+    assert opened.value == written  # the reports read no row again
+    frames["clients"].write.mode("overwrite").saveAsTable("c_stage_clients")  # another writer: scanned once
+    counts, profiles = jobs.stage_report(spark, "c_stage_")
+    assert counts.where("table = 'c_stage_clients'").first()["rows"] == 9
+    assert profiles._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    for n in frames:
+        spark.sql(f"DROP TABLE c_stage_{n}")
+
+
+def test_load_date_is_the_sessions_date(spark):
+    """today where the session is, not where the driver is."""
+    import datetime as dt
+    from zoneinfo import ZoneInfo
+
+    from basketry.operators.stage import with_load_date
+    one = spark.range(1)
+    try:
+        for zone in ("UTC", "Pacific/Kiritimati", "Pacific/Pago_Pago"):  # never all on one day
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            before = dt.datetime.now(ZoneInfo(zone)).date()
+            got = with_load_date(one).first()["load_date"]
+            assert got in (before, dt.datetime.now(ZoneInfo(zone)).date())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -1,16 +1,20 @@
 import datetime as dt
 import re
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from basketry.operators.decode import split_valid, valid_rows
 from basketry.plans.topic_files import publish
-from basketry.sources.topics import stream_topic
+from basketry.sources.topics import read_topic, stream_topic
 from basketry.sources.finished import delete, matching
 from basketry.streaming.ingest import (changed_days, ensure_realtime, ingest_purchases, pending_days, publish_days,
                                        read_dead_letters, read_published, read_realtime)
 from basketry.streaming.upsert import read_upsert_dead_letters, read_upserted, refresh, upsert
-from basketry.streaming.windows import start_windowed_revenue, windowed_revenue
+from basketry.streaming.service import keep_running, stop_file, supervise
+from basketry.streaming.windows import (read_late_rows, read_windows, start_counted_windows, start_windowed_revenue,
+                                        windowed_revenue)
 
 NOW = {"availableNow": True}
 MSG = '{"purchase_id":"%s","client_id":"c","product_id":"p","quantity":%d,"price":%s,"timestamp":"%s"}'
@@ -245,3 +249,104 @@ def test_purchase_list_prunes_day_directories(spark, tmp):
                         end="2024-03-06")
     assert [r.purchase_id for r in df.collect()] == ["b"]
     assert re.search(r"PartitionFilters: \[[^\]]*dt#", df._jdf.queryExecution().executedPlan().toString())
+
+
+def _windows(spark, base, **kw):
+    valid = valid_rows(split_valid(stream_topic(spark, "purchases", path=f"{base}/topic", max_files_per_trigger=1)))
+    start_counted_windows(valid, f"{base}/windows", f"{base}/ck", "1 hour", "1 hour", trigger=NOW, **kw).awaitTermination()
+    sums = {r.window_start: tuple(r)[2:] for r in read_windows(spark, f"{base}/windows").collect()}
+    return sums, _ids(read_late_rows(spark, f"{base}/windows"))
+
+
+def test_resent_events_count_once_and_late_rows_are_kept(spark, tmp):
+    a = MSG % ("a", 1, "10", "2024-03-01T10:10:00Z")
+    _send(spark, f"{tmp}/topic", [a, a, MSG % ("b", 2, "5", "2024-03-01T10:50:00Z")])
+    assert _windows(spark, tmp) == ({}, [])  # nothing closed, nothing late
+    _send(spark, f"{tmp}/topic", [a, MSG % ("c", 1, "1", "2024-03-01T12:30:00Z")])
+    sums, late = _windows(spark, tmp)
+    assert sums == {dt.datetime(2024, 3, 1, 10): (20.0, 3, 2)} and late == []
+    _send(spark, f"{tmp}/topic", [a, MSG % ("late", 1, "7", "2024-03-01T10:20:00Z"), MSG % ("late", 1, "7", "2024-03-01T10:20:00Z"),
+                                  MSG % ("d", 1, "1", "2024-03-01T12:40:00Z")])
+    sums, late = _windows(spark, tmp)
+    assert sums == {dt.datetime(2024, 3, 1, 10): (20.0, 3, 2)} and late == ["late"]
+    _send(spark, f"{tmp}/topic", [MSG % ("end", 1, "0", "2024-03-02T12:00:00Z")])
+    sums, late = _windows(spark, tmp)
+    assert sums[dt.datetime(2024, 3, 1, 12)] == (2.0, 2, 2) and len(sums) == 2 and late == ["late"]
+
+
+def test_latest_skips_earlier_records_and_a_restart_resumes(spark, tmp):
+    def run(ck, **kw):
+        q = ingest_purchases(stream_topic(spark, "purchases", path=f"{tmp}/topic", checkpoint=f"{tmp}/{ck}", **kw),
+                             f"{tmp}/{ck}-landing", f"{tmp}/{ck}", trigger=NOW)
+        q.awaitTermination()
+        return _ids(read_realtime(spark, f"{tmp}/{ck}-landing"))
+
+    at = "2024-03-01T10:00:00Z"
+    _send(spark, f"{tmp}/topic", [MSG % ("a", 1, "1", at)], at="2024-03-01 00:00:00")
+    assert run("ck", starting="latest") == []
+    _send(spark, f"{tmp}/topic", [MSG % ("b", 1, "1", at)], at="2024-02-01 00:00:00")  # an earlier clock: still later
+    assert run("ck", starting="latest") == ["b"]
+    _send(spark, f"{tmp}/topic", [MSG % ("c", 1, "1", at)], at="2024-03-03 00:00:00")
+    assert run("ck", starting="latest") == ["b", "c"]
+    assert run("all") == ["a", "b", "c"] and run("none", starting="latest") == []
+    assert run("time", starting="2024-03-01T00:00:00+00:00") == ["a", "c"]
+    with pytest.raises(ValueError):
+        stream_topic(spark, "purchases", path=f"{tmp}/topic", starting="latest")
+    assert read_topic(spark, "purchases", path=f"{tmp}/topic", starting="2024-03-02").count() == 1
+    assert read_topic(spark, "purchases", path=f"{tmp}/topic", starting="latest").count() == 0
+
+
+def test_latest_of_a_topic_without_records(spark, tmp):
+    empty = spark.createDataFrame([], "k string, value string")
+    publish(empty, "purchases", f"{tmp}/topic", key="k", value=F.col("value"))
+    q = ingest_purchases(stream_topic(spark, "purchases", path=f"{tmp}/topic", starting="latest", checkpoint=f"{tmp}/ck"),
+                         f"{tmp}/landing", f"{tmp}/ck", trigger=NOW)
+    q.awaitTermination()
+    assert read_realtime(spark, f"{tmp}/landing").count() == 0
+
+
+def test_kafka_options():
+    from basketry.sinks.topics import kafka_options as write_options
+    from basketry.sources.topics import kafka_options
+    base = {"kafka.bootstrap.servers": "b:9092", "subscribe": "t"}
+    assert kafka_options("b:9092", "t", "earliest") == base | {"startingOffsets": "earliest"}
+    assert kafka_options("b:9092", "t", "2024-03-01T00:00:00Z", {"maxOffsetsPerTrigger": 10}) == base | {
+        "startingTimestamp": "1709251200000", "maxOffsetsPerTrigger": "10"}
+    assert kafka_options("b:9092", "t", "2024-03-01") == base | {"startingTimestamp": "1709251200000"}  # UTC
+    assert write_options("t", "b:9092", {"kafka.acks": "all"}) == {
+        "kafka.bootstrap.servers": "b:9092", "topic": "t", "kafka.acks": "all"}
+
+
+def test_service_runs_reports_and_stops(spark, tmp):
+    """Two batches fed to a running processing-time stream."""
+    at, seen = "2024-03-01T10:00:00Z", []
+    _send(spark, f"{tmp}/topic", [MSG % ("a", 1, "1", at), MSG % ("b", 1, "1", at)])
+
+    def progress(p):
+        seen.append(p["rows"])
+        if len(seen) == 1:
+            _send(spark, f"{tmp}/topic", [MSG % ("c", 1, "1", at)])
+        else:
+            _send(spark, f"{tmp}/stop", ["now"])
+    q = ingest_purchases(stream_topic(spark, "purchases", path=f"{tmp}/topic"), f"{tmp}/landing", f"{tmp}/ck",
+                         trigger={"processingTime": "200 milliseconds"})
+    assert supervise(q, progress, stop_file(spark, f"{tmp}/stop"), every=0.2) == 1
+    assert seen == [2, 1] and not q.isActive
+    assert _ids(read_realtime(spark, f"{tmp}/landing")) == ["a", "b", "c"]
+
+
+def test_service_restarts_after_a_failure_and_gives_up(spark, tmp):
+    at, starts = "2024-03-01T10:00:00Z", []
+    _send(spark, f"{tmp}/topic", [MSG % ("a", 1, "1", at)])
+
+    def start(broken):
+        starts.append(1)
+        landing = "no-such-scheme://x/landing" if broken() else f"{tmp}/landing"
+        return ingest_purchases(stream_topic(spark, "purchases", path=f"{tmp}/topic"), landing, f"{tmp}/ck", trigger=NOW)
+    assert keep_running(lambda: start(lambda: len(starts) < 3), wait=0.01, every=0.2) == 0
+    assert len(starts) == 3 and _ids(read_realtime(spark, f"{tmp}/landing")) == ["a"]
+    starts.clear()
+    _send(spark, f"{tmp}/topic", [MSG % ("b", 1, "1", at)])
+    with pytest.raises(StreamingQueryException):
+        keep_running(lambda: start(lambda: True), restarts=1, wait=0.01, every=0.2)
+    assert len(starts) == 2
