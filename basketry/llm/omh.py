@@ -9,25 +9,35 @@ similarity, asks for.
 
 Symbols are words (runs of characters other than white space), a k-mer is
 ``K`` of them (a text with fewer words has one k-mer, all its words). An
-element is the 64-bit hash of (k-mer, number); each of ``TUPLES`` orders hashes
-every element of the text anew, with the order's number, and picks the two
-least. K-mers are sorted once as 36 bits of hash and 28 bits of position; runs
-of equal ones give the occurrence numbers, and the places that put the picked
-two back in text order. All of it is array functions on the row: a text needs
-no shuffle, and its cost is ``TUPLES`` hashes of each of its words; one order's
-hashes are held at a time. A fingerprint is 16 bits of each tuple's hash, as
+element is a 36-bit hash of (36-bit hash of the k-mer, number); each of
+``TUPLES`` orders hashes every element of the text anew, with the order's
+number, and picks two: the least element, and the least of the reversed order.
+Any two places of a random order give the same pair of elements with the same
+probability, so this selects as the two least ones would, and both ends of all
+orders are one pass of plain minima and maxima. A hash of 36 bits and 28 bits of
+position share a number, so a minimum also brings the place that puts the picked
+two back in text order (equal hashes: the earlier place at the low end, the later
+at the high end).
+
+K-mers are sorted once per text by array functions on the row; runs of equal
+ones give the occurrence numbers. The elements are then exploded, a few orders at
+a time (``GROUP``), into generated code that hashes and aggregates them: partial
+aggregates of a text's elements stay in the task that reads the text, and two
+numbers per order are shuffled. A fingerprint is 16 bits of each tuple's hash, as
 hex; ``likeness`` is the share of equal ones.
 
 ``fingerprint_pairs`` compares each text with an edited one and with that of
 the next row. Rows are dealt to buckets of neighbouring ids, with bounds from
 approximate quantiles (``BUCKETS`` at most, so a bounded list); the next row is
 a lead inside the bucket, and the first row of the next bucket for the last
-one. Texts are shuffled once.
+one. Texts are shuffled once and written to a scratch table with a number for
+each row, by which signatures are joined.
 
 Edge cases: null text counts as empty; texts without words share one
 fingerprint; null ids come first; rows with equal ids are ordered by text; a
-single row is its own next row; an empty table gives an empty result. Ids must
-be numbers. Other columns play no part.
+single row is its own next row; an empty table gives an empty result; a text is
+one row of a task however long it is (2^28 words at most). Ids must be numbers.
+Other columns play no part.
 """
 
 from __future__ import annotations
@@ -36,7 +46,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import scratch
+
 K, TUPLES = 3, 64
+#: Orders that one generated aggregate works on.
+GROUP = 16
 #: Rows that a bucket of neighbouring ids is meant to have, and how many
 #: buckets there are at most.
 BUCKET_ROWS, BUCKETS = 500, 16_384
@@ -44,11 +58,11 @@ BUCKET_ROWS, BUCKETS = 500, 16_384
 _PLACE = (1 << 28) - 1
 
 
-def add_signature(df: DataFrame, text: str, out: str, k: int = K, tuples: int = TUPLES) -> DataFrame:
-    """``df`` with array column ``out``: ``tuples`` numbers below 2**16 (none
-    for null text, zeros without words). Work columns begin with ``__``; each
-    is read more than once, or the optimizer would write it into the function
-    that reads it and compute it anew for every element."""
+def elements(df: DataFrame, text: str, out: str, k: int = K) -> DataFrame:
+    """``df`` with array column ``out``: a number for each k-mer of the text,
+    hash above, place below (empty without words). Work columns begin with
+    ``__``; each is read more than once, or the optimizer would write it into
+    the function that reads it and compute it anew for every element."""
     kmer = ", ".join(f"get(__w, i + {j})" for j in range(k))
     bare = F.trim(F.col(text), F.lit(" \t\n\x0b\x0c\r"))
     step = df.withColumn("__w", F.when(bare == "", F.array().cast("array<string>")).when(
@@ -60,20 +74,42 @@ def add_signature(df: DataFrame, text: str, out: str, k: int = K, tuples: int =
     step = step.withColumn("__b", F.expr(
         "CASE WHEN __n > 0 THEN filter(sequence(0, __n - 1), j -> j = 0 OR "
         "shiftright(__s[j], 28) != shiftright(get(__s, j - 1), 28)) ELSE cast(array() AS array<int>) END"))
+
+    def element(number, value="s"):
+        return f"(xxhash64(shiftright({value}, 28), {number}) & ~{_PLACE}L) | ({value} & {_PLACE}L)"
     # where no k-mer repeats, all numbers are 0
-    step = step.withColumn("__e", F.expr("""
-        CASE WHEN size(__b) = __n THEN transform(__s, s -> xxhash64(shiftright(s, 28), 0))
+    step = step.withColumn(out, F.expr(f"""
+        CASE WHEN size(__b) = __n THEN transform(__s, s -> {element(0)})
           ELSE flatten(transform(__b, (b, q) -> transform(sequence(b, coalesce(get(__b, q + 1), __n) - 1),
-            j -> xxhash64(shiftright(__s[j], 28), j - b)))) END"""))
-    # transform(array(x), y -> ...)[0] names a value, so that it is computed once
-    earlier = f"(__s[array_position(o, x) - 1] & {_PLACE}L) < (__s[array_position(o, y) - 1] & {_PLACE}L)"
-    pair = f"CASE WHEN y IS NULL THEN xxhash64(x) WHEN {earlier} THEN xxhash64(x, y) ELSE xxhash64(y, x) END"
-    second = f"transform(array(array_min(array_remove(o, x))), y -> {pair} & 65535L)[0]"
-    first = f"transform(array(array_min(o)), x -> {second})[0]"
-    order = f"transform(array(transform(__e, e -> xxhash64(e, t))), o -> {first})[0]"
-    step = step.withColumn(out, F.expr(
-        f"if(size(__e) = 0, array_repeat(0L, {tuples}), transform(sequence(0, {tuples - 1}), t -> {order}))"))
-    return step.drop("__w", "__n", "__s", "__b", "__e")
+            j -> {element("j - b", "__s[j]")}))) END"""))
+    return step.drop("__w", "__n", "__s", "__b")
+
+
+def signatures(df: DataFrame, key: str = "key", text: str = "text", k: int = K, tuples: int = TUPLES) -> DataFrame:
+    """(key, signature) of the rows (key, text) that have words: ``tuples``
+    numbers below 2**16. Keys are bigints and tell the rows apart."""
+    groups = -(-tuples // GROUP)
+    rows = elements(df.select(F.col(key).alias("__key"), F.col(text).alias("__text")), "__text", "__e", k)
+    # explode_outer: for explode the optimizer adds a filter that computes the array anew
+    rows = rows.select("__key", F.explode_outer("__e").alias("__v")).select(
+        F.explode_outer(F.expr(f"transform(sequence(0, {groups - 1}), g -> __key * {groups} + g)")).alias("__g"), "__v")
+    hashed, place = F.shiftright("__v", 28), F.col("__v").bitwiseAND(F.lit(_PLACE))
+    first = F.pmod("__g", F.lit(groups)).cast("int") * GROUP
+    keys = rows.select("__g", *[F.xxhash64(hashed, first + j).bitwiseAND(F.lit(~_PLACE)).bitwiseOR(place).alias(f"__k{j}")
+                                for j in range(GROUP)])
+    ends = keys.groupBy("__g").agg(*[f(f"__k{j}").alias(f"__{n}{j}") for j in range(GROUP)
+                                     for n, f in (("lo", F.min), ("hi", F.max))]).where("__lo0 IS NOT NULL")
+    low, high = (F.array(*[f"__{n}{j}" for j in range(GROUP)]) for n in ("lo", "hi"))
+
+    def both(a, b):
+        x, y = F.shiftright(a, 28), F.shiftright(b, 28)
+        early = a.bitwiseAND(F.lit(_PLACE)) < b.bitwiseAND(F.lit(_PLACE))
+        pair = F.when(a == b, F.xxhash64(x)).when(early, F.xxhash64(x, y)).otherwise(F.xxhash64(y, x))
+        return pair.bitwiseAND(F.lit(65535))
+    some = ends.select(F.expr(f"(__g - pmod(__g, {groups})) div {groups}").alias("__key"),
+                       F.pmod("__g", F.lit(groups)).alias("g"), F.zip_with(low, high, both).alias("part"))
+    whole = some.groupBy("__key").agg(F.sort_array(F.collect_list(F.struct("g", "part"))).alias("parts"))
+    return whole.select(F.col("__key").alias(key), F.slice(F.flatten("parts.part"), 1, tuples).alias("signature"))
 
 
 def as_text(signature: Column | str) -> Column:
@@ -100,39 +136,51 @@ def _bucket(df: DataFrame, id_col: str, rows: int) -> Column:
     return F.coalesce(found, F.lit(0))
 
 
-def with_next(df: DataFrame, id_col: str, text_col: str, bucket_rows: int = BUCKET_ROWS):
-    """(rows, window): ``df`` as (id, text, bucket, lead_text), null text as
-    empty, ``lead_text`` the next row's (null on the last of a bucket); and the
-    window of a bucket in order."""
+def with_next(df: DataFrame, id_col: str, text_col: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """(row, id, text, next_row, next_text): every row with a number, null text
+    as empty, and the row that follows it in order of id and text (the first
+    one after the last)."""
     docs = df.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     docs = docs.withColumn("bucket", _bucket(docs.select("id"), "id", bucket_rows))
-    window = Window.partitionBy("bucket").orderBy(F.col("id").asc_nulls_first(), "text")
-    return docs.withColumn("lead_text", F.lead("text").over(window)), window
-
-
-def fingerprint_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(id, text, edited, signature, edited_signature, next_signature) of
-    every row: ``edited`` is the text with the last half (rounded down) of its
-    characters replaced by as many of the next row's first ones, or all."""
-    rows, window = with_next(df, id_col, text_col, bucket_rows)
+    docs = docs.withColumn("row", F.monotonically_increasing_id())
+    order = [F.col("id").asc_nulls_first(), "text", "row"]
+    window = Window.partitionBy("bucket").orderBy(*order)
+    rows = docs.withColumn("lead", F.lead(F.struct("row", "text")).over(window))
 
     # the first row of the bucket that follows; after the last, of the first
-    firsts = rows.withColumn("k", F.row_number().over(window)).where("k = 1").select("bucket", F.col(
-        "text").alias("border_text"))
+    firsts = docs.groupBy("bucket").agg(F.min_by(F.struct("row", "text"), F.struct(
+        F.col("id").isNotNull(), "id", "text", "row")).alias("first"))
     in_order = Window.orderBy("bucket")  # buckets: a bounded number of rows
     after = firsts.select("bucket").withColumn("after", F.coalesce(
         F.lead("bucket").over(in_order), F.min("bucket").over(in_order))).withColumnRenamed("bucket", "b")
-    borders = after.join(firsts, F.col("after") == F.col("bucket")).select("b", "border_text")
-    borders = add_signature(borders, "border_text", "border_signature")
+    borders = after.join(firsts, F.col("after") == F.col("bucket")).select("b", "first")
+    nxt = F.coalesce("lead", "first")
+    return rows.join(borders, F.col("bucket") == F.col("b"), "left").select(
+        "row", "id", "text", nxt["row"].alias("next_row"), nxt["text"].alias("next_text"))
+
 
+def fingerprint_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """(id, n_chars, edited, signature, edited_signature, next_signature) of
+    every row: ``edited`` is the text with the last half (rounded down) of its
+    characters replaced by as many of the next row's first ones, or all."""
     half = F.floor(F.char_length("text") / 2).cast("int")
-    joined = rows.join(borders, F.col("bucket") == F.col("b"), "left")
-    nxt = F.coalesce("lead_text", "border_text")
-    joined = joined.withColumn("edited", F.concat(
-        F.substring("text", F.lit(1), F.char_length("text") - half), F.substring(nxt, F.lit(1), half)))
-    joined = joined.select("id", "text", "bucket", "edited", "border_signature")
-    signed = add_signature(add_signature(joined, "text", "signature"), "edited", "edited_signature")
-    return signed.withColumn("next_signature", F.coalesce(
-        F.lead("signature").over(window), "border_signature")).select(
-        "id", "text", "edited", "signature", "edited_signature", "next_signature")
+    edited = F.concat(F.substring("text", F.lit(1), F.char_length("text") - half),
+                      F.substring("next_text", F.lit(1), half))
+    rows = scratch(with_next(df, id_col, text_col, bucket_rows).select(
+        "row", "id", "text", "next_row", edited.alias("edited")), "order-minhash")
+    both = rows.select(F.explode(F.array(
+        F.struct((F.col("row") * 2).alias("key"), "text"),
+        F.struct((F.col("row") * 2 + 1).alias("key"), F.col("edited").alias("text")))).alias("x")).select("x.*")
+    signed = scratch(signatures(both), "order-minhash-signatures")
+
+    def of(name: str, key: Column) -> DataFrame:
+        return signed.where(key.isNotNull()).select(key.alias(f"{name}_row"), F.col("signature").alias(name))
+    own = F.when(F.col("key") % 2 == 0, F.expr("key div 2"))
+    other = F.when(F.col("key") % 2 == 1, F.expr("key div 2"))
+    none = F.array_repeat(F.lit(0).cast("long"), TUPLES)
+    out = rows.select("row", "id", "next_row", F.char_length("text").cast("long").alias("n_chars"), "edited")
+    for name, key, by in (("signature", own, "row"), ("edited_signature", other, "row"), ("next_signature", own, "next_row")):
+        out = out.join(of(name, key), F.col(by) == F.col(f"{name}_row"), "left").withColumn(
+            name, F.coalesce(name, none)).drop(f"{name}_row")
+    return out.select("id", "n_chars", "edited", "signature", "edited_signature", "next_signature")

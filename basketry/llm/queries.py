@@ -101,7 +101,7 @@ def op5_order_minhash(spark, sf_dir):
     """Fingerprints of every document and of its edited text."""
     found = omh.fingerprint_pairs(table(spark, sf_dir, "documents"))
     return found.select(
-        F.col("id").alias("doc_id"), F.char_length("text").cast("long").alias("n_chars"),
+        F.col("id").alias("doc_id"), "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"), omh.as_text("signature").alias("fingerprint"),
         omh.as_text("edited_signature").alias("edited_fingerprint"),
         omh.likeness("signature", "edited_signature").alias("near_edited"),

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,22 +43,39 @@ def spark_hash(*values):
     return seed - (1 << 64) if seed >> 63 else seed
 
 
+def order_keys(found, t):
+    """spark_hash((e,), t) of an array of numbers."""
+    u = np.uint64
+    rot = lambda x, r: x << u(r) | x >> u(64 - r)
+    last = lambda h: (lambda g: g ^ g >> u(32))((lambda f: (f ^ f >> u(29)) * u(P3))((h ^ h >> u(33)) * u(P2)))
+    h = u(42 + P5 + 8 & M) ^ rot(found.astype(u) * u(P2), 31) * u(P1)
+    seed = last(rot(h, 27) * u(P1) + u(P4))
+    h = (seed + u(P5) + u(4)) ^ u(t * P1 & M)
+    return last(rot(h, 23) * u(P2) + u(P3)).astype(np.int64)
+
+
+def test_hash_of_arrays():
+    e = np.array([0, 5, -7, 1 << 35], np.int64)
+    assert order_keys(e, 9).tolist() == [spark_hash((int(x),), 9) for x in e]
+
+
 def plain_signature(text, k=omh.K):
-    words = text.split()
+    """64 orders of all occurrence-numbered k-mers: the least of each, and the
+    least of the reversed one, in text order."""
+    words = (text or "").split()
     grams = [words[i:i + k] for i in range(len(words) - k + 1)] or ([words] if words else [])
-    seen, elements = {}, []
-    for place, g in sorted(enumerate(grams), key=lambda x: x[0]):
+    seen, found = {}, []
+    for place, g in enumerate(grams):
         h = spark_hash(*g) >> 28
-        number = seen.get(h, 0)
-        seen[h] = number + 1
-        elements.append((spark_hash((h,), number) >> 28, place))
-    elements = sorted(elements)[:omh.KEPT]
-    if not elements:
+        found.append((spark_hash((h,), seen.get(h, 0)) >> 28, place))
+        seen[h] = seen.get(h, 0) + 1
+    if not found:
         return [0] * omh.TUPLES
-    out = []
-    for m in omh._masks(omh.TUPLES):
-        least = sorted((e ^ m >> 28, place) for e, place in elements)[:omh.TUPLE]
-        out.append(spark_hash(*[(h,) for h, _ in sorted(least, key=lambda x: x[1])]) & 65535)
+    out, numbers = [], np.array([e for e, _ in found], np.int64)
+    for t in range(omh.TUPLES):
+        keys = order_keys(numbers, t) >> 28
+        low, high = int(keys.argmin()), len(keys) - 1 - int(keys[::-1].argmax())
+        out.append(spark_hash(*[(int(keys[i]),) for i in sorted({low, high})]) & 65535)
     return out
 
 
@@ -89,7 +107,7 @@ def plain_rows(rows):
 def query_rows(df, **kw):
     found = omh.fingerprint_pairs(df, **kw)
     return [tuple(r) for r in found.select(
-        "id", F.char_length("text"), F.sha2("edited", 256), omh.as_text("signature"), omh.as_text("edited_signature"),
+        "id", "n_chars", F.sha2("edited", 256), omh.as_text("signature"), omh.as_text("edited_signature"),
         omh.likeness("signature", "edited_signature"), omh.likeness("signature", "next_signature")).collect()]
 
 
@@ -106,8 +124,8 @@ def test_against_plain_order_minhash(docs_of, bucket_rows):
 def test_order_matters(spark):
     a = " ".join(f"w{i}" for i in range(40))
     swapped = " ".join([f"w{i}" for i in range(20, 40)] + [f"w{i}" for i in range(20)])
-    df = omh.add_signature(spark.createDataFrame([(a,), (swapped,)], "t string"), "t", "s")
-    x, y = (r.s for r in df.collect())
+    df = omh.signatures(spark.createDataFrame([(1, a), (2, swapped)], "key bigint, text string"))
+    x, y = (r.signature for r in df.orderBy("key").collect())
     assert likeness(x, x) == 1 and likeness(x, y) < 0.7
 
 
@@ -116,6 +134,16 @@ def test_one_row_and_empty_table(docs_of):
     assert query_rows(docs_of(["some words in a row"])) == plain_rows([(0, "some words in a row")])
 
 
+def test_long_text_and_clashing_names(docs_of):
+    rnd = random.Random(8)
+    long = " ".join(rnd.choice(["aa", "b", "ccc", "dd"]) + str(rnd.randrange(900)) for _ in range(20_000))
+    rows = [(1, long), (2, long[:70_000]), (3, "short one"), (3, "short one")]
+    df = docs_of([(i, t, "en", "s", 1) for i, t in rows])
+    for c in ("row", "next_row", "bucket", "edited", "signature", "lead", "first", "parts", "g", "b", "n_chars"):
+        df = df.withColumn(c, F.lit("clash"))
+    assert sorted(query_rows(df), key=repr) == sorted(plain_rows(rows), key=repr)
+
+
 def test_query_on_whole_table(spark):
     d = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{d}/documents.parquet").collect()

@@ -2,30 +2,15 @@
 
 from basketry.llm import omh
 
-from .test_omh import make_texts, spark_hash
-
-
-def plain_signature(text, k=3):
-    words = (text or "").split()
-    grams = [words[i:i + k] for i in range(len(words) - k + 1)] or ([words] if words else [])
-    seen, elements = {}, []
-    for g in grams:
-        h = spark_hash(*g) >> 28
-        elements.append(spark_hash((h,), seen.get(h, 0)))
-        seen[h] = seen.get(h, 0) + 1
-    out = []
-    for t in range(64):
-        least = sorted((spark_hash((e,), t), place) for place, e in enumerate(elements))[:2]
-        out.append(spark_hash(*[(h,) for h, _ in sorted(least, key=lambda x: x[1])]) & 65535 if least else 0)
-    return out
+from .test_omh import make_texts, plain_signature
 
 
 def signatures(spark, texts):
-    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
-    return [r.s for r in omh.add_signature(df, "t", "s").orderBy("i").collect()]
+    df = spark.createDataFrame(list(enumerate(texts)), "key bigint, text string")
+    found = {r.key: r.signature for r in omh.signatures(df).collect()}
+    return [found.get(i, [0] * omh.TUPLES) for i in range(len(texts))]
 
 
 def test_against_the_definition(spark):
     texts = [t for t in make_texts() if t is not None]
     assert signatures(spark, texts) == [plain_signature(t) for t in texts]
-
