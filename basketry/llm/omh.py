@@ -21,17 +21,15 @@ at the high end).
 
 K-mers are sorted once per text by array functions on the row; runs of equal
 ones give the occurrence numbers. The elements are then exploded, a few orders at
-a time (``GROUP``), into generated code that hashes and aggregates them: partial
-aggregates of a text's elements stay in the task that reads the text, and two
-numbers per order are shuffled. A fingerprint is 16 bits of each tuple's hash, as
-hex; ``likeness`` is the share of equal ones.
+a time (``GROUP``), into generated code that hashes and aggregates them. A fingerprint
+is 16 bits of each tuple's hash, as hex; ``likeness`` is the share of equal ones.
 
 ``fingerprint_pairs`` compares each text with an edited one and with that of
 the next row. Rows are dealt to buckets of neighbouring ids, with bounds from
 approximate quantiles (``BUCKETS`` at most, so a bounded list); the next row is
 a lead inside the bucket, and the first row of the next bucket for the last
-one. Texts are shuffled once and written to a scratch table with a number for
-each row, by which signatures are joined.
+one. Texts are shuffled once, to their buckets; everything after, aggregates by
+row included, keeps that partitioning, so nothing else of their size moves.
 
 Edge cases: null text counts as empty; texts without words share one
 fingerprint; null ids come first; rows with equal ids are ordered by text; a
@@ -46,11 +44,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import scratch
-
 K, TUPLES = 3, 64
 #: Orders that one generated aggregate works on.
-GROUP = 16
+GROUP = 8
 #: Rows that a bucket of neighbouring ids is meant to have, and how many
 #: buckets there are at most.
 BUCKET_ROWS, BUCKETS = 500, 16_384
@@ -85,31 +81,36 @@ def elements(df: DataFrame, text: str, out: str, k: int = K) -> DataFrame:
     return step.drop("__w", "__n", "__s", "__b")
 
 
-def signatures(df: DataFrame, key: str = "key", text: str = "text", k: int = K, tuples: int = TUPLES) -> DataFrame:
-    """(key, signature) of the rows (key, text) that have words: ``tuples``
-    numbers below 2**16. Keys are bigints and tell the rows apart."""
-    groups = -(-tuples // GROUP)
-    rows = elements(df.select(F.col(key).alias("__key"), F.col(text).alias("__text")), "__text", "__e", k)
+def _parts(df: DataFrame, by: list[str], carry: list[str], text: str, tuples: int, k: int) -> DataFrame:
+    """(by, order, carry, part): a group of orders' tuples of each row; zeros
+    without words. ``by`` tells the rows apart; ``carry`` are bigints."""
+    rows = elements(df.select(*by, *carry, text), text, "__e", k)
     # explode_outer: for explode the optimizer adds a filter that computes the array anew
-    rows = rows.select("__key", F.explode_outer("__e").alias("__v")).select(
-        F.explode_outer(F.expr(f"transform(sequence(0, {groups - 1}), g -> __key * {groups} + g)")).alias("__g"), "__v")
+    rows = rows.select(*by, *carry, F.explode_outer("__e").alias("__v")).select(
+        *by, *carry, "__v", F.explode(F.array(*[F.lit(g) for g in range(-(-tuples // GROUP))])).alias("order"))
     hashed, place = F.shiftright("__v", 28), F.col("__v").bitwiseAND(F.lit(_PLACE))
-    first = F.pmod("__g", F.lit(groups)).cast("int") * GROUP
-    keys = rows.select("__g", *[F.xxhash64(hashed, first + j).bitwiseAND(F.lit(~_PLACE)).bitwiseOR(place).alias(f"__k{j}")
-                                for j in range(GROUP)])
-    ends = keys.groupBy("__g").agg(*[f(f"__k{j}").alias(f"__{n}{j}") for j in range(GROUP)
-                                     for n, f in (("lo", F.min), ("hi", F.max))]).where("__lo0 IS NOT NULL")
+    keys = rows.select(*by, *carry, "order", *[
+        F.xxhash64(hashed, F.col("order") * GROUP + j).bitwiseAND(F.lit(~_PLACE)).bitwiseOR(place).alias(f"__k{j}")
+        for j in range(GROUP)])
+    ends = keys.groupBy(*by, "order").agg(
+        *[f(f"__k{j}").alias(f"__{n}{j}") for j in range(GROUP) for n, f in (("lo", F.min), ("hi", F.max))],
+        *[F.max(c).alias(c) for c in carry])
     low, high = (F.array(*[f"__{n}{j}" for j in range(GROUP)]) for n in ("lo", "hi"))
 
     def both(a, b):
         x, y = F.shiftright(a, 28), F.shiftright(b, 28)
         early = a.bitwiseAND(F.lit(_PLACE)) < b.bitwiseAND(F.lit(_PLACE))
         pair = F.when(a == b, F.xxhash64(x)).when(early, F.xxhash64(x, y)).otherwise(F.xxhash64(y, x))
-        return pair.bitwiseAND(F.lit(65535))
-    some = ends.select(F.expr(f"(__g - pmod(__g, {groups})) div {groups}").alias("__key"),
-                       F.pmod("__g", F.lit(groups)).alias("g"), F.zip_with(low, high, both).alias("part"))
-    whole = some.groupBy("__key").agg(F.sort_array(F.collect_list(F.struct("g", "part"))).alias("parts"))
-    return whole.select(F.col("__key").alias(key), F.slice(F.flatten("parts.part"), 1, tuples).alias("signature"))
+        return F.when(a.isNull(), F.lit(0).cast("long")).otherwise(pair.bitwiseAND(F.lit(65535)))
+    return ends.select(*by, "order", *carry, F.zip_with(low, high, both).alias("part"))
+
+
+def signatures(df: DataFrame, key: str = "key", text: str = "text", k: int = K, tuples: int = TUPLES) -> DataFrame:
+    """(key, signature) of the rows (key, text): ``tuples`` numbers below
+    2**16, zeros without words. Keys tell the rows apart."""
+    whole = _parts(df, [key], [], text, tuples, k).groupBy(key).agg(
+        F.sort_array(F.collect_list(F.struct("order", "part"))).alias("parts"))
+    return whole.select(key, F.slice(F.flatten("parts.part"), 1, tuples).alias("signature"))
 
 
 def as_text(signature: Column | str) -> Column:
@@ -136,51 +137,56 @@ def _bucket(df: DataFrame, id_col: str, rows: int) -> Column:
     return F.coalesce(found, F.lit(0))
 
 
-def with_next(df: DataFrame, id_col: str, text_col: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(row, id, text, next_row, next_text): every row with a number, null text
-    as empty, and the row that follows it in order of id and text (the first
-    one after the last)."""
-    docs = df.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+def with_next(df: DataFrame, id_col: str, text_col: str, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(rows, borders): every row as (bucket, place, id, text, next_text), null
+    text as empty, places counting from 1 in order of id and text; and each
+    bucket's (b, border): the text that follows its last row."""
+    docs = df.select(F.col(f"`{id_col}`").cast("long").alias("id"),
+                     F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     docs = docs.withColumn("bucket", _bucket(docs.select("id"), "id", bucket_rows))
-    docs = docs.withColumn("row", F.monotonically_increasing_id())
-    order = [F.col("id").asc_nulls_first(), "text", "row"]
-    window = Window.partitionBy("bucket").orderBy(*order)
-    rows = docs.withColumn("lead", F.lead(F.struct("row", "text")).over(window))
+    window = Window.partitionBy("bucket").orderBy(F.col("id").asc_nulls_first(), "text")
+    rows = docs.withColumn("place", F.row_number().over(window)).withColumn("lead", F.lead("text").over(window))
 
     # the first row of the bucket that follows; after the last, of the first
-    firsts = docs.groupBy("bucket").agg(F.min_by(F.struct("row", "text"), F.struct(
-        F.col("id").isNotNull(), "id", "text", "row")).alias("first"))
+    firsts = docs.groupBy("bucket").agg(F.min(F.struct(F.col("id").isNotNull(), "id", "text")).alias("first"))
     in_order = Window.orderBy("bucket")  # buckets: a bounded number of rows
     after = firsts.select("bucket").withColumn("after", F.coalesce(
         F.lead("bucket").over(in_order), F.min("bucket").over(in_order))).withColumnRenamed("bucket", "b")
-    borders = after.join(firsts, F.col("after") == F.col("bucket")).select("b", "first")
-    nxt = F.coalesce("lead", "first")
+    borders = after.join(firsts, F.col("after") == F.col("bucket")).select("b", F.col("first.text").alias("border"))
     return rows.join(borders, F.col("bucket") == F.col("b"), "left").select(
-        "row", "id", "text", nxt["row"].alias("next_row"), nxt["text"].alias("next_text"))
+        "bucket", "place", "id", "text", F.coalesce("lead", "border").alias("next_text")), borders
 
 
 def fingerprint_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(id, n_chars, edited, signature, edited_signature, next_signature) of
-    every row: ``edited`` is the text with the last half (rounded down) of its
-    characters replaced by as many of the next row's first ones, or all."""
+    """(id, n_chars, edited_sha256, signature, edited_signature,
+    next_signature) of every row: the edited text is the text with the last half
+    (rounded down) of its characters replaced by as many of the next row's first
+    ones, or all."""
+    rows, borders = with_next(df, id_col, text_col, bucket_rows)
     half = F.floor(F.char_length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.char_length("text") - half),
                       F.substring("next_text", F.lit(1), half))
-    rows = scratch(with_next(df, id_col, text_col, bucket_rows).select(
-        "row", "id", "text", "next_row", edited.alias("edited")), "order-minhash")
-    both = rows.select(F.explode(F.array(
-        F.struct((F.col("row") * 2).alias("key"), "text"),
-        F.struct((F.col("row") * 2 + 1).alias("key"), F.col("edited").alias("text")))).alias("x")).select("x.*")
-    signed = scratch(signatures(both), "order-minhash-signatures")
-
-    def of(name: str, key: Column) -> DataFrame:
-        return signed.where(key.isNotNull()).select(key.alias(f"{name}_row"), F.col("signature").alias(name))
-    own = F.when(F.col("key") % 2 == 0, F.expr("key div 2"))
-    other = F.when(F.col("key") % 2 == 1, F.expr("key div 2"))
-    none = F.array_repeat(F.lit(0).cast("long"), TUPLES)
-    out = rows.select("row", "id", "next_row", F.char_length("text").cast("long").alias("n_chars"), "edited")
-    for name, key, by in (("signature", own, "row"), ("edited_signature", other, "row"), ("next_signature", own, "next_row")):
-        out = out.join(of(name, key), F.col(by) == F.col(f"{name}_row"), "left").withColumn(
-            name, F.coalesce(name, none)).drop(f"{name}_row")
-    return out.select("id", "n_chars", "edited", "signature", "edited_signature", "next_signature")
+    rows = rows.select("bucket", "place", "id", "text", edited.alias("edited"))
+    # the digest as four numbers, which aggregate without leaving generated code
+    digest = [F.conv(F.substring(F.sha2("edited", 256), 1 + 16 * i, 16), 16, -10).cast("long").alias(f"__d{i}")
+              for i in range(4)]
+    carry = ["id", "n_chars", "__d0", "__d1", "__d2", "__d3"]
+    both = rows.select("bucket", "place", "id", F.char_length("text").cast("long").alias("n_chars"), *digest, F.explode(
+        F.array(F.struct(F.lit(0).alias("which"), "text"), F.struct(F.lit(1).alias("which"), F.col("edited").alias(
+            "text")))).alias("x")).select("bucket", "place", *carry, "x.which", "x.text")
+    signed = _parts(both, ["bucket", "place", "which"], carry, "text", TUPLES, K).groupBy("bucket", "place").agg(
+        F.sort_array(F.collect_list(F.struct("which", "order", "part"))).alias("parts"),
+        *[F.max(c).alias(c) for c in carry])
+    border = borders.join(signatures(borders, "b", "border"), "b").select(
+        F.col("b").alias("c"), F.col("signature").alias("border_signature"))
+    parts, groups = F.col("parts.part"), -(-TUPLES // GROUP)
+    signed = signed.select(
+        "bucket", "place", "id", "n_chars",
+        F.concat(*[F.lower(F.lpad(F.hex(f"__d{i}"), 16, "0")) for i in range(4)]).alias("edited_sha256"),
+        F.slice(F.flatten(F.slice(parts, 1, groups)), 1, TUPLES).alias("signature"),
+        F.slice(F.flatten(F.slice(parts, groups + 1, groups)), 1, TUPLES).alias("edited_signature"))
+    following = F.lead("signature").over(Window.partitionBy("bucket").orderBy("place"))
+    return signed.withColumn("lead", following).join(border, F.col("bucket") == F.col("c"), "left").select(
+        "id", "n_chars", "edited_sha256", "signature", "edited_signature",
+        F.coalesce("lead", "border_signature").alias("next_signature"))

@@ -101,8 +101,7 @@ def op5_order_minhash(spark, sf_dir):
     """Fingerprints of every document and of its edited text."""
     found = omh.fingerprint_pairs(table(spark, sf_dir, "documents"))
     return found.select(
-        F.col("id").alias("doc_id"), "n_chars",
-        F.sha2("edited", 256).alias("edited_sha256"), omh.as_text("signature").alias("fingerprint"),
+        F.col("id").alias("doc_id"), "n_chars", "edited_sha256", omh.as_text("signature").alias("fingerprint"),
         omh.as_text("edited_signature").alias("edited_fingerprint"),
         omh.likeness("signature", "edited_signature").alias("near_edited"),
         omh.likeness("signature", "next_signature").alias("near_next"))
@@ -153,7 +152,7 @@ def op9_line_dedup(spark, sf_dir):
     """Every document without its repeated lines."""
     docs = table(spark, sf_dir, "documents")
     found = linededup.dedup_lines(docs, threshold=LINE_EDITS, min_bytes=LINE_BYTES, copy_bytes=LINE_COPY_BYTES)
-    return found.select("doc_id", "lines_found.*", F.sha2("text", 256).alias("kept_sha256"), "text")
+    return found.select("doc_id", f"{found.columns[-1]}.*", F.sha2("text", 256).alias("kept_sha256"), "text")
 
 
 # ------------------------------------------------------------ 10 language

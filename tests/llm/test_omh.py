@@ -107,7 +107,7 @@ def plain_rows(rows):
 def query_rows(df, **kw):
     found = omh.fingerprint_pairs(df, **kw)
     return [tuple(r) for r in found.select(
-        "id", "n_chars", F.sha2("edited", 256), omh.as_text("signature"), omh.as_text("edited_signature"),
+        "id", "n_chars", "edited_sha256", omh.as_text("signature"), omh.as_text("edited_signature"),
         omh.likeness("signature", "edited_signature"), omh.likeness("signature", "next_signature")).collect()]
 
 
