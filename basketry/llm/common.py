@@ -42,6 +42,15 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with a number if ``df`` has a column of that name (in
+    either case): what an operator calls the column that it adds last."""
+    taken, k = {c.lower() for c in df.columns}, 2
+    while (name if k == 2 else f"{name}_{k - 1}").lower() in taken:
+        k += 1
+    return name if k == 2 else f"{name}_{k - 1}"
+
+
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null counts as empty."""
     if isinstance(col, pa.ChunkedArray):

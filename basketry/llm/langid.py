@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textmodel
-from .common import blocks, scratch
+from .common import blocks, free_name, scratch
 from .urlfilter import host_of
 
 #: Texts that a language's model is made of, and languages, at most.
@@ -166,8 +166,9 @@ def _tables(readings: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
 
 
 def identify(df: DataFrame, model: Model, text_col: str, declared: Column, host: Column) -> DataFrame:
-    """``df`` with a struct ``language``: lang (or "und"), confidence (its
-    posterior), text_lang (by the text alone) and accepted."""
+    """``df`` with, as the last column, a struct ``language`` (``free_name``):
+    lang (or "und"), confidence (its posterior), text_lang (by the text alone)
+    and accepted."""
     k = len(model.classes)
     names = F.array(*[F.lit(c) for c in model.classes])
     rest = {c: f"c{i}" for i, c in enumerate(df.columns) if c != text_col}
@@ -191,7 +192,7 @@ def identify(df: DataFrame, model: Model, text_col: str, declared: Column, host:
     return read.select(
         *[F.col("text" if c == text_col else f"row.{rest[c]}").alias(c) for c in df.columns],
         F.struct(lang.alias("lang"), best.alias("confidence"), text_lang.alias("text_lang"),
-                 ((lang != UND) & (best >= CONFIDENCE)).alias("accepted")).alias("language"))
+                 ((lang != UND) & (best >= CONFIDENCE)).alias("accepted")).alias(free_name(df, "language")))
 
 
 def identify_documents(docs: DataFrame, model: Model) -> DataFrame:
@@ -204,6 +205,7 @@ def identify_pages(pages: DataFrame, model: Model) -> DataFrame:
     is what stands between tags, without scripts and styles."""
     visible = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
     declared = F.lower(F.regexp_extract("html", r"(?i)<html[^>]*?\slang\s*=\s*[\"']?([a-zA-Z]{2})", 1))
-    seen = pages.withColumn("__visible", visible)
-    found = identify(seen, model, "__visible", F.when(declared != "", declared), host_of("url"))
-    return found.drop("__visible")
+    name = free_name(pages, "visible")
+    seen = pages.withColumn(name, visible)
+    found = identify(seen, model, name, F.when(declared != "", declared), host_of("url"))
+    return found.drop(name)

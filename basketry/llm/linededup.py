@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import RollingHash, blocks, mix, scratch, text_buffer
+from .common import blocks, free_name, mix, RollingHash, scratch, text_buffer
 
 THRESHOLD = 2
 MIN_BYTES = 40
@@ -350,9 +350,9 @@ def _places_of_lines(docs: DataFrame, min_bytes: int, copy_bytes: int) -> DataFr
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD,
                 min_bytes: int = MIN_BYTES, unit: int = UNIT, copy_bytes: int | None = None) -> DataFrame:
-    """``df`` with the repeated lines of column ``text_col`` taken out, and a
-    struct ``lines_found`` of n_lines, n_removed and n_links (links of the
-    text's lines to different lines)."""
+    """``df`` with the repeated lines of column ``text_col`` taken out, and as
+    the last column a struct ``lines_found`` (``free_name``) of n_lines,
+    n_removed and n_links (links of the text's lines to different lines)."""
     if min_bytes < 2 * threshold + 1:
         raise ValueError("min_bytes must be over twice the threshold")
     i, t = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
@@ -395,4 +395,4 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     done = joined.mapInArrow(take_out, out)
     at = {c: F.col(f"row.c{k}") for k, c in enumerate(rest)}
     return done.select(*[F.col("text").alias(c) if c == text_col else at[c].alias(c) for c in df.columns],
-                       F.struct("n_lines", "n_removed", "n_links").alias("lines_found"))
+                       F.struct("n_lines", "n_removed", "n_links").alias(free_name(df, "lines_found")))

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textmodel
-from .common import blocks, scratch
+from .common import blocks, free_name, scratch
 
 MAX_LABELLED = 6_000
 STEPS, TOLERANCE = 40, 1e-6
@@ -111,7 +111,8 @@ def fit(docs: DataFrame, labels: DataFrame, domain: Column, domains: list[str],
 
 
 def classify(df: DataFrame, model: Classifier, text_col: str = "text") -> DataFrame:
-    """``df`` with a struct ``mix``: tokens and posterior."""
+    """``df`` with, as the last column, a struct ``mix`` (``free_name``): tokens
+    and posterior."""
     rest = {c: f"c{i}" for i, c in enumerate(df.columns) if c != text_col}
     slim = df.select(F.col(f"`{text_col}`").alias("text"),
                      F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(a) for c, a in rest.items()]).alias("row"))
@@ -129,7 +130,7 @@ def classify(df: DataFrame, model: Classifier, text_col: str = "text") -> DataFr
 
     return slim.mapInArrow(run, out).select(
         *[F.col("text" if c == text_col else f"row.{rest[c]}").alias(c) for c in df.columns],
-        F.struct("tokens", "posterior").alias("mix"))
+        F.struct("tokens", "posterior").alias(free_name(df, "mix")))
 
 
 def _rate(p: list[Column], steps: list[np.ndarray]) -> Column:
@@ -172,24 +173,29 @@ def solve(mix: DataFrame, targets: list[float], budget: float = 1.0) -> list[np.
 
 def mixed(df: DataFrame, model: Classifier, targets: dict[str, float], id_col: str = "doc_id",
           text_col: str = "text", budget: float = 1.0) -> DataFrame:
-    """``df`` with a struct ``mix``: tokens, posterior, rate and copies."""
+    """``df`` with, as the last column, a struct ``mix`` (``free_name``):
+    tokens, posterior, rate and copies."""
     found = classify(df, model, text_col)
-    light = scratch(classify(df.select(F.col(f"`{text_col}`")), model, text_col).select("mix.*"), "mix")
+    light = classify(df.select(F.col(f"`{text_col}`").alias("text")), model)
+    light = scratch(light.select("mix.*"), "mix")
     goal = [targets[c] for c in model.words.classes]
     steps = solve(light, goal, budget)
-    rate = _rate([F.col("mix.posterior")[i] for i in range(len(goal))], steps)
-    found = found.withColumn("__rate", rate)
+    name, at = found.columns[-1], free_name(found, "rate")
+    rate = _rate([F.col(f"`{name}`.posterior")[i] for i in range(len(goal))], steps)
+    found = found.withColumn(at, rate)
     chance = F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.lit("mix")), F.lit(1 << 40)) / (1 << 40)
-    return found.withColumn("mix", F.struct(
-        "mix.tokens", "mix.posterior", F.col("__rate").alias("rate"),
-        F.floor(F.col("__rate") + chance).cast("int").alias("copies"))).drop("__rate")
+    return found.withColumn(name, F.struct(
+        f"{name}.tokens", f"{name}.posterior", F.col(at).alias("rate"),
+        F.floor(F.col(at) + chance).cast("int").alias("copies"))).drop(at)
 
 
 def sampled(found: DataFrame) -> DataFrame:
-    """As many copies of each row as ``mix`` says, without ``mix``."""
-    names = [c for c in found.columns if c != "mix"]
-    return found.where("mix.copies > 0").withColumn(
-        "__copy", F.explode(F.sequence(F.lit(1), F.col("mix.copies")))).select(*[F.col(f"`{c}`") for c in names])
+    """As many copies of each row as its ``mix`` (the last column) says,
+    without that column."""
+    *names, mix = found.columns
+    copies = F.col(f"`{mix}`.copies")
+    return found.where(copies > 0).withColumn(
+        free_name(found, "copy"), F.explode(F.sequence(F.lit(1), copies))).select(*[F.col(f"`{c}`") for c in names])
 
 
 #: Domains of the labelled table, and their shares.
