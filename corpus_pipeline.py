@@ -8,9 +8,10 @@ of documents.
 * language_id: texts of no known language, and empty ones, go.
 * line_dedup: repeated lines go; ``n_chars`` follows the text. A text that
   loses all its lines stays, as an empty text.
-* near_dedup: of each group of near-duplicates the row with the smallest
-  doc_id stays. Rows with equal doc_id are one document; rows without a
-  doc_id are named by their text, after all others.
+* near_dedup: of each group of near-duplicates the document with the smallest
+  doc_id stays (of several with that id, the least text). A document is a
+  doc_id and a text: different texts with one id are different documents, rows
+  with both equal are one, and rows without an id come after all others.
 * mixing: a row stays as often as its rate says, copies next to each other.
 * tokens: the ids of each text, and a digest of the decoded bytes.
 """
@@ -27,7 +28,7 @@ from basketry.llm.queries import (LINE_BYTES, LINE_COPY_BYTES, LINE_EDITS, SIMHA
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = langid.identify_documents(docs, langid.fit(docs))
-    return found.where("language.accepted").select(*docs.columns)
+    return found.where(F.col(f"`{found.columns[-1]}`.accepted")).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,11 +37,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    unnamed = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-    named = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), unnamed))
-    found = simhash.near_duplicates(named, "__id", "text", SIMHASH_SHINGLE, SIMHASH_BITS)
-    first = found.where("id = component").select(F.col("id").alias("__id")).distinct()
-    return named.join(first, "__id", "left_semi").dropDuplicates(["__id"]).select(*docs.columns)
+    name = F.xxhash64("doc_id", "text"), F.xxhash64("text", F.lit(1), "doc_id")
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)])
+    # a document of equal ones, the same one each run
+    named = docs.select(name[0].alias("ka"), name[1].alias("kb"), F.col("doc_id").cast("long").alias("d"), "text",
+                        row.alias("row")).groupBy("ka", "kb", "d", "text").agg(F.min("row").alias("row"))
+    named = scratch(named.withColumn("id", F.monotonically_increasing_id()), "pipeline-documents")
+    found = simhash.near_duplicates(named.select("id", "text"), "id", "text", SIMHASH_SHINGLE, SIMHASH_BITS)
+    of = named.select("id", "d", "text", "ka", "kb").join(found.select("id", "component"), "id")
+    first = of.groupBy("component").agg(F.min_by("id", F.struct(F.col("d").isNull(), "d", "text", "ka", "kb")).alias("id"))
+    return named.join(first.select("id"), "id", "left_semi").select(
+        *[F.col(f"row.c{k}").alias(c) for k, c in enumerate(docs.columns)])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
