@@ -4,14 +4,18 @@ A text belongs to every domain with some probability: a classifier trained on
 the labelled table (multinomial word models, calibrated by a softmax
 regression on texts that they haven't seen) predicts domain posteriors for
 every text. The rates r >= 0 of the texts are to make the expected tokens of
-the domains, sum r * tokens * posterior, match the targets: nonnegative least
-squares, solved by projected gradient steps from r = 1. The gradient is
-taken in the metric of the texts' tokens and scaled by the inverse of the
-domains' Gram matrix, so that the first step is exact wherever no rate
-becomes negative; every step is one grouped sum over all texts, and only
-as many numbers as domains (squared, once) go to the driver. A text's rate
-follows from its own posterior and the steps' directions, so rates are never
-stored or joined.
+the domains, sum r * tokens * posterior, match the targets, and to stay as close
+to 1 as that allows (in the metric of the texts' tokens): nonnegative least
+squares by projected gradient steps with lazy projection. The steps add up to
+one vector, a number per domain; a text's rate is the projection of what they
+give it, max(0, 1 + posterior . vector), so rates are never stored or joined.
+The gradient of a step is how much each domain's expected tokens fall short,
+scaled by the inverse of the Gram matrix of the texts whose rates are positive;
+of several lengths (``LENGTHS``) the one with the lowest objective is taken. One
+pass of grouped sums over all texts measures all lengths at once, and only as
+many numbers as domains (squared, once per length) go to the driver. It ends
+when every domain is within ``TOLERANCE`` of its target; targets that no rates
+can meet end after ``PASSES`` with a warning that names what is missing.
 
 Training uses at most about ``MAX_LABELLED`` labelled texts (least hash of
 the id). ``copies`` turns rates into whole copies: the whole part of the rate,
@@ -28,6 +32,7 @@ equal copies; an empty table gives an empty result. Other columns stay.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,7 +45,8 @@ from . import textmodel
 from .common import blocks, free_name, scratch
 
 MAX_LABELLED = 6_000
-STEPS, TOLERANCE = 40, 1e-6
+TOLERANCE, PASSES = 1e-9, 60
+LENGTHS = (1.0, 0.5, 0.25, 0.125, 1 / 16, 1 / 256)
 
 
 @dataclass
@@ -133,42 +139,54 @@ def classify(df: DataFrame, model: Classifier, text_col: str = "text") -> DataFr
         F.struct("tokens", "posterior").alias(free_name(df, "mix")))
 
 
-def _rate(p: list[Column], steps: list[np.ndarray]) -> Column:
-    """The rate after the steps: r = max(0, r + posterior . direction)."""
-    start = F.lit(1.0)
-    if not steps:
-        return start
-    table = F.array(*[F.array(*[F.lit(float(v)) for v in u]) for u in steps])
-    return F.aggregate(table, start, lambda r, u: F.greatest(
-        F.lit(0.0), r + sum((p[i] * u[i] for i in range(1, len(p))), p[0] * u[0])))
+def _rate(p: list[Column], vector: np.ndarray) -> Column:
+    """The rate of a text with posterior ``p``: max(0, 1 + posterior . vector)."""
+    return F.greatest(F.lit(0.0), sum((x * float(v) for x, v in zip(p, vector)), F.lit(1.0)))
 
 
-def solve(mix: DataFrame, targets: list[float], budget: float = 1.0) -> list[np.ndarray]:
-    """Directions of the projected gradient steps for the rows (tokens,
-    posterior); ``targets`` are the domains' shares."""
+def solve(mix: DataFrame, targets: list[float], budget: float = 1.0) -> np.ndarray:
+    """The vector of the rates for the rows (tokens, posterior); ``targets``
+    are the domains' shares."""
     k = len(targets)
-    p = [F.col("posterior")[i] for i in range(k)]
-    gram = [F.sum(F.col("tokens") * p[i] * p[j]) for i in range(k) for j in range(i, k)]
-    first = mix.agg(F.sum("tokens").cast("double"), *gram).first()
-    total = first[0] or 0.0
+    p, vector = [F.col("posterior")[i] for i in range(k)], np.zeros(k)
+    total = mix.agg(F.sum("tokens").cast("double")).first()[0] or 0.0
     if not total:
-        return []
-    h = np.zeros((k, k))
-    h[np.triu_indices(k)] = first[1:]
-    h = (h + h.T - np.diag(np.diag(h))) / total
-    inverse = np.linalg.pinv(h, rcond=1e-9)
+        return vector
     goal = np.array(targets) / sum(targets) * budget
-    steps: list[np.ndarray] = []
-    while len(steps) < STEPS:
-        r = _rate(p, steps)
-        now = np.array(mix.select(r.alias("r"), "tokens", "posterior").agg(
-            *[F.sum(F.col("r") * F.col("tokens") * x) for x in p]).first(), float) / total
-        short = goal - now
-        short[np.diag(h) < 1e-12] = 0.0  # no text is of that domain
-        if np.abs(short).max() < TOLERANCE:
-            break
-        steps.append(inverse @ short)
-    return steps
+    upper = np.triu_indices(k)
+
+    def measured(vectors):
+        """(objective, shortfall, Gram matrix) of each vector, in one pass."""
+        rates = mix.select("tokens", "posterior", *[_rate(p, v).alias(f"r{i}") for i, v in enumerate(vectors)])
+        sums = []
+        for i in range(len(vectors)):
+            r, t = F.col(f"r{i}"), F.col("tokens")
+            sums += [F.sum(t * r * r), *[F.sum(t * r * x) for x in p],
+                     *[F.sum(F.when(r > 0, t * p[a] * p[b]).otherwise(0.0)) for a, b in zip(*upper)]]
+        got = np.array(rates.agg(*sums).first(), float).reshape(len(vectors), -1) / total
+        out = []
+        for v, row in zip(vectors, got):
+            gram = np.zeros((k, k))
+            gram[upper] = row[1 + k:]
+            out.append((row[0] / 2 - goal @ v, goal - row[1:1 + k], gram + gram.T - np.diag(np.diag(gram))))
+        return out
+
+    objective, short, gram = measured([vector])[0]
+    goal = np.where(np.diag(gram) < 1e-12, goal - short, goal)  # no text is of that domain
+    short = np.where(np.diag(gram) < 1e-12, 0.0, short)
+    best, least = vector, np.abs(short).max()
+    for _ in range(PASSES):
+        if least < TOLERANCE:
+            return best
+        step = np.linalg.pinv(gram, rcond=1e-12) @ short
+        vectors = [vector + x * step for x in LENGTHS]
+        found = measured(vectors)
+        i = min(range(len(found)), key=lambda j: found[j][0])
+        vector, (objective, short, gram) = vectors[i], found[i]
+        if np.abs(short).max() < least:
+            best, least = vector, np.abs(short).max()
+    warnings.warn(f"the targets can't be met: a domain is off by {least:.3g} of all tokens", stacklevel=2)
+    return best
 
 
 def mixed(df: DataFrame, model: Classifier, targets: dict[str, float], id_col: str = "doc_id",
@@ -179,9 +197,9 @@ def mixed(df: DataFrame, model: Classifier, targets: dict[str, float], id_col: s
     light = classify(df.select(F.col(f"`{text_col}`").alias("text")), model)
     light = scratch(light.select("mix.*"), "mix")
     goal = [targets[c] for c in model.words.classes]
-    steps = solve(light, goal, budget)
+    vector = solve(light, goal, budget)
     name, at = found.columns[-1], free_name(found, "rate")
-    rate = _rate([F.col(f"`{name}`.posterior")[i] for i in range(len(goal))], steps)
+    rate = _rate([F.col(f"`{name}`.posterior")[i] for i in range(len(goal))], vector)
     found = found.withColumn(at, rate)
     chance = F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.lit("mix")), F.lit(1 << 40)) / (1 << 40)
     return found.withColumn(name, F.struct(
