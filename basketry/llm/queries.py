@@ -117,7 +117,8 @@ def op6_suffix_index(spark, sf_dir):
     found = suffixindex.repeated(table(spark, sf_dir, "documents"), length=REPEAT_BYTES)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return found.select(F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
-                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+                        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 # ------------------------------------------------------------- 7 mixing
