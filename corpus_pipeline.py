@@ -9,9 +9,10 @@ of documents.
 * line_dedup: repeated lines go; ``n_chars`` follows the text. A text that
   loses all its lines stays, as an empty text.
 * near_dedup: of each group of near-duplicates the document with the smallest
-  doc_id stays (of several with that id, the least text). A document is a
-  doc_id and a text: different texts with one id are different documents, rows
+  doc_id stays (of several with that id, the same one each run). A document is
+  a doc_id and a text: different texts with one id are different documents, rows
   with both equal are one, and rows without an id come after all others.
+  Documents are told apart by 128 bits of hash, and linked by 64 of them.
 * mixing: a row stays as often as its rate says, copies next to each other.
   ``MIX_TARGETS`` are near what the texts are, with a larger budget, so that
   rates of clean texts are over 1 and they stay (the classifier gives ordinary
@@ -40,16 +41,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    name = F.xxhash64("doc_id", "text"), F.xxhash64("text", F.lit(1), "doc_id")
     row = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)])
-    # a document of equal ones, the same one each run
-    named = docs.select(name[0].alias("ka"), name[1].alias("kb"), F.col("doc_id").cast("long").alias("d"), "text",
-                        row.alias("row")).groupBy("ka", "kb", "d", "text").agg(F.min("row").alias("row"))
-    named = scratch(named.withColumn("id", F.monotonically_increasing_id()), "pipeline-documents")
-    found = simhash.near_duplicates(named.select("id", "text"), "id", "text", SIMHASH_SHINGLE, SIMHASH_BITS)
-    of = named.select("id", "d", "text", "ka", "kb").join(found.select("id", "component"), "id")
-    first = of.groupBy("component").agg(F.min_by("id", F.struct(F.col("d").isNull(), "d", "text", "ka", "kb")).alias("id"))
-    return named.join(first.select("id"), "id", "left_semi").select(
+    named = docs.select(F.xxhash64("doc_id", "text").alias("h"), F.xxhash64("text", F.lit(1), "doc_id").alias("g"),
+                        F.col("doc_id").cast("long").alias("d"), "text", row.alias("row"))
+    found = simhash.near_duplicates(named.select("h", "text"), "h", "text", SIMHASH_SHINGLE, SIMHASH_BITS)
+    names = named.select("h", "g", "d").distinct().join(
+        found.select(F.col("id").alias("h"), "component").distinct(), "h")
+    first = names.groupBy("component").agg(F.min(F.struct(F.col("d").isNull(), "d", "h", "g")).alias("m"))
+    kept = named.select("h", "g", "row").join(first.select("m.h", "m.g"), ["h", "g"], "left_semi")
+    return kept.groupBy("h", "g").agg(F.min("row").alias("row")).select(  # one of rows that are equal in id and text
         *[F.col(f"row.c{k}").alias(c) for k, c in enumerate(docs.columns)])
 
 
