@@ -15,26 +15,31 @@ block, ``length`` bytes or more. A suffix is ordered by the hash of its first
 matches from others needs.
 
 Logarithmic family. ``Index.add`` sorts a batch of texts into an array of
-(gram, block, places), hash partitioned and written to the shared folder,
-and merges it with the existing arrays of its own size and below: levels
-double, so a suffix is rewritten a logarithmic number of times. ``Index.scan``
-merges the remaining levels and finds in that one sorted order the grams that
-occur at several places. Blocks that occur several times are repeated as a
-whole. Grams that several different blocks share are ends of matches: one
-block of each kind is fetched, and equal windows are looked up among them,
-gram by gram in sorted order. A gram with more than ``GROUP_BYTES`` of
-different blocks is spread out instead into one row per window, which are
-counted by a grouped aggregation.
-
-Scale: what is kept per anchor is a few numbers; texts move once, by a hash of
-the row, for both fetching blocks and cutting texts (one reused exchange).
-Counts are combined before shuffles. Equality is that of 64-bit hashes of the
-gram and of the block or window.
+(gram, block, places), written to the shared folder, and scans it at once
+against every existing level by sort-merge joins on the gram: grams at several
+places of the batch, or of the batch and a level, are matches, and the entries
+of both sides that hold them are written down. Then levels of equal size merge:
+sizes double, so a suffix is rewritten a logarithmic number of times. Two
+places of a gram meet when the later of the two is added, so the matches
+written down are all there are (``Index.matches``).
+
+Blocks that occur several times are repeated as a whole. Grams that several
+different blocks share are ends of matches: one block of each kind is fetched,
+and equal windows are looked up among them, gram by gram in sorted order. A
+gram whose different blocks may hold more than ``GROUP_BYTES`` (a block has
+2 * length - gram bytes at most) goes another way, never by gram: one row per
+window, counted by a grouped aggregation.
+
+Scale: what is kept per anchor is a few numbers. Counts are combined before
+shuffles; a common gram is joined by semi-joins, which make no pairs and which
+adaptive execution splits. Equality is that of 64-bit hashes of the gram and of
+the block or window.
 
 Edge cases: null text counts as empty; texts shorter than ``length`` bytes
-keep every byte; rows that are equal in id and text repeat each other; null
-and repeated ids are fine; an empty table gives an empty result. Other columns
-play no part.
+keep every byte; texts over ``STRETCH`` bytes are read in stretches that
+overlap by ``length`` - 1 bytes, so every window is in one of them; rows that
+are equal in id and text repeat each other; null and repeated ids are fine; an
+empty table gives an empty result. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -46,18 +51,19 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import shared_dir
 from .common import RollingHash, blocks, scratch, text_buffer
 
 GRAM = 128
 #: Bytes of different blocks of one gram that a task compares at once.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 1 << 20
 #: Bytes of blocks of many grams that a task compares at once.
 TOGETHER_BYTES = 2 << 20
 #: Batches that ``repeated`` makes of a table.
 BATCHES = 4
+#: Longer texts are read in stretches of so many bytes.
+STRETCH = 32 << 20
 
 _PLACE_BITS = np.uint64(28)
 _PLACE = (np.uint64(1) << _PLACE_BITS) - np.uint64(1)
@@ -85,7 +91,7 @@ def anchors(data: np.ndarray, off: np.ndarray, length: int, gram: int):
     at = np.arange(len(data) - gram + 1)
     g = rh.at(at, at + gram)
     if len(g) > int(_PLACE):
-        raise ValueError("a text of 256 MB or more; cut it first")
+        raise ValueError("more than 256 MB of texts at once")
     least = _window_least((g & ~_PLACE) | at.astype(np.uint64), length - gram + 1)
     inside = np.zeros(len(least) + 1, np.int8)
     inside[off[long]] += 1
@@ -105,57 +111,77 @@ def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                      t.alias("text"))
 
 
-def suffixes(docs: DataFrame, length: int, gram: int) -> DataFrame:
+def suffixes(docs: DataFrame, length: int, gram: int, stretch: int = STRETCH) -> DataFrame:
     """(gram, block, ka, kb, at, more) of every anchor of keyed texts."""
+    step = max(stretch - length + 1, 1)  # windows that start in a stretch
+
     def run(batches):
         for b in blocks(batches, "text", 2 << 20):
-            text, g, k, at, more = anchors(*text_buffer(b.column(2)), length, gram)
-            if len(text):
-                ka, kb = (b.column(i).take(pa.array(text)) for i in (0, 1))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(g), pa.array(k), ka, kb, pa.array(at.astype(np.int32)),
-                     pa.array(more.astype(np.int32))], names=["gram", "block", "ka", "kb", "at", "more"])
+            data, off = text_buffer(b.column(2))
+            if b.num_rows == 1 and len(data) > stretch:
+                parts = [(data[i:i + step + length - 1], i) for i in range(0, len(data), step)]
+                read = [(*anchors(d, np.array([0, len(d)]), length, gram), i) for d, i in parts]
+            else:
+                read = [(*anchors(data, off, length, gram), 0)]
+            for text, g, k, at, more, begin in read:
+                if len(text):
+                    ka, kb = (b.column(i).take(pa.array(text)) for i in (0, 1))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(g), pa.array(k), ka, kb, pa.array((at + begin).astype(np.int32)),
+                         pa.array(more.astype(np.int32))], names=["gram", "block", "ka", "kb", "at", "more"])
 
     return docs.select("ka", "kb", "text").mapInArrow(
         run, "gram bigint, block bigint, ka bigint, kb bigint, at int, more int")
 
 
 class Index:
-    """A family of sorted arrays (gram, block, places), sizes doubling."""
+    """A family of sorted arrays (gram, block, places), sizes doubling, and
+    the matches that were found when its batches were added."""
 
-    def __init__(self, spark, length: int, gram: int = GRAM):
-        self.spark, self.length, self.gram = spark, length, gram
+    def __init__(self, spark, length: int, gram: int = GRAM, stretch: int = STRETCH):
+        self.spark, self.length, self.gram, self.stretch = spark, length, gram, stretch
         self.levels: list[tuple[int, str]] = []  # (batches in it, path), largest first
+        self.found: list[str] = []  # matches of each batch
+
+    def _read(self, paths: list[str]) -> DataFrame:
+        return self.spark.read.schema("gram bigint, block bigint, places bigint").parquet(*paths)
 
-    def _read(self, path: str) -> DataFrame:
-        return self.spark.read.schema("gram bigint, block bigint, places bigint").parquet(path)
+    def _write(self, rows: DataFrame, name: str) -> str:
+        path = shared_dir(self.spark, name)
+        rows.groupBy("gram", "block").agg(F.sum("places").alias("places")).sortWithinPartitions(
+            "gram", "block").write.parquet(path)
+        return path
 
     def add(self, docs: DataFrame) -> None:
-        """Index a batch of keyed texts: its array is merged with the levels
-        of its size and, when that fills the next size, with those too."""
-        new = suffixes(docs, self.length, self.gram).groupBy("gram", "block").agg(F.count("*").alias("places"))
-        size, below = 1, []
+        """Index a batch of keyed texts: scan its array against all levels,
+        write down the matches, and merge levels of equal size."""
+        new = self._write(suffixes(docs, self.length, self.gram, self.stretch).select(
+            "gram", "block", F.lit(1).cast("long").alias("places")), "suffix-level")
+        self.found.append(self._scan(new))
+        size, below = 1, [new]
         while self.levels and self.levels[-1][0] == size:
             below.append(self.levels.pop()[1])
             size *= 2
-        for path in below:
-            new = new.union(self._read(path))
-        if below:
-            new = new.groupBy("gram", "block").agg(F.sum("places").alias("places"))
-        path = shared_dir(self.spark, "suffix-level")
-        new.sortWithinPartitions("gram", "block").write.parquet(path)
-        self.levels.append((size, path))
-
-    def scan(self) -> DataFrame:
-        """(gram, block, places, blocks) of the grams at several places."""
-        merged = self._read(self.levels[0][1])
-        for _, path in self.levels[1:]:
-            merged = merged.union(self._read(path))
-        if len(self.levels) > 1:
-            merged = merged.groupBy("gram", "block").agg(F.sum("places").alias("places"))
-        kinds = merged.groupBy("gram").agg(F.count("*").alias("blocks"), F.sum("places").alias("all"))
-        kinds = kinds.where("all > 1").select(F.col("gram").alias("g"), "blocks")
-        return merged.join(kinds, F.col("gram") == F.col("g")).select("gram", "block", "places", "blocks")
+        self.levels.append((size, self._write(self._read(below), "suffix-level") if below[1:] else new))
+
+    def _scan(self, path: str) -> str:
+        """The entries, of the new array at ``path`` and of the levels, whose
+        gram is in the new array and at several places of all these."""
+        new = self._read([path])
+        grams = new.groupBy("gram").agg(F.sum("places").alias("n"))
+        shared, old = grams.where("n > 1").select("gram"), None
+        if self.levels:
+            old = self._read([p for _, p in self.levels]).join(grams.select("gram"), "gram", "left_semi")
+            shared = shared.union(old.select("gram")).distinct()
+        hits = new.join(shared, "gram", "left_semi")
+        return self._write(hits.union(old) if old is not None else hits, "suffix-matches")
+
+    def matches(self) -> DataFrame:
+        """(gram, block, whole, blocks) of the grams at several places:
+        whether the block is too, and how many different ones the gram has."""
+        seen = self._read(self.found).groupBy("gram", "block").agg((F.max("places") > 1).alias("whole"))
+        kinds = seen.groupBy(F.col("gram").alias("g")).agg(F.count("*").alias("blocks"))
+        return seen.join(kinds, F.col("gram") == F.col("g")).select("gram", "block", "whole", "blocks")
 
 
 def _fetched(rows: DataFrame, length: int) -> DataFrame:
@@ -188,9 +214,6 @@ def _windows(rows: pa.Table, length: int):
     return row, start, RollingHash(data).at(a, a + length)
 
 
-_SHARED = T.StructType([T.StructField(c, T.LongType()) for c in ("gram", "block", "first", "last", "window")])
-
-
 def _runs(gram, block, row, start) -> pa.RecordBatch:
     """Consecutive starts of a row as one (first, last)."""
     new = np.concatenate(([True], (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)))
@@ -198,11 +221,11 @@ def _runs(gram, block, row, start) -> pa.RecordBatch:
     last = np.concatenate((first[1:], [len(row)])) - 1
     r = row[first]
     return pa.RecordBatch.from_arrays(
-        [pa.array(gram[r]), pa.array(block[r]), pa.array(start[first]), pa.array(start[last]),
-         pa.nulls(len(r), pa.int64())], names=_SHARED.names)
+        [pa.array(gram[r]), pa.array(block[r]), pa.array(start[first]), pa.array(start[last])],
+        names=["gram", "block", "first", "last"])
 
 
-def _shared_windows(fetched: DataFrame, length: int, group_bytes: int) -> DataFrame:
+def _shared_windows(fetched: DataFrame, length: int) -> DataFrame:
     """(gram, block, first, last): runs of windows of blocks that are alone
     but share windows with other blocks of their gram."""
     def compare(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,82 +236,76 @@ def _shared_windows(fetched: DataFrame, length: int, group_bytes: int) -> DataFr
         if hit.any():
             yield _runs(np.asarray(rows.column("gram")), np.asarray(rows.column("block")), row[hit], start[hit])
 
-    def spread(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in blocks(held, "bytes", 1 << 20):
-            rows = pa.Table.from_batches([b])
-            row, start, w = _windows(rows, length)
-            alone = np.asarray(b.column(2).cast(pa.int8())).astype(np.int64)[row]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.asarray(b.column(0))[row]), pa.array(np.asarray(b.column(1))[row]), pa.array(start),
-                 pa.array(alone), pa.array(w.view(np.int64))], names=_SHARED.names)
-
     def run(batches):
-        done, group, group_n, done_n = [], [], 0, 0  # whole grams; the gram at hand
-        key, large = None, False
+        done, group, done_n, key = [], [], 0, None  # whole grams; the gram at hand
         for b in batches:
             if not b.num_rows:
                 continue
             g = np.asarray(b.column(0))
             cut = [0, *(np.flatnonzero(g[1:] != g[:-1]) + 1).tolist(), b.num_rows]
             for a, z in zip(cut, cut[1:]):
-                part = b.slice(a, z - a)
-                size = int(pc.sum(pc.binary_length(part.column(3))).as_py())
                 if key is not None and g[a] != key:
-                    if not large:
-                        done, done_n = done + group, done_n + group_n
-                    group, group_n, large = [], 0, False
+                    done, group = done + group, []
                     if done_n >= TOGETHER_BYTES:
                         yield from compare(done)
                         done, done_n = [], 0
+                part = b.slice(a, z - a)
                 key = g[a]
                 group.append(part)
-                group_n += size
-                if large or group_n > group_bytes:
-                    yield from spread(group)
-                    group, group_n, large = [], 0, True
-        if not large:
-            done += group
-        if done:
-            yield from compare(done)
-
-    # a row per run of windows, or per window of a large gram
-    found = scratch(fetched.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, _SHARED), "suffix-ends")
-    near = found.where("window IS NULL").select("gram", "block", "first", "last")
-    single = found.where("window IS NOT NULL").select("gram", "block", "first", F.col("last").alias("alone"), "window")
+                done_n += int(pc.sum(pc.binary_length(part.column(3))).as_py())
+        if done or group:
+            yield from compare(done + group)
+
+    return fetched.repartition("gram").sortWithinPartitions("gram").mapInArrow(
+        run, "gram bigint, block bigint, first bigint, last bigint")
+
+
+def _common_windows(fetched: DataFrame, length: int) -> DataFrame:
+    """The same for grams of very many blocks: a row per window, counted."""
+    def spread(batches):
+        for b in blocks(batches, "bytes", 1 << 20):
+            row, start, w = _windows(pa.Table.from_batches([b]), length)
+            take = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(take), b.column(1).take(take), pa.array(start), b.column(2).take(take),
+                 pa.array(w.view(np.int64))], names=["gram", "block", "first", "alone", "window"])
+
+    single = fetched.mapInArrow(spread, "gram bigint, block bigint, first bigint, alone boolean, window bigint")
     again = single.groupBy(F.col("window").alias("w")).agg(F.count("*").alias("n")).where("n > 1").select("w")
-    far = single.where("alone = 1").join(again, F.col("window") == F.col("w")).select(
+    return single.where("alone").join(again, F.col("window") == F.col("w")).select(
         "gram", "block", "first", F.col("first").alias("last"))
-    return near.union(far)
 
 
 def repeated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = GRAM,
-             batches: int = BATCHES, group_bytes: int = GROUP_BYTES) -> DataFrame:
+             batches: int = BATCHES, group_bytes: int = GROUP_BYTES, stretch: int = STRETCH) -> DataFrame:
     """(id, n_bytes, spans, kept) for every row of ``df``: ``spans`` the
     maximal runs (start, end) of repeated bytes, in order, ``kept`` the other
     bytes (binary: a cut may fall inside a character)."""
     if not 0 < gram <= length:
         raise ValueError("gram must be between 1 and length")
     docs = _keyed(df, id_col, text_col)
-    index = Index(df.sparkSession, length, gram)
+    index = Index(df.sparkSession, length, gram, stretch)
     for i in range(batches):
         index.add(docs.where(F.pmod(F.col("ka"), F.lit(batches)) == i))
-    hits = index.scan().select(F.col("gram").alias("g"), F.col("block").alias("k"), "places", "blocks")
-    at = suffixes(docs, length, gram).join(hits, (F.col("gram") == F.col("g")) & (F.col("block") == F.col("k")))
-    at = scratch(at.select("gram", "block", "ka", "kb", "at", "more", "places", "blocks"), "suffix-places")
+    hits = index.matches().select(F.col("gram").alias("g"), F.col("block").alias("k"), "whole", "blocks")
+    at = suffixes(docs, length, gram, stretch).join(hits, (F.col("gram") == F.col("g")) & (F.col("block") == F.col("k")))
+    at = scratch(at.select("gram", "block", "ka", "kb", "at", "more", "whole", "blocks"), "suffix-places")
 
     # one place of every block whose gram has several different blocks
-    place = F.struct("ka", "kb", "at", "more")
-    ends = at.where("blocks > 1").groupBy("gram", "block").agg(
-        F.min(place).alias("p"), F.first("places").alias("places"))
-    want = ends.select("p.ka", "p.kb", F.struct("gram", "block", "p.at", "p.more", (F.col("places") == 1).alias(
-        "alone")).alias("w")).groupBy("ka", "kb").agg(F.collect_list("w").alias("want"))
-    fetched = _fetched(docs.join(want, ["ka", "kb"]), length)
-    shared = _shared_windows(fetched, length, group_bytes).select(
-        F.col("gram").alias("g"), F.col("block").alias("k"), "first", "last")
-
-    whole = at.where("places > 1").select("ka", "kb", F.col("at").alias("start"),
+    def ends(some) -> DataFrame:
+        one = at.where("blocks > 1").where(some).groupBy("gram", "block").agg(
+            F.min(F.struct("ka", "kb", "at", "more", (~F.col("whole")).alias("alone"))).alias("p"))
+        want = one.select("p.ka", "p.kb", F.struct("gram", "block", "p.at", "p.more", "p.alone").alias("w")).groupBy(
+            "ka", "kb").agg(F.collect_list("w").alias("want"))
+        return _fetched(docs.join(want, ["ka", "kb"]), length)
+
+    many = F.col("blocks") * (2 * length - gram) > group_bytes
+    shared = scratch(_shared_windows(ends(~many), length).union(_common_windows(ends(many), length)),
+                     "suffix-ends").select(F.col("gram").alias("g"), F.col("block").alias("k"), "first", "last")
+
+    whole = at.where("whole").select("ka", "kb", F.col("at").alias("start"),
                                           (F.col("at") + F.col("more") + length).alias("end"))
-    parts = at.where("places = 1 AND blocks > 1").join(
+    parts = at.where("NOT whole AND blocks > 1").join(
         shared, (F.col("gram") == F.col("g")) & (F.col("block") == F.col("k"))).select(
         "ka", "kb", (F.col("at") + F.col("first")).cast("int").alias("start"),
         (F.col("at") + F.col("last") + length).cast("int").alias("end"))

@@ -45,6 +45,33 @@ def test_against_every_window(docs_of, seed, gram, batches, group):
     assert sorted(got(docs_of(texts), length=20, gram=gram, batches=batches, group_bytes=group)) == want
 
 
+def test_long_texts_in_stretches(docs_of):
+    texts = random_texts(6)
+    want = [(i, *w) for i, w in enumerate(plain(texts, 20))]
+    for stretch in (20, 27, 64):
+        assert sorted(got(docs_of(texts), length=20, gram=8, stretch=stretch)) == want
+
+
+def test_matches_are_found_when_a_batch_is_added(docs_of, spark):
+    same, ends = "abcdefghijklmnopqrstuvwxyz0123", "KLMNOPQRSTUVWXYZ"
+    batches = [[same, "1" + ends + "98"], ["no match in this one, none"], [same + "!"], ["3" + ends + "54"], ["nothing new"]]
+    index, seen = suffixindex.Index(spark, 16, 8), []
+    for texts in batches:
+        index.add(suffixindex._keyed(docs_of(texts, extra=False), "doc_id", "text"))
+        seen.append(spark.read.parquet(index.found[-1]).collect())
+    assert [bool(s) for s in seen] == [False, False, True, True, False]
+    # what the batch and the levels share, of both sides, with the places in all of them
+    plain_rows = spark.read.parquet(*[p for _, p in index.levels]).collect()
+    total = Counter()
+    for r in plain_rows:
+        total[r.gram, r.block] += r.places
+    grams = Counter()
+    for (g, _), n in total.items():
+        grams[g] += n
+    assert {(r.gram, r.block, r.whole) for r in index.matches().collect()} == {
+        (g, b, n > 1) for (g, b), n in total.items() if grams[g] > 1}
+
+
 def test_null_and_repeated_ids(docs_of):
     t = [(None, "abcdefghij" * 3, None, None, None), (5, "klmnopqrst", None, None, None),
          (5, "klmnopqrst", None, None, None), (5, "other text", None, None, None), (None, None, None, None, None)]
