@@ -1,21 +1,28 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words are mapped to classes: insult and threat (a lexicon of words and word
-stems, learned from labelled texts, and a few fixed threat words), target,
-negation, reporting word, other. Small transducers over the classes are
-composed into one deterministic machine that reads a clause:
-
+Five weighted transducers read the words of a clause, each the output of the
+one before; each rewrites the words it knows and passes on all others. Their
+composition is one machine, whose arcs are made as they are first reached:
+
+* insult: an entry of a lexicon of words and word stems, learned from labelled
+  texts, is written as an insult, by the entry's weight; more after a word of
+  emphasis;
+* threat: a threat word, or a fixed phrase of several words, is written as a
+  threat, by its weight;
 * negation: an insult or threat up to ``SCOPE`` words after a negation is
   written as a negated one;
-* reported speech: after a reporting word or an opening quote it is written as
-  a reported one, up to the end of the clause;
-* target: remembers whether the clause names a target.
-
-What the machine writes selects the weight of a hit: weight of the lexicon
-entry times that of its reading (plain, negated or reported; insult or threat;
-with a target or not). The readings' weights and the bias are a logistic
-regression on the labelled texts, so the score is the chance of label 1 given
-all matched clauses. Clauses without a hit are not read word by word.
+* reported speech: after a reporting word (to the end of the clause) or an
+  opening quote (to the closing one) it is written as a reported one;
+* target: weighs what is left by its reading (plain, negated or reported;
+  insult or threat) and by whether the clause names a target. As that may come
+  later, the machine starts with either guess; the path whose guess holds is
+  accepted.
+
+The weight of an arc of the composition is the product of the arcs it is made
+of, and a text's score comes from the sum over its clauses' paths, of which one
+reading counts up to ``CAP`` units. The readings' weights and the bias are a
+logistic regression on the labelled texts, so the score is the chance of label 1
+given all matched clauses. Clauses without a hit are not read word by word.
 
 Fitting uses at most about ``MAX_LABELLED`` labelled texts, the same ones every
 time (those with the least hash of the id); lexicon counts come from a grouped
@@ -26,15 +33,15 @@ Edge cases: null text counts as empty, and a text without hits has the score
 of the bias alone; labels that are null are ignored, of several labels of an
 id the greatest holds; without labels (or without labels of both kinds)
 the lexicon is empty and the readings keep their fixed weights; an empty table
-gives an empty result. Other columns play no part.
+gives an empty result. Very long texts are read clause by clause, as a whole.
+Other columns play no part.
 """
 
 from __future__ import annotations
 
-import functools
 import re
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +56,14 @@ LEXICON = 5_000
 PRECISION, EVIDENCE = 0.8, 20.0
 STEMS = range(3, 9)
 SCOPE = 4
+#: An insult counts so much more after a word of emphasis.
+EMPHASIS = 1.25
+#: Weight of a fixed threat word or phrase.
+THREAT_WEIGHT = 3.0
+#: More weight than this in one reading says no more.
+CAP = 20.0
 
-INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "ITYNRO"
+INSULT, THREAT, TARGET, NEGATION, REPORT, STRONG, OPEN, CLOSE = "ITYNRS“”"
 #: Readings that the composed machine writes: of insults, then of threats.
 READINGS = ("I", "i", "r", "T", "t", "q")
 _PRIOR = dict(zip(READINGS, (1.0, 0.2, 0.3, 1.0, 0.2, 0.3)))
@@ -61,76 +74,129 @@ WORDS = {
     TARGET: "you your yours he she they them him her du dich dir ihr euch tu toi vous ils elles usted vosotros ellos",
     NEGATION: "not never no nor without nicht nie kein keine ohne ne pas jamais sans nunca sin",
     REPORT: "said says say told called calls wrote writes quoted claimed sagte sagt nannte schrieb dit écrit disait "
-            "appelé dijo dice llamó escribió \" “ „ «",
+            "appelé dijo dice llamó escribió",
+    STRONG: "utter complete total absolute totaler völliger kompletter parfait sacré completo maldito",
+    OPEN: "“ „ «",
+    CLOSE: "” » “",
 }
-_CLASS = {w: c for c, ws in WORDS.items() for w in ws.split()}
+PHRASES = ("watch your back", "make you pay", "you will regret this", "pass bloß auf", "tu vas le payer",
+           "te vas a arrepentir")
+_KNOWN = {w for ws in WORDS.values() for w in ws.split()} | {w for ph in PHRASES for w in ph.split()}
 _END = re.compile(r"[.!?;,:\n()]")
-_TOKEN = re.compile(r"\w+|[\"“„«]")
+_TOKEN = re.compile(r"\w+|[“”„«»]")
+_OPENING = re.compile(r"\"(?=\w)")
 
 
 # ---------------------------------------------------------- transducers
-@dataclass
 class Transducer:
-    """Deterministic: (state, symbol in) -> (symbol out, next state)."""
-    arcs: dict = field(default_factory=dict)
-    start: object = 0
-
-    def compose(self, other: Transducer) -> Transducer:
-        """What ``other`` makes of the output of this one; states are pairs,
-        made as they are reached."""
-        out, todo = Transducer({}, (self.start, other.start)), [(self.start, other.start)]
-        symbols, seen = {s for _, s in self.arcs}, {(self.start, other.start)}
-        while todo:
-            here = todo.pop()
-            for s in symbols:
-                if (here[0], s) not in self.arcs:
-                    continue
-                mid, a = self.arcs[here[0], s]
-                done, b = other.arcs[here[1], mid]
-                out.arcs[here, s] = done, (a, b)
-                if (a, b) not in seen:
-                    seen.add((a, b))
-                    todo.append((a, b))
-        return out
+    """Deterministic and weighted: (state, word in) -> (word out, weight, next
+    state). A word without an arc is passed on by weight 1, to the state that
+    ``otherwise`` gives (else the same)."""
 
-    def run(self, symbols):
-        state, out = self.start, []
-        for s in symbols:
-            o, state = self.arcs[state, s]
-            out.append(o)
-        return out
+    def __init__(self):
+        self.arcs: dict = {}
+        self.otherwise: dict = {}
+
+    def step(self, state, word):
+        return self.arcs.get((state, word)) or (word, 1.0, self.otherwise.get(state, state))
+
+    def compose(self, other):
+        return Composed(self, other)
+
+
+class Composed(Transducer):
+    """What ``second`` makes of the output of ``first``: states are pairs,
+    weights multiply, and arcs are kept once they have been reached."""
+
+    def __init__(self, first: Transducer, second: Transducer):
+        super().__init__()
+        self.first, self.second = first, second
+
+    def step(self, state, word):
+        arc = self.arcs.get((state, word))
+        if arc is None:
+            mid, u, a = self.first.step(state[0], word)
+            out, v, b = self.second.step(state[1], mid)
+            arc = self.arcs[state, word] = out, u * v, (a, b)
+        return arc
+
+
+def insult(entries: dict) -> Transducer:
+    t = Transducer()
+    for strong in (0, 1):
+        for e, w in entries.items():
+            t.arcs[strong, e] = INSULT, w * (EMPHASIS if strong else 1.0), 0
+        for w in WORDS[STRONG].split():
+            t.arcs[strong, w] = "", 1.0, 1
+    t.otherwise[1] = 0
+    return t
+
+
+def threat(words: dict, phrases=PHRASES) -> Transducer:
+    """States are the beginnings of phrases that the last words make."""
+    t, whole = Transducer(), {tuple(p.split()) for p in phrases}
+    begun = {p[:n] for p in whole for n in range(len(p))}
+    for state in begun | {()}:
+        for w in {w for p in whole for w in p}:
+            ends = [(*state, w)[k:] for k in range(len(state) + 1)]
+            if any(e in whole for e in ends):
+                t.arcs[state, w] = THREAT, THREAT_WEIGHT, ()
+            else:
+                t.arcs[state, w] = w, 1.0, next((e for e in ends if e in begun), ())
+        for w, weight in words.items():
+            t.arcs[state, w] = THREAT, weight, ()
+        t.otherwise[state] = ()
+    return t
 
 
 def negation(scope: int = SCOPE) -> Transducer:
     t = Transducer()
     for left in range(scope + 1):  # words that a negation still reaches
-        for s in "ITYNRO":
-            t.arcs[left, s] = s.lower() if left and s in (INSULT, THREAT) else s, max(left - 1, 0)
-        t.arcs[left, NEGATION] = OTHER, scope
+        t.otherwise[left] = max(left - 1, 0)
+        if left:
+            t.arcs[left, INSULT], t.arcs[left, THREAT] = ("i", 1.0, left - 1), ("t", 1.0, left - 1)
+        for w in WORDS[NEGATION].split():
+            t.arcs[left, w] = "", 1.0, scope
     return t
 
 
 def reported() -> Transducer:
     t = Transducer()
-    for said in (0, 1):
-        for s in "ITYROit":
-            t.arcs[said, s] = {"I": "r", "i": "r", "T": "q", "t": "q"}.get(s, s) if said else s, said
-        t.arcs[said, REPORT] = OTHER, 1
+    for said in (0, 1, 2):  # not, after a reporting word, inside quotes
+        for w in WORDS[REPORT].split():
+            t.arcs[said, w] = "", 1.0, max(said, 1)
+        for w in (WORDS[CLOSE] if said == 2 else WORDS[OPEN]).split():
+            t.arcs[said, w] = "", 1.0, 0 if said == 2 else 2
+        if said:
+            for w, out in (("I", "r"), ("i", "r"), ("T", "q"), ("t", "q")):
+                t.arcs[said, w] = out, 1.0, said
     return t
 
 
-def target() -> Transducer:
-    """Writes what it reads; its state is whether a target was named."""
+def target(weights: np.ndarray) -> Transducer:
+    """States (guess, named); a path holds if it ends with both equal."""
     t = Transducer()
-    for named in (0, 1):
-        for s in "ITYOitrq":
-            t.arcs[named, s] = s, int(named or s == TARGET)
+    for guess in (0, 1):
+        for named in (0, 1):
+            for w in WORDS[TARGET].split():
+                t.arcs[(guess, named), w] = "", 1.0, (guess, 1)
+            for k, r in enumerate(READINGS):
+                t.arcs[(guess, named), r] = r, float(weights[2 * k + guess]), (guess, named)
     return t
 
 
-@functools.lru_cache(maxsize=1)
-def grammar() -> Transducer:
-    return negation().compose(reported()).compose(target())
+def read(machine: Composed, words: list) -> tuple[int, list]:
+    """(whether a target is named, [(reading, weight)]) of a clause: the path
+    whose guess holds."""
+    for guess in (0, 1):
+        state, said = (((((0, ()), 0), 0)), (guess, 0)), []
+        for w in words:
+            out, weight, state = machine.step(state, w)
+            if out in READINGS:
+                said.append((out, weight))
+        if state[1] == (guess, guess):
+            break
+    return guess, said
 
 
 # ---------------------------------------------------------------- model
@@ -144,29 +210,34 @@ class Model:
 
 
 class Matcher:
-    """Finds the clauses of a text that hold a hit and reads them."""
+    """Finds the clauses of a text that hold a hit and reads them by the
+    grammar with these weights of the readings (default: the model's)."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, weights: np.ndarray | None = None):
         import ahocorasick
         self.model = model
+        self.weights = model.weights if weights is None else weights
+        self.entries = {**{(w, True): x for w, x in model.words.items()}, **{(s, False): x for s, x in model.stems.items()}}
+        self.machine = insult(self.entries).compose(threat(model.threats)).compose(negation()).compose(
+            reported()).compose(target(self.weights))
         self.find = ahocorasick.Automaton()
-        for e in {*model.stems, *model.words, *model.threats}:
+        for e in {*model.stems, *model.words, *model.threats, *(PHRASES if model.threats else ())}:
             self.find.add_word(e, (len(e), e not in model.stems))  # a stem, even if it is a word too
         if len(self.find):
             self.find.make_automaton()
         self.sizes = sorted({len(s) for s in model.stems})
 
-    def _hit(self, word: str):
-        m = self.model
-        if word in m.threats:
-            return THREAT, m.threats[word]
-        best = m.words.get(word, 0.0)
-        for n in self.sizes:
-            best = max(best, m.stems.get(word[:n], 0.0) if n <= len(word) else 0.0)
-        return (INSULT, best) if best else None
+    def _symbol(self, word: str):
+        """What the machine reads for a word: itself if it is a threat, else
+        its heaviest lexicon entry, else itself if any transducer knows it."""
+        if word in self.model.threats:
+            return word
+        found = [e for e in ((word, True), *((word[:n], False) for n in self.sizes if n <= len(word)))
+                 if e in self.entries]
+        return max(found, key=self.entries.get) if found else word if word in _KNOWN else ""
 
     def features(self, text: str | None) -> np.ndarray:
-        """Sum of the lexicon weights by reading, without and with a target;
+        """Sum of the paths' weights by reading, without and with a target;
         the last is the number of matched clauses."""
         out = np.zeros(2 * len(READINGS) + 1)
         if not text or not len(self.find):
@@ -180,29 +251,18 @@ class Matcher:
             start = max(start, done, 0)
             stop = _END.search(low, end + 1)
             done = stop.start() if stop else len(low)
-            tokens = _TOKEN.findall(low, start, done)
-            hits = [self._hit(w) for w in tokens]
-            marks = grammar()
-            state, said = marks.start, []
-            for w, h in zip(tokens, hits):
-                o, state = marks.arcs[state, h[0] if h else _CLASS.get(w, OTHER)]
-                if h:
-                    said.append((o, h[1]))
-            named = state[1]  # the target transducer's state
-            for o, weight in said:
-                out[2 * READINGS.index(o) + named] += weight
+            clause = _OPENING.sub(OPEN, low[start:done]).replace('"', CLOSE)
+            named, said = read(self.machine, [self._symbol(w) for w in _TOKEN.findall(clause)])
+            for reading, weight in said:
+                out[2 * READINGS.index(reading) + named] += weight
             out[-1] += bool(said)
         return out
 
     def score(self, features: np.ndarray) -> float:
-        x = self.model.bias + float(np.minimum(features[:-1], CAP) @ self.model.weights)
+        x = self.model.bias + float(np.minimum(features[:-1], CAP * self.weights).sum())
         return 1 / (1 + np.exp(-min(max(x, -30.0), 30.0)))
 
 
-#: More weight than this in one reading says no more.
-CAP = 20.0
-
-
 def _is_word(c: str) -> bool:
     return c.isalnum() or c == "_"
 
@@ -255,7 +315,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         F.col(f"`{text_col}`").alias("text"), "label")
     size = {r.label: r.n for r in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
     toxic, clean = sum(n for k, n in size.items() if k), size.get(0, 0)
-    empty = Model({}, {}, {w: 3.0 for w in WORDS[THREAT].split()},
+    empty = Model({}, {}, {w: THREAT_WEIGHT for w in WORDS[THREAT].split()},
                   np.repeat([_PRIOR[r] for r in READINGS], 2) * np.tile([1.0, 1.5], len(READINGS)),
                   float(np.log((toxic + 0.5) / (clean + 0.5))) if toxic + clean else -3.0)
     if not toxic or not clean:
@@ -286,7 +346,7 @@ def _shorter(stems: dict, entry: str) -> float:
 
 def _training_rows(texts: DataFrame, model: Model):
     def run(batches):
-        m = Matcher(model)
+        m = Matcher(model, np.ones(2 * len(READINGS)))
         for b in batches:
             rows = [m.features(t)[:-1].tolist() for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), b.column(1)],

@@ -12,26 +12,68 @@ MODEL = toxicity.Model({"idio": 4.0}, {"scum": 5.0}, {"kill": 3.0}, PRIOR, -3.0)
 READ = {(r, y): 2 * i + y for i, r in enumerate(toxicity.READINGS) for y in (0, 1)}
 
 
-def read_plainly(symbols, scope=toxicity.SCOPE):
-    """What the composed machine should write, by the words of the docstring."""
-    out, left, said = [], 0, False
-    for s in symbols:
-        o = s
-        if s in "IT":
-            o = s.lower() if left else s
-            if said:
-                o = "r" if s == "I" else "q"
-        left = scope if s == "N" else max(left - 1, 0)
-        said = said or s == "R"
-        out.append("O" if s in "NR" else o)
+def read_plainly(words, scope=toxicity.SCOPE):
+    """{(reading, named): weight} of a clause, by the words of the docstring."""
+    lists = {k: v.split() for k, v in toxicity.WORDS.items()}
+    hits = []
+    for k, w in enumerate(words):
+        if w == "kill":
+            hits.append((k, "T", 3.0))
+        elif w.startswith("idio") or w == "scum":
+            strong = k and words[k - 1] in lists[toxicity.STRONG]
+            hits.append((k, "I", (4.0 if w != "scum" else 5.0) * (1.25 if strong else 1.0)))
+        elif any(words[max(k + 1 - len(p), 0):k + 1] == p for p in map(str.split, toxicity.PHRASES)):
+            hits.append((k, "T", 3.0))
+    named = int(any(w in lists[toxicity.TARGET] for w in words))
+    out = {}
+    for k, kind, weight in hits:
+        quote = said = False
+        for w in words[:k]:
+            if quote and w in lists[toxicity.CLOSE]:
+                quote = said = False
+            elif w in lists[toxicity.OPEN]:
+                quote = True
+            said = said or w in lists[toxicity.REPORT]
+        negated = any(w in lists[toxicity.NEGATION] for w in words[max(k - scope, 0):k])
+        r = {"I": "r", "T": "q"}[kind] if quote or said else kind.lower() if negated else kind
+        out[r, named] = out.get((r, named), 0.0) + weight
+    return out
+
+
+ALPHABET = ["idiotic", "scum", "kill", "you", "not", "said", "total", "fine", "“", "”", "watch", "your", "back"]
+
+
+def vector(found):
+    out = np.zeros(len(PRIOR))
+    for k, v in found.items():
+        out[READ[k]] = v
     return out
 
 
 def test_composed_machine():
-    g = toxicity.grammar()
-    for n in range(5):
-        for symbols in itertools.product("ITYNRO", repeat=n):
-            assert g.run(symbols) == read_plainly(symbols)
+    units, m = toxicity.Matcher(MODEL, np.ones(len(PRIOR))), toxicity.Matcher(MODEL)
+    rnd = __import__("random").Random(3)
+    clauses = [list(c) for n in range(4) for c in itertools.product(ALPHABET, repeat=n)]
+    clauses += [rnd.choices(ALPHABET, k=rnd.randrange(4, 12)) for _ in range(3000)]
+    for words in clauses:
+        want = vector(read_plainly(words))
+        assert units.features(" ".join(words))[:-1].tolist() == want.tolist(), words
+        assert np.allclose(m.features(" ".join(words))[:-1], want * PRIOR)
+
+
+def test_scores_against_a_plain_scorer(docs_of):
+    """Whole texts: clauses, readings, weights, the cap, the chance."""
+    rnd = __import__("random").Random(5)
+    texts = ["".join(rnd.choice(ALPHABET + ["plain"]) + rnd.choice([" ", " ", " ", ". ", ", ", "\n"])
+                     for _ in range(rnd.choice([3, 10, 40, 400]))) for _ in range(150)] + ["", None]
+    want = []
+    for t in texts:
+        f = np.zeros(len(PRIOR))
+        for clause in __import__("re").split(r"[.!?;,:\n()]", t or ""):
+            f += vector(read_plainly(clause.split()))
+        want.append(1 / (1 + np.exp(3 - np.clip(f, 0, toxicity.CAP) @ PRIOR)))
+    got = [r.score for r in toxicity.score(docs_of(texts), MODEL).orderBy("doc_id").collect()]
+    assert np.allclose(got, want)
 
 
 @pytest.mark.parametrize("text,want", [
@@ -43,10 +85,15 @@ def test_composed_machine():
     ("they wrote \"I will kill\" there", {("q", 1): 3.0}),
     ("SCUM and scumble, myscum", {("I", 0): 5.0}),
     ("kill\nidiot idiot", {("T", 0): 3.0, ("I", 0): 8.0}),
+    ("\"Fine\" he wrote of the idiot", {("r", 1): 4.0}),
+    ("the \"fine\" idiot", {("I", 0): 4.0}),
+    ("he „mag“ idiots", {("I", 1): 4.0}),
+    ("a total idiot", {("I", 0): 5.0}),
+    ("better watch your back", {("T", 1): 3.0}),
     ("", {}), (None, {}), (" . ,", {}),
 ])
 def test_clauses(text, want):
-    f = toxicity.Matcher(MODEL).features(text)
+    f = toxicity.Matcher(MODEL, np.ones(len(PRIOR))).features(text)
     got = np.zeros(len(f) - 1)
     for k, v in want.items():
         got[READ[k]] = v
