@@ -17,8 +17,13 @@ its own cell and to those one step up in a coordinate, so that two cells one
 step apart meet in the higher one. What meets is verified on all 64 bits.
 Within a cell a search from fingerprint to fingerprint emits a spanning
 forest of the verified links, not all pairs, so a large group of near copies
-costs as many rows as it has members; a cell with more than ``CELL`` members
-is cut into blocks, and every pair of blocks is a unit of its own.
+costs as many rows as it has members. A cell that a sample of the fingerprints
+shows to have more than ``CELL`` members is laid out anew: its members are within
+``bits`` in their other segments too, so these are cut into parts and get cells in
+the same way, which deals one crowded cell over many tasks. The sample decides
+the layout only; any choice of cells gives all links. A cell that has more than
+``CELL`` members after that is cut into blocks, and every pair of blocks is a
+unit of its own.
 
 Edge cases: null text counts as empty; texts without words share fingerprint
 zero and are linked like others; repeated rows share a component; a null id
@@ -42,6 +47,8 @@ from .components import components
 SEED = 42
 #: Members of a grid cell that one unit of work compares with each other.
 CELL = 16384
+#: One of how many fingerprints the search for crowded cells looks at.
+SAMPLE = 64
 #: Bytes of a text whose words are split at once.
 SPLIT_BYTES = 1 << 20
 
@@ -110,19 +117,49 @@ def hex16(fp: Column | str) -> Column:
 
 
 # ------------------------------------------------------------- linking
-def _cells(fps: DataFrame, bits: int) -> DataFrame:
-    """(cell, up, fp): a fingerprint's own grid cell in every part, and the
-    cells one step up."""
-    parts = bits // 2 + 1
-    edges = [round(32 * p / parts) for p in range(parts + 1)]  # in 2-bit segments
-    fp = F.col("fp")
+def _parts(bits: int, segments: int) -> list[tuple[int, int]]:
+    """(lowest bit, width) of the parts that ``segments`` 2-bit segments are cut
+    into, so that two fingerprints within ``bits`` are within 1 in one part."""
+    parts = min(bits // 2 + 1, segments)
+    edges = [round(segments * p / parts) for p in range(parts + 1)]
+    return [(2 * a, 2 * (z - a)) for a, z in zip(edges, edges[1:])]
+
+
+def _popcounts(fp: Column) -> Column:
+    """The popcount of each 2-bit segment, in its place."""
     odd = F.lit(0x5555555555555555)
     next_bit = F.shiftrightunsigned(fp, 1)
     one = fp.bitwiseXOR(next_bit).bitwiseAND(odd)
     both = F.shiftleft(fp.bitwiseAND(next_bit).bitwiseAND(odd), 1)
-    pairs = one.bitwiseOR(both)  # the popcount of each 2-bit segment, in its place
-    each = [_cells_of_part(p, pairs, 2 * edges[p], 2 * (edges[p + 1] - edges[p])) for p in range(parts)]
-    return fps.select(F.explode(F.concat(*each)).alias("c"), "fp").select("c.cell", "c.up", "fp")
+    return one.bitwiseOR(both)
+
+
+def _cells(fps: DataFrame, bits: int) -> DataFrame:
+    """(cell, up, part, fp): a fingerprint's own grid cell in every part, and the
+    cells one step up."""
+    pairs = _popcounts(F.col("fp"))
+    each = [_cells_of_part(p, pairs, lo, width) for p, (lo, width) in enumerate(_parts(bits, 32))]
+    return fps.select(F.explode(F.concat(*each)).alias("c"), "fp").select("c.cell", "c.up", "c.part", "fp")
+
+
+def _spread(fps: DataFrame, bits: int, cell: int, sample: int) -> DataFrame:
+    """(cell, up, fp): ``_cells``, with the cells that have over ``cell``
+    members by a sample divided by the popcounts of their other segments."""
+    cells, parts = _cells(fps, bits), _parts(bits, 32)
+    if len(parts) == 1:  # no other segments
+        return cells.select("cell", "up", "fp")
+    seen = _cells(fps.where(F.pmod(F.xxhash64("fp"), F.lit(sample)) == 0), bits).groupBy("cell").count()
+    crowded = scratch(seen.where(F.col("count") * sample > cell).select(F.col("cell").alias("crowded")),
+                      "simhash-crowded")
+    rest = cells.join(crowded, F.col("cell") == F.col("crowded"), "left_anti").select("cell", "up", "fp")
+    pairs = _popcounts(F.col("fp"))
+    finer = F.lit(None)
+    for p, (lo, width) in enumerate(parts):
+        others = F.shiftrightunsigned(pairs, lo + width).bitwiseOR(F.shiftleft(pairs, 64 - lo - width))  # part p on top
+        each = [_cells_of_part(q, others, *part) for q, part in enumerate(_parts(bits, 32 - width // 2))]
+        finer = F.when(F.col("part") == p, F.concat(*each)).otherwise(finer)
+    dealt = cells.join(crowded, F.col("cell") == F.col("crowded")).select("cell", "fp", F.explode(finer).alias("c"))
+    return rest.union(dealt.select(F.xxhash64("cell", "c.part", "c.cell").alias("cell"), "c.up", "fp"))
 
 
 def _cells_of_part(part: int, pairs: Column, lo: int, width: int) -> Column:
@@ -139,7 +176,7 @@ def _cells_of_part(part: int, pairs: Column, lo: int, width: int) -> Column:
             vector.bitwiseXOR(s.bitwiseOR(F.shiftleft(s, 1))))
 
     def cell(c, i):
-        return F.struct(F.xxhash64(F.lit(part), c).alias("cell"), (i > 0).alias("up"))
+        return F.struct(F.xxhash64(F.lit(part), c).alias("cell"), (i > 0).alias("up"), F.lit(part).alias("part"))
 
     return F.transform(F.concat(F.array(vector), F.transform(F.filter(steps, can_grow), grown)), cell)
 
@@ -228,11 +265,11 @@ def _forests(k: np.ndarray, v: np.ndarray, bits: int, small: int = 12):
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
-def near_links(fps: DataFrame, bits: int = 3, cell: int = CELL) -> DataFrame:
+def near_links(fps: DataFrame, bits: int = 3, cell: int = CELL, sample: int = SAMPLE) -> DataFrame:
     """(a, b): links between distinct fingerprints of column ``fp`` (bigint,
     distinct) that differ in at most ``bits`` bits; enough of them to connect
     what is linked."""
-    cells = _cells(fps, bits).repartition("cell").sortWithinPartitions("cell", "up")
+    cells = _spread(fps, bits, cell, sample).repartition("cell").sortWithinPartitions("cell", "up")
 
     def in_cells(batches):
         for key, rows, block in _groups(batches, cell):
