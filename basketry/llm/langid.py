@@ -13,10 +13,13 @@ The posterior of a language is the product of
   (each with a weight of ``SMOOTH`` texts). A text's own reading is left out
   of its host's.
 
-The languages are those of all labelled texts (the ``MAX_LANGUAGES`` with most
-texts, if there are more). Each one's model comes from about
+The languages are those of all labelled texts. Each one's model comes from about
 ``MAX_LABELLED`` of its texts at most (least hashes of the id, one at least), so
-a language has a model however rare it is; declarations and hosts are grouped aggregations
+a language has a model however rare it is. If there are more than
+``MAX_LANGUAGES``, those after the ones with most texts share a model, made in
+the same way of 10 times as many of their texts; a text that reads as one of them
+has the language that it declares, or "mis" if it declares none, and is
+accepted like any other. Declarations and hosts are grouped aggregations
 over everything that is identified. Texts are never shuffled by
 key unless the host table outgrows a broadcast, and then a frequent host can
 be split, as a host has one row on the other side.
@@ -40,7 +43,7 @@ from . import textmodel
 from .common import blocks, free_name, scratch
 from .urlfilter import host_of
 
-#: Texts that a language's model is made of, and languages, at most.
+#: Texts that a language's model is made of, and languages with one of their own, at most.
 MAX_LABELLED, MAX_LANGUAGES = 1_000, 200
 _HASHES = 1 << 30
 EVIDENCE = 60
@@ -49,6 +52,8 @@ SMOOTH = 20.0
 #: texts a text of no known language is taken to be.
 MARGIN = 2.5
 UND = "und"
+#: The languages that share a model.
+MIS = "mis"
 #: Posterior that a language needs.
 CONFIDENCE = 0.5
 
@@ -57,6 +62,7 @@ CONFIDENCE = 0.5
 class Model:
     text: textmodel.TextModel
     und: float  # mean log likelihood of a 3-gram of no language
+    shared: bool = False  # the last language of ``text`` is ``MIS``
 
     @property
     def classes(self) -> list:
@@ -64,20 +70,26 @@ class Model:
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        most: int = MAX_LABELLED) -> Model:
+        most: int = MAX_LABELLED, languages: int = MAX_LANGUAGES) -> Model:
     """Text models of the languages in ``lang_col``, of about ``most`` texts each."""
     known = df.where(F.col(f"`{lang_col}`").isNotNull()).select(
         F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(_HASHES)).alias("hash"), F.col(f"`{text_col}`").alias("text"),
         F.col(f"`{lang_col}`").alias("lang"))
-    found = sorted(known.groupBy("lang").agg(F.count("*").alias("n"), F.min("hash").alias("least")).orderBy(
-        F.desc("n"), "lang").limit(MAX_LANGUAGES).collect(), key=lambda r: r.lang)
+    every = known.groupBy("lang").agg(F.count("*").alias("n"), F.min("hash").alias("least"))
+    found = every.orderBy(F.desc("n"), "lang").limit(languages + 1).collect()
+    shared = len(found) > languages
+    found = sorted(found[:languages], key=lambda r: r.lang)
     classes = [r.lang for r in found]
+    upto = [max(r.least, int(min(1.0, most / r.n) * _HASHES)) for r in found]
+    if shared:
+        n, least = every.where(~F.col("lang").isin(classes)).agg(F.sum("n"), F.min("least")).first()
+        upto.append(max(least, int(min(1.0, 10 * most / n) * _HASHES)))
     if not classes:
         return Model(textmodel.TextModel(textmodel.GRAMS, [], np.zeros((0, textmodel.BINS), np.float32)), 0.0)
     index = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("lang")).cast("int") - 1
-    upto = F.array(*[F.lit(max(r.least, int(min(1.0, most / r.n) * _HASHES))) for r in found])
-    texts = known.withColumn("class", index).where(F.col("class") >= 0).where(
-        F.col("hash") <= F.element_at(upto, F.col("class") + 1)).select("text", "class")
+    texts = known.withColumn("class", F.when(index < 0, len(classes)).otherwise(index)).where(
+        F.col("hash") <= F.element_at(F.array(*[F.lit(x) for x in upto]), F.col("class") + 1)).select("text", "class")
+    classes += [MIS] * shared
     model = textmodel.fit(texts, classes, textmodel.GRAMS)
 
     def means(batches):
@@ -91,7 +103,7 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     und = (low if low is not None else -8.0) - MARGIN
     # any 3-gram of a text may be of no language: junk in a text costs only so much
     model.table = np.logaddexp(model.table, und).astype(np.float32) + np.float32(np.log(0.5))
-    return Model(model, und)
+    return Model(model, und, shared)
 
 
 def _read(df: DataFrame, text_col: str, model: Model) -> DataFrame:
@@ -187,7 +199,10 @@ def identify(df: DataFrame, model: Model, text_col: str, declared: Column, host:
         for i in range(k)]))
     read = read.withColumn("top", F.array_max("z"))
     best = 1 / F.aggregate("z", F.lit(0.0), lambda a, z: a + F.exp(z - F.col("top")))
-    lang = F.element_at(names, F.array_position("z", F.col("top")).cast("int"))
+    at = F.array_position("z", F.col("top")).cast("int")
+    lang = F.element_at(names, at)
+    if model.shared:
+        lang = F.when(at == k - 1, F.coalesce("declared", F.lit(MIS))).otherwise(lang)
     text_lang = F.element_at(names, F.array_position("p", F.array_max("p")).cast("int"))
     return read.select(
         *[F.col("text" if c == text_col else f"row.{rest[c]}").alias(c) for c in df.columns],
