@@ -23,8 +23,8 @@ A pair is decided and counted once, in the unit of the first segment that it
 shares. A unit gives one row per line, not per pair. A key with more than
 ``UNIT`` lines is cut into blocks and every pair of blocks is a unit. Copies of
 a line are one line, combined inside tasks first, so frequent lines cost what
-rare ones do. What is known of the most common lines (under ``COMMON_LINES`` of them)
-is broadcast to their places; places of all other lines are shuffled by line.
+rare ones do. Places meet their line in a shuffle by line; those of the most common lines
+(under ``COMMON_LINES`` of them) are dealt over shares, and the line goes to each.
 
 Edge cases: null text has no lines and stays null; an empty text is one empty
 line; rows equal in id and text repeat each other's lines, and the first of
@@ -49,7 +49,7 @@ MIN_BYTES = 40
 #: Lines of a key that one unit compares with each other.
 UNIT = 2048
 #: Lines with more places than this, and than their number over ``COMMON_LINES``,
-#: are sent to their places: fewer than ``COMMON_LINES`` lines at any size.
+#: are dealt over shares: fewer than ``COMMON_LINES`` lines at any size.
 COMMON, COMMON_LINES = 10_000, 100_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -352,12 +352,17 @@ def _places_of_lines(docs: DataFrame, min_bytes: int, copy_bytes: int) -> DataFr
         run, f"lid bigint, ka bigint, kb bigint, id {kind}, number int")
 
 
-def _with_lines(places: DataFrame, known: DataFrame, common: int) -> DataFrame:
-    """``places`` with what is ``known`` of their line ``l``. The places of lines
-    that have over ``common`` stay where they are, and the lines are sent to them."""
-    told = F.broadcast(known.where(F.col("n") > common))  # COMMON_LINES rows at most
-    same = F.col("lid") == F.col("l")
-    return places.join(told, same, "left_anti").join(known, same).union(places.join(told, same))
+def _with_lines(places: DataFrame, known: DataFrame, firsts: DataFrame) -> DataFrame:
+    """``places`` with what is ``known`` of their line ``l``; the places of a
+    common line are dealt over shares of about as many, by their row."""
+    common = max(COMMON, (firsts.agg(F.sum("n")).first()[0] or 0) // COMMON_LINES)
+    shares = F.broadcast(firsts.where(F.col("n") > common).select(  # COMMON_LINES rows at most
+        F.col("lid").alias("c"), F.ceil(F.col("n") / common).alias("shares")))
+    dealt = places.join(shares, F.col("lid") == F.col("c"), "left").withColumn(
+        "share", F.coalesce(F.expr("pmod(ka, shares)"), F.lit(0).cast("long"))).drop("c", "shares")
+    told = known.join(shares, F.col("l") == F.col("c"), "left").withColumn("s", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.coalesce("shares", F.lit(1).cast("long")) - 1))).drop("c", "shares")
+    return dealt.join(told, (F.col("lid") == F.col("l")) & (F.col("share") == F.col("s")))
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD,
@@ -377,11 +382,10 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     place = F.struct(F.isnull("id").alias("none"), "id", "ka", "kb", "number")
     firsts = scratch(places.groupBy("lid").agg(F.min(place).alias("first"), F.count("*").alias("n")), "line-firsts")
     near = edit_links(docs, firsts.select("lid", "first"), threshold, min_bytes, unit)
-    known = scratch(firsts.join(near, "lid", "left").where("n > 1 OR links > 0").select(
-        F.col("lid").alias("l"), "first", "n", F.coalesce("links", F.lit(0).cast("long")).alias("links"),
-        F.coalesce("earlier", F.lit(False)).alias("earlier")), "line-known")
-    total = firsts.agg(F.sum("n")).first()[0] or 0
-    here = _with_lines(places, known, max(COMMON, total // COMMON_LINES))
+    known = firsts.join(near, "lid", "left").where("n > 1 OR links > 0").select(
+        F.col("lid").alias("l"), "first", F.coalesce("links", F.lit(0).cast("long")).alias("links"),
+        F.coalesce("earlier", F.lit(False)).alias("earlier"))
+    here = _with_lines(places, known, firsts)
     first = (F.col("ka") == F.col("first.ka")) & (F.col("kb") == F.col("first.kb")) & (
         F.col("number") == F.col("first.number"))
     found = here.select("ka", "kb", F.struct("number", (~first | F.col("earlier")).alias("gone"), "links").alias(
