@@ -1,7 +1,10 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from basketry.llm import suffixindex
@@ -52,6 +55,51 @@ def test_long_texts_in_stretches(docs_of):
         assert sorted(got(docs_of(texts), length=20, gram=8, stretch=stretch)) == want
 
 
+class Batches:
+    """Stands for a table: its batches go through a worker's function here."""
+    def __init__(self, batch):
+        self.batch = batch
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, _):
+        return run(iter([self.batch]))
+
+
+def peak(of):
+    tracemalloc.start()
+    try:
+        n = sum(b.num_rows for b in of())
+        return n, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_worker_holds_arrays_for_little_text_at_once():
+    # many texts, then a long one after a short one; arrays of 2 MB or of a whole text at once took 372 MB
+    rnd = np.random.default_rng(7)
+    texts = [rnd.integers(97, 123, n, np.uint8).tobytes().decode() for n in [4000] * 900 + [500, 3 << 20, 500]]
+    at = pa.array(range(len(texts)))
+    batch = pa.RecordBatch.from_arrays([at, at, pa.array(texts)], names=["ka", "kb", "text"])
+    n, most = peak(lambda: suffixindex.suffixes(Batches(batch), 400, 128))
+    assert n > 40_000 and most < 40e6
+    cuts = pa.array([[{"start": 10, "end": 410}]] * len(texts))
+    batch = pa.RecordBatch.from_arrays([at, pa.array([t[:4000] for t in texts]), cuts], names=["id", "text", "cuts"])
+    n, most = peak(lambda: suffixindex._kept(iter([batch])))
+    assert n == len(texts) and most < 3e6
+
+
+def test_short_and_long_texts_of_one_batch(docs_of):
+    # a text is cut in the same stretches whichever texts it is read with, when indexed and when looked up
+    rnd = random.Random(8)
+    long = "".join(rnd.choice("abcd") for _ in range(400))
+    texts = ["x", long[90:130], "", long, None, long[:45] + "zz" + long[300:], "yy" + long[200:240], "ab"]
+    want = [(i, *w) for i, w in enumerate(plain(texts, 20))]
+    for stretch in (40, 64, 400):
+        assert sorted(got(docs_of(texts), length=20, gram=8, stretch=stretch)) == want
+
+
 def test_matches_are_found_when_a_batch_is_added(docs_of, spark):
     same, ends = "abcdefghijklmnopqrstuvwxyz0123", "KLMNOPQRSTUVWXYZ"
     batches = [[same, "1" + ends + "98"], ["no match in this one, none"], [same + "!"], ["3" + ends + "54"], ["nothing new"]]
