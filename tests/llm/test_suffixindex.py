@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import tracemalloc
 from collections import Counter
@@ -149,3 +150,17 @@ def test_query_on_whole_table(spark):
             for r, (n, m, s, k) in zip(docs, plain([r.text for r in docs], 400))}
     got_ = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in op6_suffix_index(spark, d).collect()}
     assert got_ == want and any(v[1] for v in want.values())
+
+
+def test_merged_levels_are_deleted(docs_of, spark):
+    index = suffixindex.Index(spark, 20, 8)
+    docs = suffixindex._keyed(docs_of(random_texts(5), extra=False), "doc_id", "text")
+    made = set()
+    for i in range(3):
+        index.add(docs.where(f"pmod(ka, 3) = {i}"))
+        made |= {p for _, p in index.levels}
+    there = {p for p in made if os.path.exists(p.removeprefix("file:"))}
+    assert there == {p for _, p in index.levels} and len(made) > len(there)
+    kept = [p.removeprefix("file:") for p in [p for _, p in index.levels] + index.found]
+    index.close()
+    assert not any(map(os.path.exists, kept))
